@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aislewatch.functions.text import bind
 from aislewatch.rules.identifiers import IdRule
 
 _ID_CHARS = r"[^\w\-]+"
@@ -178,29 +179,23 @@ def set_params(
     """Set query parameters in place, append those missing, keep all others in their order."""
     url = _col(url)
     everything = {**values, **{k: v for k, v in (defaults or {}).items() if k not in values}}
-    pairs = F.filter(F.split(query_of(url), "&"), lambda p: p != "")
-    keys = F.transform(pairs, lambda p: F.split_part(p, F.lit("="), F.lit(1)))
-    first_only = F.filter(
-        F.transform(
-            pairs,
-            lambda p, i: F.when(F.array_position(keys, F.split_part(p, F.lit("="), F.lit(1))) == i + 1, p),
-        ),
-        lambda p: p.isNotNull(),
-    )
+    name_of = lambda p: F.split_part(p, F.lit("="), F.lit(1))
+    given = F.filter(F.split(query_of(url), "&"), lambda p: p != "")
 
     def rewritten(pair: Column) -> Column:
-        key = F.split_part(pair, F.lit("="), F.lit(1))
         out = None
         for name, value in values.items():
             hit = F.lit(f"{name}={value}")
-            out = F.when(key == name, hit) if out is None else out.when(key == name, hit)
+            out = F.when(name_of(pair) == name, hit) if out is None else out.when(name_of(pair) == name, hit)
         return pair if out is None else out.otherwise(pair)
 
-    appended = F.array_compact(
-        F.array(*[F.when(~F.array_contains(keys, k), F.lit(f"{k}={v}")) for k, v in everything.items()])
-    )
-    query = F.array_join(F.concat(F.transform(first_only, rewritten), appended), "&")
-    return F.concat(drop_query(url), F.lit("?"), query)
+    def rebuilt(pairs: Column, keys: Column) -> Column:
+        firsts = F.filter(pairs, lambda p, i: F.array_position(keys, name_of(p)) == i + 1)
+        added = [F.when(~F.array_contains(keys, k), F.lit(f"{k}={v}")) for k, v in everything.items()]
+        return F.concat(F.transform(firsts, rewritten), F.array_compact(F.array(*added)))
+
+    parts = bind(given, lambda pairs: bind(F.transform(pairs, name_of), lambda keys: rebuilt(pairs, keys)))
+    return F.concat(drop_query(url), F.lit("?"), F.array_join(parts, "&"))
 
 
 def drop_params(url: Column | str, names: Sequence[str]) -> Column:
