@@ -107,14 +107,14 @@ def distinct_lines(items: Column, key: str = "exact") -> Column:
     Sorting (key, position) puts the first of each key in front, so the cost is n log n.
     """
     make = LINE_KEYS[key]
-    keyed = F.array_sort(
+    keyed = F.sort_array(
         F.transform(items, lambda l, i: F.struct(make(l).alias("key"), i.alias("pos"), l.alias("line")))
     )
     firsts = bind(
         keyed,
         lambda k: F.filter(k, lambda e, i: (i == 0) | (F.get(k, i - 1)["key"] != e["key"])),
     )
-    back = F.array_sort(F.transform(firsts, lambda e: F.struct(e["pos"].alias("pos"), e["line"].alias("line"))))
+    back = F.sort_array(F.transform(firsts, lambda e: F.struct(e["pos"].alias("pos"), e["line"].alias("line"))))
     return back["line"]
 
 
