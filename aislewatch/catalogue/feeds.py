@@ -52,3 +52,30 @@ SELECT l_orderkey AS page_id, l_partkey AS part_id,
        || replace(p_brand, '#', '') || '_' || CAST(l_linenumber AS STRING) || '.jpg' AS url
 FROM lineitem JOIN part ON p_partkey = l_partkey
 """
+
+# Product pages: one page per product, with the parts missing on some of them.
+RETAIL_PAGE = f"""
+SELECT p_partkey AS page_id, p_name, p_brand, p_type, p_size, cents, whole, frac,
+  'https://www.shop.example/p/' || replace(p_name, ' ', '-') || '-' || CAST(p_partkey AS STRING) AS url,
+  '<!DOCTYPE html><html><head><title>' || p_name || ' | Shop</title>'
+  || CASE WHEN p_partkey % 4 <> 1 THEN '<meta property="og:title" content="' || p_name || ' og">' ELSE '' END
+  || CASE WHEN p_partkey % 5 = 0 THEN '<meta property="og:price:amount" content="' || CAST(whole AS STRING) || '.' || frac || '">' ELSE '' END
+  || '<meta name="description" content="About ' || p_name || '">'
+  || CASE WHEN p_partkey % 3 = 0 THEN '<script type="application/ld+json">{{"@type":"Product","name":"' || p_name || ' ld","sku":"' || CAST(p_partkey AS STRING)
+       || '","offers":{{"@type":"Offer","price":"' || CAST(whole AS STRING) || '.' || frac || '","priceCurrency":"USD","availability":"https://schema.org/'
+       || CASE WHEN p_partkey % 2 = 0 THEN 'InStock' ELSE 'OutOfStock' END || '"}}}}' || CASE WHEN p_partkey % 6 = 0 THEN ',' ELSE '' END || '</script>' ELSE '' END
+  || '<style>p{{margin:0}}</style></head><body><!-- top --><nav><ul><li><a href="/a">A</a><li><a href="/b">B</a></ul></nav>'
+  || CASE WHEN p_partkey % 6 <> 1 THEN '<h1 class="product title" id="t">' || p_name || ' <b>' || p_brand || '</b></h1>' ELSE '' END
+  || CASE WHEN p_partkey % 2 = 0 THEN '<div data-testid="price" class="price now">$' || CAST(whole AS STRING) || '.' || frac || '</div>' ELSE '' END
+  || '<button data-cy="pdp-add-to-cart"' || CASE WHEN p_partkey % 7 = 0 THEN ' disabled' ELSE '' END || '>Add to cart</button>'
+  || '<ul class="glide"><li class="glide__slide glide__slide--clone"><img src="c3.jpg"></li>'
+  || '<li class="glide__slide"><img data-src="" data-original="a' || CAST(p_partkey AS STRING) || '.jpg" src="x.gif"></li>'
+  || '<li class="glide__slide"><img srcset="b' || CAST(p_partkey AS STRING) || '.jpg 300w, b2.jpg 600w"></li></ul>'
+  || '<div id="grid"><button aria-label="' || CAST(1 + p_partkey % 2 AS STRING) || ' of 2"><img src="t1.jpg"></button><button aria-label="' || CAST(2 - p_partkey % 2 AS STRING)
+  || ' of 2"><img src="t2.jpg"></button><img src="m.jpg"></div>'
+  || '<table><tr><th>Brand</th><td>' || p_brand || '</td></tr><tr><td>Size</td><td>' || CAST(p_size AS STRING) || '</td></tr><tr><td>lonely</td></tr></table>'
+  || '<dl><dt>Type</dt><dd>' || p_type || '</dd></dl>'
+  || '<div class="hero" style="color:red;background-image: url(https://cdn.example/h' || CAST(p_partkey AS STRING) || '.jpg)"></div>'
+  || '<p>First &amp; best<p>Second</body></html>' AS html
+FROM ({PRODUCT})
+"""

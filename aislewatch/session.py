@@ -47,3 +47,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
             configured = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         sc.setCheckpointDir(configured)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a small input over all cores before a Python-heavy stage.
+
+    The optimiser's own size estimate decides. An input already large enough to fill the cluster
+    with scan partitions is returned as it is, without a shuffle.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    per_task = 128 * 1024 * 1024
+    return df if size // per_task >= cores else df.repartition(cores)
