@@ -79,3 +79,21 @@ SELECT p_partkey AS page_id, p_name, p_brand, p_type, p_size, cents, whole, frac
   || '<p>First &amp; best<p>Second</body></html>' AS html
 FROM ({PRODUCT})
 """
+
+# Captures in eight conditions: product, missing, category, redirected, listing data, and so on.
+CAPTURE = """
+SELECT p_partkey AS page_id, p_name, p_brand, CAST(p_partkey % 8 AS BIGINT) AS kind,
+  'https://shop.example/produkt/' || replace(p_name, ' ', '-') || '-' || CAST(p_partkey AS STRING) || '/' AS url,
+  CASE p_partkey % 8 WHEN 3 THEN 'https://shop.example/hemmet/kok/' WHEN 0 THEN 'https://shop.example/produkt/x/' WHEN 7 THEN CASE WHEN p_partkey % 3 = 0 THEN 'https://shop.example/' END END AS final_url,
+  CAST(CASE WHEN p_partkey % 24 = 15 THEN 404 ELSE 200 END AS INT) AS http_status,
+  '<html><head><title>' || p_name || '</title></head><body>' || CASE p_partkey % 8
+   WHEN 0 THEN '<script type="application/ld+json">{"@type": "Product", "name": "' || p_name || '", "offers": {"price": "1"}}</script><h1>' || p_name || ' 404</h1><p>Sidan finns inte alltid</p><button data-cy="pdp-add-to-cart">K</button>'
+   WHEN 1 THEN '<h1 class="a">Ooops! Sidan finns inte längre :(</h1><img alt="404">'
+   WHEN 2 THEN '<nav role="navigation" aria-label="Paginering"><a aria-label="Gå till sida 1" href="/c/?page=1">1</a><a aria-label="Gå till sida 2" href="/c/?page=2">2</a><a aria-label="Gå till sida 3" href="/c/?page=3">3</a></nav><div data-testid="product-card">a</div><div data-testid="product-card">b</div><h1>Kettles & toasters</h1><p>1,234 Items</p>'
+   WHEN 3 THEN '<div class="product-grid">12 produkter</div><div aria-label="Produktbeskrivning">x</div><div class="product-card">1</div><div class="product-card">2</div><div class="product-card">3</div><div class="product-card">4</div>'
+   WHEN 4 THEN '<script type="application/ld+json">{"@type": "ItemList"}</script><div id="error-page">x</div>'
+   WHEN 5 THEN '<p>' || repeat('lorem ', 100) || 'Av alla hittade du till en sida som inte finns mer. Page not found. Captcha' || repeat(' ipsum', 100) || '</p>'
+   WHEN 6 THEN '<p>pris 1 hittade du till en sida som inte finns mer. Page not found</p>'
+   ELSE '<p>' || p_brand || '</p>' END || '</body></html>' AS html
+FROM part
+"""

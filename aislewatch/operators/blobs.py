@@ -237,7 +237,6 @@ def pick_offer(listed: Column, field: str, policy: str = "first") -> Column:
 # --- J10, J12, J13: raw script text -----------------------------------------------------------
 
 
-@F.pandas_udf("string")
 def _largest_braces(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     def largest(text: str | None) -> str | None:
         if not text:
@@ -260,7 +259,7 @@ def _largest_braces(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
 def largest_object(text: Column | str) -> Column:
     """Largest balanced ``{...}``, kept when longer than 80 characters. Brace matching needs a
     stack, which no built-in has, so this one goes through Arrow."""
-    return _largest_braces(text)
+    return F.pandas_udf(_largest_braces, T.StringType())(text)
 
 
 def keyed_value(text: Column, keys: Sequence[str]) -> Column:
