@@ -6,8 +6,14 @@ from aislewatch.catalogue.feeds import RETAIL_PAGE
 from aislewatch.catalogue.registry import register
 from aislewatch.operators import html
 
-DOM = F.col("dom")
-NODES = F.col("dom.nodes")
+
+def dom():
+    return F.col("dom")
+
+
+def nodes():
+    return F.col("dom.nodes")
+
 
 # Markup without comments and without the bodies of scripts and styles, in the oracle's terms.
 BARE = r"regexp_replace(html, '(?s)<!--.*?-->|<script.*?</script>|<style.*?</style>', '', 'g')"
@@ -19,8 +25,8 @@ BARE = r"regexp_replace(html, '(?s)<!--.*?-->|<script.*?</script>|<style.*?</sty
          GROUP BY 1, 2""",
 )
 def h1(t):
-    nodes = html.node_table(html.parse_pages(t.pages.select("page_id", "html")), "page_id")
-    return nodes.filter(~F.col("tag").isin("script", "style")).groupBy("page_id", "tag").agg(F.count("*").alias("n"))
+    table = html.node_table(html.parse_pages(t.pages.select("page_id", "html")), "page_id")
+    return table.filter(~F.col("tag").isin("script", "style")).groupBy("page_id", "tag").agg(F.count("*").alias("n"))
 
 
 @register(
@@ -31,7 +37,7 @@ def h1(t):
 )
 def h2(t):
     parsed = html.parse_pages(t.pages.select("page_id", "html"))
-    links = html.select(NODES, tag="a", starts={"href": "/"}, within=html.select(NODES, tag="nav"))
+    links = html.select(nodes(), tag="a", starts={"href": "/"}, within=html.select(nodes(), tag="nav"))
     return parsed.select("page_id", F.posexplode(links).alias("place", "a")).select(
         "page_id", F.col("place").cast("bigint").alias("place"), F.col("a")["attrs"]["href"].alias("href")
     )
@@ -50,8 +56,8 @@ def h3(t):
     parsed = html.parse_pages(t.pages.select("page_id", "html"))
     return parsed.select(
         "page_id",
-        html.text_of(DOM, html.first(html.select(NODES, tag="article"))).alias("article"),
-        html.text_of(DOM, html.first(html.select(NODES, tag="footer"))).alias("footer"),
+        html.text_of(dom(), html.first(html.select(nodes(), tag="article"))).alias("article"),
+        html.text_of(dom(), html.first(html.select(nodes(), tag="footer"))).alias("footer"),
     )
 
 
@@ -64,7 +70,7 @@ def _retail(t):
     """SELECT p_partkey AS page_id, n AS place, CASE n WHEN 0 THEN 'c3.jpg' WHEN 1 THEN 'a' || p_partkey || '.jpg' ELSE 'b' || p_partkey || '.jpg' END AS url FROM part, range(0, 3) r(n)""",
 )
 def h4(t):
-    images = html.select(NODES, tag="img", within=html.select(NODES, cls="glide"))
+    images = html.select(nodes(), tag="img", within=html.select(nodes(), cls="glide"))
     return _retail(t).select(
         "page_id", F.posexplode(F.transform(images, html.image_address)).alias("place", "url")
     ).withColumn("place", F.col("place").cast("bigint"))
@@ -75,7 +81,7 @@ def h4(t):
     """SELECT p_partkey AS page_id, CASE WHEN p_partkey % 6 <> 1 THEN p_name || ' ' || p_brand WHEN p_partkey % 4 <> 1 THEN p_name || ' og' ELSE p_name END AS name FROM part""",
 )
 def h5(t):
-    return _retail(t).select("page_id", html.product_name(DOM).alias("name"))
+    return _retail(t).select("page_id", html.product_name(dom()).alias("name"))
 
 
 @register(
@@ -85,8 +91,8 @@ def h5(t):
 def h6(t):
     return _retail(t).select(
         "page_id",
-        html.meta(DOM, "description").alias("description"),
-        html.meta(DOM, "product:price:amount", "og:price:amount").cast("decimal(12,2)").cast("double").alias("price"),
+        html.meta(dom(), "description").alias("description"),
+        html.meta(dom(), "product:price:amount", "og:price:amount").cast("decimal(12,2)").cast("double").alias("price"),
     )
 
 
@@ -95,7 +101,7 @@ def h6(t):
     """SELECT p_partkey AS page_id, 'Brand: ' || p_brand || chr(10) || 'Size: ' || p_size || chr(10) || 'Type: ' || p_type AS specification FROM part""",
 )
 def h7(t):
-    return _retail(t).select("page_id", F.array_join(html.specification_lines(DOM), "\n").alias("specification"))
+    return _retail(t).select("page_id", F.array_join(html.specification_lines(dom()), "\n").alias("specification"))
 
 
 @register(
@@ -103,7 +109,7 @@ def h7(t):
     "SELECT p_partkey AS page_id, 2::BIGINT AS n_slides FROM part",
 )
 def h8(t):
-    slides = html.without_clones(html.select(NODES, tag="li", cls="glide__slide"), "glide__slide--clone")
+    slides = html.without_clones(html.select(nodes(), tag="li", cls="glide__slide"), "glide__slide--clone")
     return _retail(t).select("page_id", F.size(slides).cast("bigint").alias("n_slides"))
 
 
@@ -112,7 +118,7 @@ def h8(t):
     "SELECT p_partkey AS page_id, CASE WHEN p_partkey % 2 = 0 THEN 'm.jpg t1.jpg t2.jpg' ELSE 'm.jpg t2.jpg t1.jpg' END AS gallery FROM part",
 )
 def h9(t):
-    ordered = html.gallery_order(DOM, html.select(NODES, id="grid"))
+    ordered = html.gallery_order(dom(), html.select(nodes(), id="grid"))
     return _retail(t).select("page_id", F.array_join(ordered["url"], " ").alias("gallery"))
 
 
@@ -121,5 +127,5 @@ def h9(t):
     "SELECT p_partkey AS page_id, 'https://cdn.example/h' || p_partkey || '.jpg' AS url FROM part",
 )
 def h10(t):
-    hero = html.first(html.select(NODES, tag="div", contains={"style": "background-image"}))
+    hero = html.first(html.select(nodes(), tag="div", contains={"style": "background-image"}))
     return _retail(t).select("page_id", html.background_url(hero["attrs"]["style"]).alias("url"))

@@ -7,7 +7,9 @@ from aislewatch.catalogue.registry import register, with_feed
 from aislewatch.functions import text
 from aislewatch.operators import html, validity
 
-NODES = F.col("dom.nodes")
+
+def nodes():
+    return F.col("dom.nodes")
 
 
 @register(
@@ -19,11 +21,8 @@ NODES = F.col("dom.nodes")
 )
 def v1(t):
     body = text.body_text("html")
-    return t.feed(CAPTURE).select(
-        "page_id",
-        validity.error_by_retailer(body, F.lit("very")).alias("guarded"),
-        validity.error_by_retailer(body, F.lit("very"), guarded=False).alias("plain"),
-    )
+    pages = validity.with_error_phrase(t.feed(CAPTURE), body, F.lit("very"), "guarded")
+    return validity.with_error_phrase(pages, body, F.lit("very"), "plain", guarded=False).select("page_id", "guarded", "plain")
 
 
 def _parsed(t):
@@ -32,7 +31,7 @@ def _parsed(t):
 
 @register("V2_error_element", "SELECT p_partkey AS page_id, p_partkey % 8 = 4 AS has_error FROM part")
 def v2(t):
-    return _parsed(t).select("page_id", validity.error_element(NODES).alias("has_error"))
+    return _parsed(t).select("page_id", validity.error_element(nodes()).alias("has_error"))
 
 
 @register(
@@ -42,14 +41,14 @@ def v2(t):
 def v3(t):
     return _parsed(t).select(
         "page_id",
-        validity.card_count(NODES).cast("bigint").alias("cards"),
-        validity.is_card_listing(NODES, F.lit("tesco")).alias("is_listing"),
+        validity.card_count(nodes()).cast("bigint").alias("cards"),
+        validity.is_card_listing(nodes(), F.lit("tesco")).alias("is_listing"),
     )
 
 
 @register("V4_page_links", "SELECT p_partkey AS page_id, CASE p_partkey % 8 WHEN 2 THEN 3::BIGINT ELSE 0::BIGINT END AS links FROM part")
 def v4(t):
-    return _parsed(t).select("page_id", validity.page_links(NODES).cast("bigint").alias("links"))
+    return _parsed(t).select("page_id", validity.page_links(nodes()).cast("bigint").alias("links"))
 
 
 @register(
@@ -61,10 +60,10 @@ def v5(t):
     parsed = html.parse_pages(t.pages.select("page_id", F.length("html").alias("size"), "html"))
     score = validity.indicator_score(
         [
-            F.size(html.select(NODES, tag="article")) > 0,
-            F.size(html.select(NODES, tag="h1")) > 0,
+            F.size(html.select(nodes(), tag="article")) > 0,
+            F.size(html.select(nodes(), tag="h1")) > 0,
             F.col("size") > 2000,
-            F.size(html.select(NODES, tag="div", cls="ad")) > 0,
+            F.size(html.select(nodes(), tag="div", cls="ad")) > 0,
         ]
     )
     return parsed.select(

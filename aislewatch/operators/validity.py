@@ -41,11 +41,11 @@ def guarded_match(text: Column, pattern: str, terms: str = rules.PRODUCT_TERMS,
 
 
 def error_phrase(body: Column | str, phrases: Sequence[str], guarded: bool = True) -> Column:
-    """V1: ``error_message:<phrase>`` for the first listed phrase of an error page.
+    """V1: ``error_message:<phrase>`` for the first listed phrase found in lower-cased page text.
 
     One alternation is tested first, so pages without any phrase cost a single scan.
     """
-    body = F.lower(_col(body))
+    body = _col(body)
     chain = None
     for phrase in phrases:
         test = guarded_match(body, _literal(phrase)) if guarded else body.contains(phrase)
@@ -54,13 +54,17 @@ def error_phrase(body: Column | str, phrases: Sequence[str], guarded: bool = Tru
     return F.when(body.rlike("|".join(_literal(p) for p in phrases)), chain)
 
 
-def error_by_retailer(body: Column | str, retailer: Column | str, guarded: bool = True) -> Column:
+def with_error_phrase(
+    pages: DataFrame, body: Column, retailer: Column | str, out: str = "error", guarded: bool = True
+) -> DataFrame:
+    """V1 under each retailer's own list. The body text is staged once; all phrases read that column."""
+    staged = pages.withColumn("_body", F.lower(body))
     retailer = _col(retailer)
-    out = None
+    chain = None
     for name, phrases in rules.ERROR_PHRASES.items():
-        value = error_phrase(body, phrases, guarded)
-        out = F.when(retailer == name, value) if out is None else out.when(retailer == name, value)
-    return out
+        value = error_phrase("_body", phrases, guarded)
+        chain = F.when(retailer == name, value) if chain is None else chain.when(retailer == name, value)
+    return staged.withColumn(out, chain).drop("_body")
 
 
 def error_element(nodes: Column) -> Column:

@@ -42,43 +42,68 @@ def observe_products(captures: DataFrame, max_images: int = MAX_IMAGES) -> DataF
     parsed = html.parse_pages(judged, keep=keep)
     dom, nodes = F.col("dom"), F.col("dom.nodes")
 
-    price_node = html.first(
-        F.filter(
-            nodes,
-            lambda n: F.coalesce(n["attrs"]["data-testid"].rlike("^(?:product-)?price$"), F.lit(False))
-            | F.coalesce(n["attrs"]["itemprop"] == "price", F.lit(False)),
-        )
+    # Elements first, then their texts, then what is read from the texts: each step is a column of
+    # its own, so nothing that costs a pass over the page is written into an expression twice.
+    buttons = F.filter(nodes, lambda n: n["tag"] == "button")
+    elements = parsed.withColumns(
+        {
+            "_price_node": html.first(
+                F.filter(
+                    nodes,
+                    lambda n: F.coalesce(n["attrs"]["data-testid"].rlike("^(?:product-)?price$"), F.lit(False))
+                    | F.coalesce(n["attrs"]["itemprop"] == "price", F.lit(False)),
+                )
+            ),
+            "_buy": html.first(F.filter(buttons, lambda b: F.lower(html.text_of(dom, b)).rlike(stock.rules.BUY_TEXT))),
+            "_body": html.page_text(dom),
+            "_meta_price": html.meta(dom, "og:price:amount", "product:price:amount"),
+            "_meta_description": html.meta(dom, "description"),
+            "name": html.product_name(dom, jsonld=F.col("ld_name")),
+            "image_urls": F.slice(
+                F.array_distinct(
+                    F.array_compact(F.transform(html.select(nodes, tag="img"), html.image_address))
+                ),
+                1,
+                max_images,
+            ),
+        }
     )
-    onsite = F.coalesce(html.attr(price_node, "content"), html.text_of(dom, price_node))
-    signed = money.any_currency(onsite)
+    price_node, buy = F.col("_price_node"), F.col("_buy")
+    texts = elements.withColumns(
+        {
+            "_onsite": F.coalesce(html.attr(price_node, "content"), html.text_of(dom, price_node)),
+            "_buy_text": html.text_of(dom, buy),
+            "_buy_off": buy["attrs"]["disabled"].isNotNull(),
+            "_buy_aria": buy["attrs"]["aria-disabled"],
+            "_buy_class": buy["attrs"]["class"],
+        }
+    ).drop("dom", "_price_node", "_buy")
+
+    onsite = F.col("_onsite")
     price = money.first_with_source(
         [
-            (F.coalesce(signed["amount"], money.euros(onsite), money.kronor(onsite)), "dom"),
+            (F.coalesce(money.any_currency(onsite)["amount"], money.euros(onsite), money.kronor(onsite)), "dom"),
             (F.col("ld_price").try_cast(money.MONEY), "jsonld"),
-            (html.meta(dom, "og:price:amount", "product:price:amount").try_cast(money.MONEY), "meta"),
+            (F.col("_meta_price").try_cast(money.MONEY), "meta"),
         ]
     )
-    buttons = F.filter(nodes, lambda n: n["tag"] == "button")
-    buy = html.first(F.filter(buttons, lambda b: F.lower(html.text_of(dom, b)).rlike(stock.rules.BUY_TEXT)))
-    buy_state = stock.button(html.text_of(dom, buy), buy["attrs"]["disabled"].isNotNull(), buy["attrs"]["aria-disabled"], buy["attrs"]["class"])
-    spoken = stock.phrase_state(F.lit(None).cast("string"), html.page_text(dom))
-    signals = {
-        "button": F.struct(buy_state.alias("state"), html.text_of(dom, buy).alias("text")),
-        "jsonld": F.struct(stock.availability("ld_availability").alias("state"), F.col("ld_availability").alias("text")),
-        "negative": F.struct(F.when(~spoken["state"], False).alias("state"), spoken["text"].alias("text")),
-    }
-    gallery = F.filter(F.transform(html.select(nodes, tag="img"), html.image_address), lambda u: u.isNotNull())
-    description = text.first_long_enough([(F.col("ld_description"), 20), (html.meta(dom, "description"), 0)])
-
-    found = parsed.withColumns(
+    read = texts.withColumns(
         {
-            "name": html.product_name(dom, jsonld=F.col("ld_name")),
             "_price": price,
-            "_stock": stock.by_precedence("retailer", signals),
-            "description": text.clean(description),
-            "image_urls": F.slice(F.array_distinct(gallery), 1, max_images),
+            "_pressed": stock.button("_buy_text", F.col("_buy_off"), F.col("_buy_aria"), F.col("_buy_class")),
+            "_offered": stock.availability("ld_availability"),
+            "_spoken": stock.phrase_state(F.lit(None).cast("string"), "_body"),
         }
-    ).drop("dom")
+    )
+    signals = {
+        "button": F.struct(F.col("_pressed").alias("state"), F.col("_buy_text").alias("text")),
+        "jsonld": F.struct(F.col("_offered").alias("state"), F.col("ld_availability").alias("text")),
+        "negative": F.struct(F.when(~F.col("_spoken.state"), False).alias("state"), F.col("_spoken.text").alias("text")),
+    }
+    description = text.first_long_enough([(F.col("ld_description"), 20), (F.col("_meta_description"), 0)])
+    found = read.withColumns(
+        {"_stock": stock.by_precedence("retailer", signals), "description": text.clean(description)}
+    )
     numbered = urls.with_stable_id(found, ID_RULES, DEFAULT_ID_RULE)
     in_stock = stock.default_state("retailer", F.col("_stock.state"))
     named = numbered.select(
