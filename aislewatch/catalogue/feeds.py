@@ -32,14 +32,13 @@ FROM ({PRODUCT})
 
 # Image URL lists: one page per product, three shots in three sizes, the small ones first.
 IMAGE_LIST = """
-SELECT p_partkey AS page_id, p_brand, p_type, CAST(p_size AS BIGINT) AS p_size,
-       CAST((s.size_no * 3 + n.n) AS BIGINT) AS pos, CAST(n.n AS BIGINT) AS n, s.size AS px,
-       'https://cdn.example/p/' || CAST(p_partkey AS STRING) || '/' || s.size || 'x' || s.size || '/'
-       || replace(p_brand, '#', '') || '_' || CAST(n.n AS STRING)
-       || CASE WHEN p_partkey % 4 = 0 THEN '.PNG' ELSE '.jpg' END || '?wid=' || s.size AS url
-FROM part
-JOIN (SELECT 0 AS size_no, '115' AS size UNION ALL SELECT 1, '400' UNION ALL SELECT 2, '700') s ON 1 = 1
-JOIN (SELECT 1 AS n UNION ALL SELECT 2 UNION ALL SELECT 3) n ON 1 = 1
+SELECT page_id, p_brand, p_type, p_size, size_no * 3 + n AS pos, n, px,
+       'https://cdn.example/p/' || CAST(page_id AS STRING) || '/' || px || 'x' || px || '/'
+       || replace(p_brand, '#', '') || '_' || CAST(n AS STRING)
+       || CASE WHEN page_id % 4 = 0 THEN '.PNG' ELSE '.jpg' END || '?wid=' || px AS url
+FROM (SELECT page_id, p_brand, p_type, p_size, n, size_no, CASE size_no WHEN 0 THEN '115' WHEN 1 THEN '400' ELSE '700' END AS px
+      FROM (SELECT page_id, p_brand, p_type, p_size, CAST(1 + i % 3 AS BIGINT) AS n, CAST(floor(i / 3) AS BIGINT) AS size_no
+            FROM (SELECT p_partkey AS page_id, p_brand, p_type, CAST(p_size AS BIGINT) AS p_size, explode(sequence(0, 8)) AS i FROM part)))
 """
 
 # The same with images from order lines: page = order, family = brand, number = line number.

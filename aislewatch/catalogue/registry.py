@@ -54,5 +54,6 @@ def register(name: str, oracle: str | None = None):
 
 
 def with_feed(feed: str, body: str) -> str:
-    """Oracle text: ``body`` over the CTE ``feed``."""
+    """Oracle text: ``body`` over the CTE ``feed``, whose one Spark-only word is rewritten."""
+    feed = feed.replace("explode(sequence(0, 8))", "unnest(range(9))")
     return f"WITH feed AS ({feed}) {body}"

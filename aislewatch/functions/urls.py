@@ -79,8 +79,12 @@ def repair(url: Column | str) -> Column:
 
 
 def last_segment(url: Column | str) -> Column:
-    path = F.regexp_replace(path_of(url), r"/+$", "")
-    return F.nullif(F.regexp_extract(path, r"([^/]*)$", 1), F.lit(""))
+    return F.nullif(file_name(F.rtrim(path_of(url), F.lit("/"))), F.lit(""))
+
+
+def file_name(address: Column) -> Column:
+    """What follows the last slash. A plain scan: an end-anchored pattern would retry at every letter."""
+    return F.substring_index(address, "/", -1)
 
 
 def stem(segment: Column) -> Column:

@@ -39,6 +39,8 @@ def one_to_one(best: DataFrame) -> DataFrame:
 def split_matches(db: DataFrame, best: DataFrame, exclusive: bool = True) -> DataFrame:
     """Every db image once, with its candidate and ``match`` or ``missing``."""
     if exclusive:
+        # Read twice below: a narrow table, cut off from the search that made it.
+        best = cut_lineage(best)
         winners = one_to_one(best).select("db_id", F.lit(True).alias("_won"))
         decided = best.join(winners, "db_id", "left")
     else:

@@ -99,11 +99,13 @@ def _parse(html: str | None) -> dict | None:
     return {"nodes": tree.nodes, "texts": tree.texts}
 
 
-def parse_pages(pages: DataFrame, html: str = "html", keep: Sequence[str] | None = None) -> DataFrame:
+def parse_pages(
+    pages: DataFrame, html: str = "html", keep: Sequence[str] | None = None, balance: bool = True
+) -> DataFrame:
     """H1: add ``dom`` and drop the raw HTML, which nothing after this stage needs.
 
     Arrow batches go to the tokeniser and come back; rows stay in their partition unless the
-    input is too small to occupy the cluster.
+    input is too small to occupy the cluster; ``balance=False`` if the caller has seen to that.
     """
     kept = list(keep) if keep is not None else [c for c in pages.columns if c != html]
     source = pages.select(*kept, F.col(html).alias("_html"))
@@ -115,7 +117,8 @@ def parse_pages(pages: DataFrame, html: str = "html", keep: Sequence[str] | None
             columns = [batch.column(i) for i in range(len(kept))]
             yield pa.RecordBatch.from_arrays(columns + [pa.array(parsed, type=_ARROW_DOM)], names=kept + ["dom"])
 
-    return spread(source).mapInArrow(tokenise, f"{fields}, dom {DOM_SCHEMA}")
+    source = spread(source) if balance else source
+    return source.mapInArrow(tokenise, f"{fields}, dom {DOM_SCHEMA}")
 
 
 def node_table(parsed: DataFrame, key: str) -> DataFrame:

@@ -43,7 +43,7 @@ def image_key(url: Column | str, rule: str) -> Column:
     url = _col(url)
     bare = urls.drop_query(url)
     path = F.lower(urls.path_of(url))
-    name = F.regexp_extract(bare, r"([^/]*)/?$", 1)
+    name = urls.file_name(F.rtrim(bare, F.lit("/")))
     if rule == "exact":
         return url
     if rule == "no_query":
@@ -90,7 +90,7 @@ def natural_order(url: Column | str, rule: str = "last_number") -> Column:
 
 def family_key(url: Column | str) -> Column:
     """Stem without its size and number suffixes."""
-    stem = urls.stem(F.lower(F.regexp_extract(urls.drop_query(url), r"([^/]*)$", 1)))
+    stem = urls.stem(F.lower(urls.file_name(urls.drop_query(url))))
     stem = F.regexp_replace(stem, r"_(\d{3,4}(?:x\d{3,4})?|[12]\d{3}px)$", "")
     stem = F.regexp_replace(F.regexp_replace(stem, r"[-_](\d{1,3})$", ""), r"[-_]+", "-")
     return F.regexp_replace(stem, r"^-+|-+$", "")
@@ -98,7 +98,7 @@ def family_key(url: Column | str) -> Column:
 
 def family_number(url: Column | str) -> Column:
     """Number of an image within its family: at most three digits."""
-    stem = urls.stem(F.lower(F.regexp_extract(urls.drop_query(url), r"([^/]*)$", 1)))
+    stem = urls.stem(F.lower(urls.file_name(urls.drop_query(url))))
     return urls.extract(stem, r"[-_](\d{1,3})(?:_[a-z]+)?$").try_cast("int")
 
 
@@ -227,7 +227,7 @@ def widest_code(images: DataFrame, page: str, code: str, number: str, pos: str,
 
 def drop_thumbnails(images: DataFrame, page: str, url: str, prefix: str = r"^miniatyrbild-\d+-av-\d+-", mark: str = "miniatyrbild-") -> DataFrame:
     """Drop a thumbnail whose base image is on the same page."""
-    name = F.regexp_extract(urls.drop_query(url), r"([^/]*)$", 1)
+    name = urls.file_name(urls.drop_query(url))
     named = images.withColumn("_name", name).withColumn("_mini", F.col("_name").startswith(mark))
     bases = named.filter(~F.col("_mini")).select(page, F.col("_name").alias("_base")).distinct()
     kept = named.filter(F.col("_mini")).withColumn("_base", F.regexp_replace("_name", prefix, "")).join(

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aislewatch.session import spread
+from aislewatch.session import cut_lineage, spread
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 BLOCK_ROWS = 4096
@@ -136,40 +136,45 @@ def _by_broadcast(q, i, schema, k, metric, threshold, limit) -> DataFrame | None
 
 
 def _by_blocks(q, i, schema, k, metric, threshold, scope, block_rows) -> DataFrame:
+    # Each side is read several times below, and may be a costly query itself.
+    q, i = cut_lineage(q), cut_lineage(i)
     # Equal vectors: queries are scored once, and of equal items only the first k can be chosen.
     distinct_q = q.groupBy(*scope, "_v").agg(F.min("_query").alias("_lead"))
     leads = distinct_q.select(*scope, F.col("_lead").alias("_query"), "_v")
     same = Window.partitionBy(*scope, "_v").orderBy("_item")
     i = i.withColumn("_r", F.row_number().over(same)).filter(F.col("_r") <= k).drop("_r")
 
+    def pieces(rows: int) -> int:
+        return max(1, math.ceil(rows / block_rows))
+
+    # How many pieces a side is cut into: per cell for items, per scope for queries.
+    total = leads.count()
     pruned = metric == "cosine" and threshold is not None and threshold > -1
+    place = [*scope, "_cell"] if pruned else list(scope)
     if pruned:
         pivots = _pivots(i)
         i, leads = _cells(i, pivots), _visits(leads, pivots, threshold)
     else:
-        i = i.withColumns({"_cell": F.lit(0), "_angle": F.lit(0.0)})
-        leads = leads.withColumns({"_cell": F.lit(0), "_angle": F.lit(0.0)})
-
-    place = [*scope, "_cell"]
-    cells = i.groupBy(*place).agg(
-        F.min("_angle").alias("_lo"), F.max("_angle").alias("_hi"), F.ceil(F.count("*") / block_rows).cast("int").alias("_blocks")
-    )
-    total = distinct_q.count()
+        i, leads = (df.withColumns({"_cell": F.lit(0), "_angle": F.lit(0.0)}) for df in (i, leads))
+    if place:
+        cells = i.groupBy(*place).agg(
+            F.min("_angle").alias("_lo"), F.max("_angle").alias("_hi"), F.ceil(F.count("*") / block_rows).cast("int").alias("_blocks")
+        )
+        i, leads = i.join(cells.select(*place, "_blocks"), place), leads.join(cells, place)
+    else:
+        blocks = F.lit(pieces(i.count()))
+        i, leads = i.withColumn("_blocks", blocks), leads.withColumn("_blocks", blocks)
+    if pruned:
+        reach = _reach(threshold)
+        leads = leads.filter(F.col("_angle").between(F.col("_lo") - reach, F.col("_hi") + reach))
     if scope:
         chunks = distinct_q.groupBy(*scope).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("_chunks"))
         i, leads = i.join(chunks, scope), leads.join(chunks, scope)
-        bucket = F.pmod(F.xxhash64(*scope), F.lit(max(1, math.ceil(total / block_rows))))
+        bucket = F.pmod(F.xxhash64(*scope), F.lit(pieces(total)))
     else:
-        count = F.lit(max(1, math.ceil(total / block_rows)))
-        i, leads = i.withColumn("_chunks", count), leads.withColumn("_chunks", count)
+        i, leads = i.withColumn("_chunks", F.lit(pieces(total))), leads.withColumn("_chunks", F.lit(pieces(total)))
         bucket = F.lit(0).cast("bigint")
 
-    i = i.join(cells.select(*place, "_blocks"), place)
-    leads = leads.join(cells, place)
-    if pruned:
-        reach = math.acos(min(1.0, threshold - 10.0**-DECIMALS)) + _SLACK
-        leads = leads.filter(F.col("_angle").between(F.col("_lo") - reach, F.col("_hi") + reach))
-
     key = ["_bucket", "_cell", "_block", "_chunk"]
     left = leads.select(
         *scope, "_query", "_v", "_cell", bucket.alias("_bucket"),
@@ -211,6 +216,11 @@ def _pivots(i: DataFrame) -> np.ndarray:
     return np.array([r["_v"] for r in rows], dtype=np.float64).reshape(len(rows), -1)
 
 
+def _reach(threshold: float) -> float:
+    """Largest angle at which the rounded cosine can still meet the threshold."""
+    return math.acos(max(-1.0, min(1.0, threshold - 10.0**-DECIMALS))) + _SLACK
+
+
 def _angles(vectors: pd.Series, pivots: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(_matrix(vectors, "cosine") @ pivots.T, -1.0, 1.0))
 
@@ -238,7 +248,7 @@ def _visits(q: DataFrame, pivots: np.ndarray, threshold: float) -> DataFrame:
     An item nearest to pivot p lies no farther from p than from the query's own pivot, so a cell more
     than twice the reach beyond the query's nearest pivot cannot hold one.
     """
-    reach = math.acos(min(1.0, threshold - 10.0**-DECIMALS)) + _SLACK
+    reach = _reach(threshold)
 
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -268,6 +278,7 @@ def ratio_test(
         .join(sizes.select(F.col("image_id").alias("b_id"), F.col("n").alias("n_b")), "b_id", "left")
         .withColumn("usable", (F.coalesce("n_a", F.lit(0)) >= enough) & (F.coalesce("n_b", F.lit(0)) >= enough))
     )
+    known = cut_lineage(known.select("a_id", "b_id", "usable"))
     usable = known.filter("usable").select("a_id", "b_id")
     side = lambda end, out: usable.join(
         descriptors.select(F.col("image_id").alias(end), F.col("descriptor_no").alias(out), "descriptor"), end

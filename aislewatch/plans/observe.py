@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from aislewatch.functions import money, stock, text, urls
 from aislewatch.operators import blobs, html, validity
+from aislewatch.session import spread
 from aislewatch.rules.identifiers import DEFAULT_ID_RULE, ID_RULES
 
 MAX_IMAGES = 99
@@ -32,14 +33,14 @@ def observe_products(captures: DataFrame, max_images: int = MAX_IMAGES) -> DataF
     Verdict and JSON fields are read from the raw page in the JVM; the page then goes through the
     tokeniser once, and the raw HTML is dropped. No stage shuffles, except to spread a small input.
     """
-    judged = validity.layered_verdict(captures).withColumns(
+    judged = validity.layered_verdict(spread(captures)).withColumns(
         {**_jsonld_fields(F.col("html")), "retailer": urls.host_slug("url"), "blocked": validity.is_blocked("html")}
     )
     keep = [
         "page_id", "url", "retailer", "is_invalid", "reason", "blocked",
         "ld_name", "ld_description", "ld_price", "ld_currency", "ld_availability",
     ]
-    parsed = html.parse_pages(judged, keep=keep)
+    parsed = html.parse_pages(judged, keep=keep, balance=False)
     dom, nodes = F.col("dom"), F.col("dom.nodes")
 
     # Elements first, then their texts, then what is read from the texts: each step is a column of
