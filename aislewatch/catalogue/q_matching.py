@@ -126,7 +126,7 @@ def m9(t):
 def m10(t):
     """Folders per product; one product has no retailer images at all."""
     site = _site(t).filter("label <> 3")
-    return matching.match_by_embedding(_db(t), site, _inliers(), scope=["label"], block_rows=64)
+    return matching.match_by_embedding(_db(t), site, _inliers(), scope=["label"], block_rows=512)
 
 
 def _word(test):

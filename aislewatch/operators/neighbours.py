@@ -147,15 +147,29 @@ def _by_blocks(q, i, schema, k, metric, threshold, scope, block_rows) -> DataFra
     def pieces(rows: int) -> int:
         return max(1, math.ceil(rows / block_rows))
 
-    # How many pieces a side is cut into: per cell for items, per scope for queries.
+    # Queries are cut into chunks per scope. Only a scope with more items than a block is worth
+    # pivot cells; all others keep theirs in one.
     total = leads.count()
+    if scope:
+        sizes = i.groupBy(*scope).agg((F.count("*") > block_rows).alias("_large"))
+        chunks = distinct_q.groupBy(*scope).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("_chunks"))
+        per_scope = chunks.join(sizes, scope)
+        i, leads = i.join(per_scope, scope), leads.join(per_scope, scope)
+        bucket = F.pmod(F.xxhash64(*scope), F.lit(pieces(total)))
+    else:
+        whole = {"_chunks": F.lit(pieces(total)), "_large": F.lit(True)}
+        i, leads = i.withColumns(whole), leads.withColumns(whole)
+        bucket = F.lit(0).cast("bigint")
+
     pruned = metric == "cosine" and threshold is not None and threshold > -1
-    place = [*scope, "_cell"] if pruned else list(scope)
     if pruned:
         pivots = _pivots(i)
         i, leads = _cells(i, pivots), _visits(leads, pivots, threshold)
     else:
         i, leads = (df.withColumns({"_cell": F.lit(0), "_angle": F.lit(0.0)}) for df in (i, leads))
+
+    # Items are cut into blocks per cell.
+    place = [*scope, "_cell"] if pruned else list(scope)
     if place:
         cells = i.groupBy(*place).agg(
             F.min("_angle").alias("_lo"), F.max("_angle").alias("_hi"), F.ceil(F.count("*") / block_rows).cast("int").alias("_blocks")
@@ -167,13 +181,6 @@ def _by_blocks(q, i, schema, k, metric, threshold, scope, block_rows) -> DataFra
     if pruned:
         reach = _reach(threshold)
         leads = leads.filter(F.col("_angle").between(F.col("_lo") - reach, F.col("_hi") + reach))
-    if scope:
-        chunks = distinct_q.groupBy(*scope).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("_chunks"))
-        i, leads = i.join(chunks, scope), leads.join(chunks, scope)
-        bucket = F.pmod(F.xxhash64(*scope), F.lit(pieces(total)))
-    else:
-        i, leads = i.withColumn("_chunks", F.lit(pieces(total))), leads.withColumn("_chunks", F.lit(pieces(total)))
-        bucket = F.lit(0).cast("bigint")
 
     key = ["_bucket", "_cell", "_block", "_chunk"]
     left = leads.select(
@@ -239,7 +246,10 @@ def _cells(i: DataFrame, pivots: np.ndarray) -> DataFrame:
                 cell = angles.argmin(axis=1)
                 yield batch.assign(_cell=cell.astype(np.int32), _angle=angles[np.arange(len(batch)), cell])
 
-    return i.mapInPandas(assign, _with_fields(i, "_cell int, _angle double"))
+    placed = i.mapInPandas(assign, _with_fields(i, "_cell int, _angle double"))
+    return placed.withColumns(
+        {c: F.when(F.col("_large"), F.col(c)).otherwise(F.lit(0)) for c in ("_cell", "_angle")}
+    )
 
 
 def _visits(q: DataFrame, pivots: np.ndarray, threshold: float) -> DataFrame:
@@ -260,7 +270,8 @@ def _visits(q: DataFrame, pivots: np.ndarray, threshold: float) -> DataFrame:
                 )
 
     visited = q.mapInPandas(visit, _with_fields(q, "_to array<struct<_cell:int,_angle:double>>"))
-    return visited.select(*q.columns, F.inline("_to"))
+    only = F.array(F.struct(F.lit(0).alias("_cell"), F.lit(0.0).alias("_angle")))
+    return visited.select(*q.columns, F.inline(F.when(F.col("_large"), F.col("_to")).otherwise(only)))
 
 
 def ratio_test(
