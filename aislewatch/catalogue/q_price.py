@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from aislewatch.catalogue.feeds import PRICE_TEXT, PRODUCT
 from aislewatch.catalogue.registry import register, with_feed
 from aislewatch.functions import money
+from aislewatch.operators import html, prices
 
 
 def _style(n: str) -> str:
@@ -225,3 +226,44 @@ def p14(t):
 def p15(t):
     onsite_price, other_onsite = F.col("p_partkey") % 2 == 0, F.col("p_partkey") % 3 == 0
     return t.part.select("p_partkey", money.source_label(onsite_price | other_onsite, ~onsite_price).alias("price_source"))
+
+
+# Pages of several retailers, each with its price in one of that retailer's own places.
+RETAILER_PAGE = f"""
+SELECT p_partkey AS page_id, p_partkey % 10 AS kind, cents,
+  CASE p_partkey % 10 WHEN 0 THEN 'macys' WHEN 1 THEN 'target' WHEN 2 THEN 'frasers' WHEN 3 THEN 'allegro' WHEN 4 THEN 'kaufland' WHEN 5 THEN 'cdon' WHEN 6 THEN 'target' WHEN 7 THEN 'wilko' WHEN 8 THEN 'harveynorman' ELSE 'shop' END AS retailer,
+  '<html><body><i>7 left</i>' || CASE p_partkey % 10
+    WHEN 0 THEN '<div class="price-wrapper"><b>was</b> $' || CAST(whole AS STRING) || '.' || frac || '</div>'
+    WHEN 1 THEN '<script>x = "formatted_current_price": "$' || CAST(whole AS STRING) || '.' || frac || '"</script>'
+    WHEN 2 THEN '<p data-testid="price" data-testvalue="' || CAST(cents AS STRING) || '">£1.00</p>'
+    WHEN 3 THEN '<div class="a _7030e_b">raty 1,00 zł</div><div data-box-name="price"><span>cena</span> <span>' || CAST(whole AS STRING) || ',</span><span>' || frac || '</span><span>zł</span></div>'
+    WHEN 4 THEN '<span data-testid="product-price">€' || CAST(whole AS STRING) || '.' || frac || '</span>'
+    WHEN 5 THEN '<b>' || CAST(whole AS STRING) || ',' || frac || ' SEK</b>'
+    WHEN 6 THEN '<script>"current_retail": 3.00, "price": "' || CAST(whole AS STRING) || '.' || frac || '"</script>'
+    WHEN 7 THEN '<em class="x pdp-price--now">£' || CAST(whole AS STRING) || '.' || frac || '</em>'
+    WHEN 8 THEN '<span aria-label="Amount: ' || CAST(whole AS STRING) || '.' || frac || '"></span>'
+    ELSE '<p>no price</p>' END || '</body></html>' AS html
+FROM ({PRODUCT})
+"""
+
+
+@register(
+    "P11_price_by_retailer",
+    with_feed(
+        RETAILER_PAGE,
+        """SELECT page_id, CASE WHEN kind < 9 THEN CAST(cents AS DOUBLE) / 100 END AS amount, CASE kind WHEN 0 THEN 'macys-price-wrapper' WHEN 1 THEN 'tgt-data-formatted-alt' WHEN 2 THEN 'price-testid-attr' WHEN 3 THEN 'dom'
+             WHEN 4 THEN 'onsite' WHEN 5 THEN 'onsite' WHEN 6 THEN 'regex-jsonld-price' WHEN 7 THEN 'onsite' WHEN 8 THEN 'price-display aria-label' END AS price_source FROM feed""",
+    ),
+)
+def p11_by_retailer(t):
+    retailer = F.col("retailer")
+    pages = t.feed(RETAILER_PAGE).select("page_id", "retailer", "html").withColumn(
+        "scripts", prices.script_finds(F.col("html"), retailer)
+    )
+    placed = html.parse_pages(pages).withColumn(
+        "places", prices.place_texts(F.col("dom"), retailer, F.lit(None).cast("string"), F.col("scripts"))
+    )
+    priced = placed.drop("dom").withColumn("price", prices.price_at(F.col("places")))
+    return priced.select(
+        "page_id", F.col("price.value").cast("double").alias("amount"), F.col("price.source").alias("price_source")
+    )

@@ -153,24 +153,40 @@ CALLS_TO_ACTION = [
 def drop_rating_lines(items: Column, patterns: Sequence[str] = tuple(RATING_LINES)) -> Column:
     """Drop rating lines, the first number after each run of them, and bare integers.
 
-    One fold over the lines carries the flag "a rating line awaits its number".
+    One fold over the lines carries the flag "a rating line awaits its number" and notes which lines
+    were consumed that way; only those few positions are collected.
     """
     rating = "(?i)" + "|".join(patterns)
 
     def step(state: Column, line: Column) -> Column:
-        text = strip_space(line)
-        is_rating = text.rlike(rating)
-        is_number = text.rlike(r"^\d+(?:\.\d+)?$")
-        is_bare = text.rlike(r"^\(?\d+\)?$")
-        taken = state["armed"] & is_number & ~is_rating
-        keep = ~is_rating & ~taken & ~is_bare
+        is_rating = line["rating"]
+        taken = state["armed"] & line["number"] & ~is_rating
         return F.struct(
-            F.when(is_rating, F.lit(True)).when(taken, F.lit(False)).otherwise(state["armed"]).alias("armed"),
-            F.when(keep, F.concat(state["kept"], F.array(line))).otherwise(state["kept"]).alias("kept"),
+            (is_rating | (state["armed"] & ~taken)).alias("armed"),
+            (state["at"] + 1).alias("at"),
+            F.when(taken, F.array_append(state["taken"], state["at"])).otherwise(state["taken"]).alias("taken"),
         )
 
-    empty = F.struct(F.lit(False).alias("armed"), F.array().cast("array<string>").alias("kept"))
-    return F.aggregate(items, empty, step)["kept"]
+    def marked(line: Column) -> Column:
+        bare = strip_space(line)
+        return F.struct(
+            line.alias("line"),
+            bare.rlike(rating).alias("rating"),
+            bare.rlike(r"^\d+(?:\.\d+)?$").alias("number"),
+            bare.rlike(r"^\(?\d+\)?$").alias("bare"),
+        )
+
+    empty = F.struct(
+        F.lit(False).alias("armed"), F.lit(0).alias("at"), F.array().cast("array<int>").alias("taken")
+    )
+
+    def kept(lines: Column) -> Column:
+        return bind(
+            F.aggregate(lines, empty, step)["taken"],
+            lambda taken: F.filter(lines, lambda l, i: ~l["rating"] & ~l["bare"] & ~F.array_contains(taken, i)),
+        )
+
+    return bind(F.transform(items, marked), kept)["line"]
 
 
 def drop_lines(items: Column, patterns: Iterable[str] = tuple(DROP_LINES)) -> Column:

@@ -39,6 +39,7 @@ _CLOSES = {
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
     **{t: {"p"} for t in "p div ul ol dl table section article h1 h2 h3 h4 h5 h6 form footer header nav".split()},
 }
+_SLICE = 64
 _SILENT = frozenset(("script", "style", "template"))
 
 
@@ -113,9 +114,12 @@ def parse_pages(
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parsed = [_parse(h) for h in batch.column(len(kept)).to_pylist()]
-            columns = [batch.column(i) for i in range(len(kept))]
-            yield pa.RecordBatch.from_arrays(columns + [pa.array(parsed, type=_ARROW_DOM)], names=kept + ["dom"])
+            # Trees are larger than their pages, so they leave in slices of few pages.
+            for at in range(0, batch.num_rows, _SLICE):
+                part = batch.slice(at, _SLICE)
+                parsed = [_parse(h) for h in part.column(len(kept)).to_pylist()]
+                columns = [part.column(i) for i in range(len(kept))]
+                yield pa.RecordBatch.from_arrays(columns + [pa.array(parsed, type=_ARROW_DOM)], names=kept + ["dom"])
 
     source = spread(source) if balance else source
     return source.mapInArrow(tokenise, f"{fields}, dom {DOM_SCHEMA}")

@@ -11,6 +11,7 @@ from aislewatch.functions import text as tx
 from aislewatch.functions import urls
 from aislewatch.operators import blobs, html
 from aislewatch.rules import validity as rules
+from aislewatch.session import spread
 
 
 def _col(c: Column | str) -> Column:
@@ -240,13 +241,20 @@ def _matches(page: Column, patterns: Sequence[str], flags: str = "(?iu)") -> Col
 
 
 def layered_verdict(
-    pages: DataFrame, page: str = "html", url: str = "url", final_url: str = "final_url", http_status: str = "http_status"
+    pages: DataFrame,
+    page: str = "html",
+    url: str = "url",
+    final_url: str = "final_url",
+    http_status: str = "http_status",
+    balance: bool = True,
 ) -> DataFrame:
     """V6: add ``is_invalid``, ``reason`` and the score columns.
 
     Layers in order: status 404, missing-page text, redirect, type of the page's data, then category
-    signs against product signs. One projection; every page is read once and never leaves its row.
+    signs against product signs. One projection; every page is read once and never leaves its row,
+    after a small input has been spread over the cores (``balance``).
     """
+    pages = spread(pages) if balance else pages
     staged = pages.withColumn("_page", tx.unescape_script(page)).withColumns(
         {
             "category_score": _matches(F.col("_page"), rules.CATEGORY_SIGNS),

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aislewatch.functions import money, stock, text, urls
-from aislewatch.operators import blobs, html, validity
-from aislewatch.session import spread
+from aislewatch.functions import stock, text, urls
+from aislewatch.operators import blobs, html, prices, validity
 from aislewatch.rules.identifiers import DEFAULT_ID_RULE, ID_RULES
 
 MAX_IMAGES = 99
@@ -33,12 +32,13 @@ def observe_products(captures: DataFrame, max_images: int = MAX_IMAGES) -> DataF
     Verdict and JSON fields are read from the raw page in the JVM; the page then goes through the
     tokeniser once, and the raw HTML is dropped. No stage shuffles, except to spread a small input.
     """
-    judged = validity.layered_verdict(spread(captures)).withColumns(
+    judged = validity.layered_verdict(captures).withColumns(
         {**_jsonld_fields(F.col("html")), "retailer": urls.host_slug("url"), "blocked": validity.is_blocked("html")}
     )
+    judged = judged.withColumn("_scripts", prices.script_finds(F.col("html"), F.col("retailer")))
     keep = [
         "page_id", "url", "retailer", "is_invalid", "reason", "blocked",
-        "ld_name", "ld_description", "ld_price", "ld_currency", "ld_availability",
+        "ld_name", "ld_description", "ld_price", "ld_currency", "ld_availability", "_scripts",
     ]
     parsed = html.parse_pages(judged, keep=keep, balance=False)
     dom, nodes = F.col("dom"), F.col("dom.nodes")
@@ -48,16 +48,9 @@ def observe_products(captures: DataFrame, max_images: int = MAX_IMAGES) -> DataF
     buttons = F.filter(nodes, lambda n: n["tag"] == "button")
     elements = parsed.withColumns(
         {
-            "_price_node": html.first(
-                F.filter(
-                    nodes,
-                    lambda n: F.coalesce(n["attrs"]["data-testid"].rlike("^(?:product-)?price$"), F.lit(False))
-                    | F.coalesce(n["attrs"]["itemprop"] == "price", F.lit(False)),
-                )
-            ),
+            "_places": prices.place_texts(dom, F.col("retailer"), F.col("ld_price"), F.col("_scripts")),
             "_buy": html.first(F.filter(buttons, lambda b: F.lower(html.text_of(dom, b)).rlike(stock.rules.BUY_TEXT))),
             "_body": html.page_text(dom),
-            "_meta_price": html.meta(dom, "og:price:amount", "product:price:amount"),
             "_meta_description": html.meta(dom, "description"),
             "name": html.product_name(dom, jsonld=F.col("ld_name")),
             "image_urls": F.slice(
@@ -69,28 +62,19 @@ def observe_products(captures: DataFrame, max_images: int = MAX_IMAGES) -> DataF
             ),
         }
     )
-    price_node, buy = F.col("_price_node"), F.col("_buy")
+    buy = F.col("_buy")
     texts = elements.withColumns(
         {
-            "_onsite": F.coalesce(html.attr(price_node, "content"), html.text_of(dom, price_node)),
             "_buy_text": html.text_of(dom, buy),
             "_buy_off": buy["attrs"]["disabled"].isNotNull(),
             "_buy_aria": buy["attrs"]["aria-disabled"],
             "_buy_class": buy["attrs"]["class"],
         }
-    ).drop("dom", "_price_node", "_buy")
+    ).drop("dom", "_buy", "_scripts")
 
-    onsite = F.col("_onsite")
-    price = money.first_with_source(
-        [
-            (F.coalesce(money.any_currency(onsite)["amount"], money.euros(onsite), money.kronor(onsite)), "dom"),
-            (F.col("ld_price").try_cast(money.MONEY), "jsonld"),
-            (F.col("_meta_price").try_cast(money.MONEY), "meta"),
-        ]
-    )
     read = texts.withColumns(
         {
-            "_price": price,
+            "_price": prices.price_at(F.col("_places")),
             "_pressed": stock.button("_buy_text", F.col("_buy_off"), F.col("_buy_aria"), F.col("_buy_class")),
             "_offered": stock.availability("ld_availability"),
             "_spoken": stock.phrase_state(F.lit(None).cast("string"), "_body"),

@@ -92,14 +92,14 @@ def _serial_rating_filter(lines):
     return kept
 
 
-@settings(max_examples=40, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.sampled_from(["4 out of 5 stars", "Read a Review", "3.5", "12", "(7)", "kettle", "lid"]), max_size=12))
 def test_rating_lines(spark, lines):
     df = spark.createDataFrame([(lines,)], "x array<string>")
     assert df.select(text.drop_rating_lines(F.col("x")).alias("y")).first()["y"] == _serial_rating_filter(lines)
 
 
-@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.sampled_from(["a", "A", "b", "b.", ""]), max_size=8))
 def test_distinct_lines(spark, lines):
     df = spark.createDataFrame([(lines,)], "x array<string>")
