@@ -14,6 +14,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    # Recording the call site of every column expression makes large plans slow to build.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -55,8 +57,9 @@ def spread(df: DataFrame) -> DataFrame:
     The optimiser's own size estimate decides. An input already large enough to fill the cluster
     with scan partitions is returned as it is, without a shuffle.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
+    if not hasattr(df, "_jdf"):  # no local optimiser to ask
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     per_task = 128 * 1024 * 1024
     return df if size // per_task >= cores else df.repartition(cores)
