@@ -34,7 +34,7 @@ def _sorted(rows):
     return sorted(rows, key=lambda r: tuple((v is None, str(type(v)), v if v is not None else "") for v in r))
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(entry_module.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = entry_module.queries()[name](spark, FOLDER)
     columns = sorted(df.columns)
