@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aislewatch.llm import mixing, quality
+from aislewatch.llm import chat, mixing, quality, token_files
+from aislewatch.llm.shared import scratch_folder
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -22,6 +25,25 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@_query
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all conversations, and of one full of control strings, read back from their formatted text."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    said = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    return chat.digest_conversations(chat.read_conversations(chat.format_conversations(turns.union(extra))))
+
+
+@_query
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, written as ORC and read back: place, number and checksum of each document's."""
+    path = f"{scratch_folder(spark)}/token-files-{uuid.uuid4().hex}"
+    token_files.write_token_files(_documents(spark, sf_dir), path, public_tokenizers.path("byte_bpe_50k.json"))
+    read = token_files.read_token_files(spark, path)
+    tokens = F.size("ids").cast("bigint").alias("n_tokens")
+    return read.select("doc_id", "start", tokens, token_files.ids_crc32("ids").alias("ids_crc32"))
+
+
 @_query
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document the mix takes."""
