@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aislewatch.llm import chat, mixing, quality, token_files
+from aislewatch.llm import chat, licences, mixing, quality, sketches, token_files
 from aislewatch.llm.shared import scratch_folder
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,12 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@_query
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts, compared."""
+    return sketches.compare_with_edited(_documents(spark, sf_dir))
+
+
 @_query
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of all conversations, and of one full of control strings, read back from their formatted text."""
@@ -34,6 +40,26 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest_conversations(chat.read_conversations(chat.format_conversations(turns.union(extra))))
 
 
+@_query
+def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and labels of all documents."""
+    found = licences.scan_licences(_documents(spark, sf_dir).select("doc_id", "text"))
+    matches = F.col("licences.matches")
+    base = F.filter(matches, lambda m: m["base"])
+    starts = F.transform(base, lambda m: m["start"])
+    labels = lambda some: F.array_join(F.array_sort(F.array_distinct(F.transform(some, lambda m: m["label"]))), ",")
+    return found.select(
+        "doc_id",
+        "licences.n_words",
+        F.size(base).cast("bigint").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        labels(base).alias("base_labels"),
+        labels(matches).alias("labels"),
+        F.coalesce(F.array_max(F.transform(matches, lambda m: m["coverage"])), F.lit(0.0)).alias("score"),
+    )
+
+
 @_query
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents, written as ORC and read back: place, number and checksum of each document's."""
