@@ -16,8 +16,9 @@ from tokenizers import Tokenizer
 from aislewatch.llm.shared import rows_of
 
 END_ID = 2
-#: Pieces whose ids a Python worker remembers before it starts afresh.
-REMEMBERED_PIECES = 600_000
+#: Words, and pieces made of words, whose ids a Python worker remembers before it starts afresh.
+REMEMBERED_WORDS = 500_000
+REMEMBERED_PIECES = 200_000
 #: Rows between two entries of a row index; stripes are closed at about this many bytes.
 INDEX_STRIDE = 1000
 STRIPE_BYTES = 16 * 1024 * 1024
@@ -46,26 +47,41 @@ class PieceEncoder(dict):
 
     def __init__(self, file: str, specials_are_text: bool = False):
         super().__init__()
+        self.newer: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.tokenizer.encode_special_tokens = specials_are_text
         kind = self.tokenizer.pre_tokenizer
-        self.by_piece = self.tokenizer.normalizer is None and b'"use_regex":true' in (
-            kind.__getstate__() if kind is not None else b""
-        ) and b'"add_prefix_space":false' in kind.__getstate__()
+        cuts = kind.__getstate__() if kind is not None else b""
+        byte_level = cuts.startswith(b'{"type":"ByteLevel"') and b'"use_regex":true' in cuts
+        self.by_piece = byte_level and b'"add_prefix_space":false' in cuts and self.tokenizer.normalizer is None
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= REMEMBERED_PIECES:
             self.clear()
+        value = self[piece] = self.composed(piece)
+        return value
+
+    def composed(self, piece: str) -> bytes:
         head, line_end, tail = piece.partition("\n")
         if line_end and head and tail and not head[-1].isspace() and not tail[0].isspace():
-            value = self[head] + self["\n"] + self[tail]
-        elif piece[-1:] in ".,;:!?" and piece[-2:-1].isalpha():
-            value = self[piece[:-1]] + self[piece[-1]]
-        else:
-            value = self.whole(piece)
-        self[piece] = value
+            return self.composed(head) + self.word(line_end) + self.composed(tail)
+        if piece[-1:] in ".,;:!?" and piece[-2:-1].isalpha():
+            return self.word(piece[:-1]) + self.word(piece[-1])
+        return self.word(piece)
+
+    def word(self, word: str) -> bytes:
+        """From the words met lately, or those met before them; a full memory keeps its newer half."""
+        value = self.newer.get(word)
+        if value is None:
+            value = self.older.get(word)
+            if value is None:
+                value = self.whole(word)
+            if len(self.newer) >= REMEMBERED_WORDS:
+                self.newer, self.older = {}, self.newer
+            self.newer[word] = value
         return value
 
     def whole(self, text: str) -> bytes:
@@ -141,7 +157,8 @@ def read_token_files(spark: SparkSession, path: str, doc_ids: Iterable[int] | No
     bases = total.select("_part", F.coalesce(before, F.lit(0)).alias("_base"))
     if doc_ids is not None:
         rows = rows.filter(F.col("doc_id").isin(list(doc_ids)))
-    found = rows.select("doc_id", "part_start", "ids", part).join(bases, "_part")
+    # The number of written partitions bounds the broadcast: a few bytes for each.
+    found = rows.select("doc_id", "part_start", "ids", part).join(F.broadcast(bases), "_part")
     return found.select("doc_id", (F.col("_base") + F.col("part_start")).alias("start"), "ids")
 
 
