@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -18,11 +19,13 @@ from aislewatch.llm.shared import rows_of
 END_ID = 2
 #: Words, and pieces made of words, whose ids a Python worker remembers before it starts afresh.
 REMEMBERED_WORDS = 500_000
-REMEMBERED_PIECES = 200_000
+REMEMBERED_PIECES = 400_000
 #: Rows between two entries of a row index; stripes are closed at about this many bytes.
 INDEX_STRIDE = 1000
 STRIPE_BYTES = 16 * 1024 * 1024
 
+#: Letters up to here have been letters in every version of Unicode that a tokenizer may know.
+_LAST_LETTER = "\u024f"
 _BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
 _SPACE_RUN = re.compile(r"\s ")
 _ASCII_SPACE_RUNS = tuple(c + " " for c in " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f")
@@ -57,6 +60,9 @@ class PieceEncoder(dict):
         cuts = kind.__getstate__() if kind is not None else b""
         byte_level = cuts.startswith(b'{"type":"ByteLevel"') and b'"use_regex":true' in cuts
         self.by_piece = byte_level and b'"add_prefix_space":false' in cuts and self.tokenizer.normalizer is None
+        #: How the tokenizer spells the bytes of a blank and of common letters, asked from itself.
+        spelt = [" ", *(c for c in map(chr, range(ord(_LAST_LETTER) + 1)) if c.isalpha())]
+        self.byte_letters = {ord(c): kind.pre_tokenize_str(c)[0][0] for c in spelt} if self.by_piece else {}
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= REMEMBERED_PIECES:
@@ -85,11 +91,17 @@ class PieceEncoder(dict):
         return value
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        """A word of common letters goes to the tokenizer's model at once, as the one part that it is."""
+        letters = text[1:] if text[:1] == " " else text
+        if letters.isalpha() and max(letters) <= _LAST_LETTER:
+            ids = [token.id for token in self.tokenizer.model.tokenize(text.translate(self.byte_letters))]
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def ids(self, text: str) -> bytes:
         if not self.by_piece:
-            return self.whole(text)
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return b"".join(map(self.__getitem__, pieces(text)))
 
 
