@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aislewatch.llm import chat, licences, mixing, quality, sketches, token_files
+import corpus_pipeline
+from aislewatch.llm import chat, jaccard, licences, lines, mixing, packing, quality, sketches, suffix_model, token_files
 from aislewatch.llm.shared import scratch_folder
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +32,12 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.compare_with_edited(_documents(spark, sf_dir))
 
 
+@_query
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle count and near-duplicate component of each document: three words, nine tenths in common."""
+    return jaccard.near_components(_documents(spark, sf_dir), jaccard.Nearness(width=3, percent=90))
+
+
 @_query
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of all conversations, and of one full of control strings, read back from their formatted text."""
@@ -40,6 +47,28 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest_conversations(chat.read_conversations(chat.format_conversations(turns.union(extra))))
 
 
+@_query
+def op4_suffix_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a model of those whose crc32(doc_id) mod 5 is not 1."""
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 1, F.lit(False))
+    model = suffix_model.train(docs.filter(~held_out))
+    scored = suffix_model.score(docs.withColumn("held_out", held_out), model, ["doc_id", "held_out"])
+    return scored.withColumn("train_tokens", F.lit(model.train_tokens).cast("bigint"))
+
+
+@_query
+def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bins of all documents."""
+    return packing.pack(_documents(spark, sf_dir))
+
+
+@_query
+def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without repeated lines."""
+    return lines.dedup_lines(_documents(spark, sf_dir).select("doc_id", "text"))
+
+
 @_query
 def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases and labels of all documents."""
@@ -83,3 +112,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.with_quality(_documents(spark, sf_dir).select("doc_id", "text"), "q")
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     return judged.select("doc_id", *[f"q.{n}" for n in names], "q.whole_ratio", "q.reason")
+
+
+LLM_QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    LLM_ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
