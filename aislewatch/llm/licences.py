@@ -46,7 +46,7 @@ TEMPLATES = (
     Template("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
 )
 #: Share of a template's words that must stand at their places around the key phrase.
-LEAST_COVERAGE = 0.5
+LEAST_COVERAGE = 0.2
 
 _SEPARATED = bytes(
     c + 32 if 0x41 <= c <= 0x5A else c if c >= 0x80 or 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A else 0x20 for c in range(256)

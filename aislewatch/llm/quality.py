@@ -24,13 +24,14 @@ class Band:
 
 
 #: Short texts compress badly because the frame costs some bytes and nothing repeats yet, so limits
-#: widen with length. The lower limits reject encoded or random bytes, the upper ones repetition.
+#: rise with length. The lower limits reject encoded or random bytes (base64 comes to 1.33), the upper
+#: ones repetition.
 BANDS = (
-    Band(512, 0.95, 6.0, 0.95, 6.0),
-    Band(2048, 1.10, 8.0, 1.00, 8.0),
-    Band(8192, 1.25, 9.0, 1.10, 12.0),
-    Band(65536, 1.35, 12.0, 1.15, 16.0),
-    Band(None, 1.35, 16.0, 1.15, 20.0),
+    Band(512, 1.10, 6.0, 1.10, 6.0),
+    Band(2048, 1.25, 8.0, 1.25, 8.0),
+    Band(8192, 1.35, 9.0, 1.33, 12.0),
+    Band(65536, 1.40, 12.0, 1.33, 16.0),
+    Band(None, 1.40, 16.0, 1.33, 20.0),
 )
 CHUNK_BYTES = 4096
 LEVEL = 3

@@ -14,8 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from aislewatch.llm.shared import rows_of
-
 END_ID = 2
 #: Words, and pieces made of words, whose ids a Python worker remembers before it starts afresh.
 REMEMBERED_WORDS = 500_000
@@ -192,9 +190,11 @@ def texts_back(files: DataFrame, tokenizer: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Tokenizer.from_file(tokenizer)
-        for row in rows_of(batches):
-            text = known.decode(row["ids"][:-1], skip_special_tokens=False)
-            yield pa.RecordBatch.from_pydict({"doc_id": [row["doc_id"]], "text": [text]})
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                texts = [known.decode(ids[:-1], skip_special_tokens=False) for ids in part.column("ids").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     id_type = files.schema["doc_id"].dataType.simpleString()
     return files.select("doc_id", "ids").mapInArrow(run, f"doc_id {id_type}, text string")
