@@ -21,7 +21,7 @@ def j1(t):
 
 
 BLOB_FEED = """
-SELECT p_partkey, p_name, p_brand, CASE p_partkey % 5 WHEN 0 THEN '{"a":"' || p_name || '"} , ' WHEN 1 THEN '{"a":"' || p_name || '"}' || chr(10) || '{"a":"' || p_brand || '"}'
+SELECT p_partkey, p_name, p_brand, CASE p_partkey % 5 WHEN 0 THEN '{"a":"earlier","a":"' || p_name || '"} , ' WHEN 1 THEN '{"a":"' || p_name || '"}' || chr(10) || '{"a":"' || p_brand || '"}'
    WHEN 2 THEN '{broken' WHEN 3 THEN '[{"a":1}]' ELSE '{"a":"x"}' || chr(10) || '{bad' END AS blob FROM part
 """
 
@@ -59,13 +59,13 @@ STATE_FEED = """
 SELECT o_orderkey, o_orderstatus, o_orderpriority, CAST(o_custkey AS STRING) AS cust,
   '{"props":{"zeta":{"description":"' || o_orderpriority || '","inStock":' || CASE WHEN o_orderkey % 2 = 0 THEN 'true' ELSE 'false' END || '},'
   || '"alpha":[{"@type":"Product","name":"p' || CAST(o_custkey AS STRING) || '","more":{"deep":{"@type":"Product","name":"inner","availability":"' || o_orderstatus || '"}}}]},'
-  || '"longDescription":"{not json","available":' || CASE WHEN o_orderkey % 3 = 0 THEN '"yes"' ELSE 'true' END || ',"Availability":"Last' || o_orderstatus || '"}' AS state FROM orders
+  || '"deep":{"l1":{"l2":[{"l3":{"l4":{"l5":{"l6":{"l7":{"@type":"Product","sku":1,"sku":2,"name":"ninth"}}}}}}]}},"longDescription":"{not json","available":' || CASE WHEN o_orderkey % 3 = 0 THEN '"yes"' ELSE 'true' END || ',"Availability":"Last' || o_orderstatus || '"}' AS state FROM orders
 """
 
 
 @register(
     "J4_products_at_any_depth",
-    "SELECT o_orderkey, 'p' || o_custkey || '|inner' AS names FROM orders",
+    "SELECT o_orderkey, 'p' || o_custkey || '|inner|ninth' AS names FROM orders",
 )
 def j4(t):
     walked = blobs.walk(t.feed(STATE_FEED).select("o_orderkey", "state"), "state")
@@ -91,14 +91,11 @@ def j5(t):
     "SELECT o_orderkey, '{not json' AS description, o_orderpriority AS nested, 'p' || o_custkey AS name FROM orders",
 )
 def j6(t):
-    walked = blobs.walk(t.feed(STATE_FEED).select("o_orderkey", "state"), "state")
-    w = F.col("walk")
-    return walked.select(
-        "o_orderkey",
-        blobs.first_of_keys(w, ["description", "longDescription"]).alias("description"),
-        blobs.first_of_keys(w, ["description", "productOverview"]).alias("nested"),
-        blobs.first_of_keys(w, ["title", "name"]).alias("name"),
-    )
+    searches = {
+        "description": ["description", "longDescription"], "nested": ["description", "productOverview"], "name": ["title", "name"],
+    }
+    walked = blobs.walk(t.feed(STATE_FEED).select("o_orderkey", "state"), "state", searches=searches)
+    return walked.select("o_orderkey", *[blobs.first_of_keys(F.col("walk"), name).alias(name) for name in searches])
 
 
 @register(

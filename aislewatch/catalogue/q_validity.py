@@ -21,8 +21,8 @@ def nodes():
 )
 def v1(t):
     body = text.body_text("html")
-    pages = validity.with_error_phrase(t.feed(CAPTURE), body, F.lit("very"), "guarded")
-    return validity.with_error_phrase(pages, body, F.lit("very"), "plain", guarded=False).select("page_id", "guarded", "plain")
+    pages = validity.with_error_phrase(t.feed(CAPTURE), body, F.lit("very"), "guarded", guarded=True)
+    return validity.with_error_phrase(pages, body, F.lit("very"), "plain").select("page_id", "guarded", "plain")
 
 
 def _parsed(t):

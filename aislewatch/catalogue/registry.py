@@ -7,6 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from aislewatch.session import allow_repeated_keys
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -20,6 +22,7 @@ class Tables:
     """The tables of one data folder, read lazily."""
 
     def __init__(self, spark: SparkSession, folder: str):
+        allow_repeated_keys(spark)
         self.spark = spark
         self.folder = folder
 

@@ -64,13 +64,11 @@ INSTALMENT = r"(?i)zapłać później|raty|allegropay|w (?:styczniu|lutym|marcu|
 
 
 def zloty(text: Column | str) -> Column:
-    """Złoty text whose integer and fraction may stand in separate nodes; instalments are skipped."""
+    """Złoty text whose integer, grouped or not, and fraction may stand in separate nodes; instalments are skipped."""
     text = _col(text)
-    amount = F.concat_ws(
-        ".",
-        _found(text, r"(\d{1,6})[\s ]*[.,][\s ]*(\d{2})\b", 1),
-        _found(text, r"(\d{1,6})[\s ]*[.,][\s ]*(\d{2})\b", 2),
-    )
+    pattern = rf"(?<!\d)(\d{{1,3}}(?:{_BLANK}\d{{3}})+|\d{{1,6}}){_BLANK}*[.,]{_BLANK}*(\d{{2}})\b"
+    whole = F.regexp_replace(_found(text, pattern, 1), _BLANK, "")
+    amount = F.concat_ws(".", whole, _found(text, pattern, 2))
     value = F.nullif(amount, F.lit("")).try_cast(MONEY)
     return F.when(~text.rlike(INSTALMENT), plausible(value, "0.50", "100000"))
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable, Sequence
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -35,34 +37,38 @@ def strip_space(text: Column) -> Column:
     return F.regexp_replace(text, rf"^{_SPACE}+|{_SPACE}+$", "")
 
 
-# Named entities; the ampersand comes last so that nothing is decoded twice.
-ENTITIES = [
-    ("&nbsp;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"),
-    ("&middot;", "·"), ("&copy;", "©"), ("&pound;", "£"), ("&euro;", "€"), ("&amp;", "&"),
-]
+# The named character references of HTML, one literal that the optimiser folds to a map.
+_NAMED = json.dumps({name[:-1]: letters for name, letters in html5.items() if name.endswith(";")})
+_REFERENCE = r"^(#\d{1,9}|#[xX][0-9A-Fa-f]{1,8}|[A-Za-z][A-Za-z0-9]*);"
 
 
 def decode_entities(text: Column | str) -> Column:
-    """Named entities, then decimal and hexadecimal character references of the basic plane."""
+    """Named, decimal and hexadecimal character references, in one scan, so nothing is decoded twice.
+
+    A reference to no character is U+FFFD; an unknown name stays as it is.
+    """
     out = _col(text)
-    numeric = F.when(out.contains("&#"), _decode_numeric(out)).otherwise(out)
-    for name, letter in ENTITIES:
-        numeric = F.replace(numeric, F.lit(name), F.lit(letter))
-    return numeric
+    return F.when(out.contains("&"), _decoded(out)).otherwise(out)
 
 
-def _decode_numeric(text: Column) -> Column:
-    """Cut the text at each character reference and decode the head of every piece."""
+def _decoded(text: Column) -> Column:
+    """Cut the text at each ampersand and decode the head of every piece."""
+    named = F.from_json(F.lit(_NAMED), "map<string,string>")
 
     def piece(part: Column) -> Column:
-        digits = F.regexp_extract(part, r"^(\d{1,5});", 1)
-        hexes = F.regexp_extract(part, r"^[xX]([0-9A-Fa-f]{1,4});", 1)
-        rest = F.regexp_replace(part, r"^(?:\d{1,5}|[xX][0-9A-Fa-f]{1,4});", "")
-        point = F.when(digits != "", digits.cast("int")).when(hexes != "", F.conv(hexes, 16, 10).cast("int"))
-        letter = F.decode(F.unhex(F.lpad(F.hex(point), 4, "0")), "UTF-16BE")
-        return F.when(point.isNull(), F.concat(F.lit("&#"), part)).otherwise(F.concat(letter, rest))
-
-    parts = F.split(text, "&#")
+        def read(name: Column) -> Column:
+            digits = F.regexp_extract(name, r"^#(\d+)$", 1)
+            hexes = F.regexp_extract(name, r"^#[xX](\w+)$", 1)
+            point = F.when(digits != "", digits.cast("bigint")).when(hexes != "", F.conv(hexes, 16, 10).cast("bigint"))
+            real = (point > 0) & (point <= 0x10FFFF) & ~point.between(0xD800, 0xDFFF)
+            numeric = F.when(real, F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")).otherwise("\ufffd")
+            letters = F.when(name.startswith("#"), numeric).otherwise(F.element_at(named, name))
+            rest = F.substr(part, F.length(name) + 2)
+            return F.when((name == "") | letters.isNull(), F.concat(F.lit("&"), part)).otherwise(F.concat(letters, rest))
+
+        return bind(F.regexp_extract(part, _REFERENCE, 1), read)
+
+    parts = F.split(text, "&")
     return F.array_join(F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(piece(p))), "")
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import json
+import re
+from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,103 +74,108 @@ def objects(blobs: Column, types: Sequence[str] | None = SALE_TYPES) -> Column:
 
 # --- J4, J6, J7: walking ----------------------------------------------------------------------
 
-_NODE = "struct<path:array<int>,key:string,text:string,v:variant>"
-MAX_DEPTH = 8
-
-
-def walk(df: DataFrame, text: str, out: str = "walk", depth: int = MAX_DEPTH) -> DataFrame:
-    """Add every value of a JSON text, to ``depth`` levels, with its child positions as ``path``.
-
-    A VARIANT sorts its keys, so key order is taken from the text: both are walked side by side.
-    Each level is a column of its own; all work stays within the row.
+# Keys that carry stock flags in application state.
+FLAG_KEYS = {
+    "in_stock": (("instock", "in_stock", "isinstock"), "BOOLEAN"),
+    "purchasable": (("purchasable", "isavailable", "available"), "BOOLEAN"),
+    "availability": (("availability",), "STRING"),
+    "availability_status": (("availabilitystatus", "availability_status", "stockstatus", "stock_status"), "STRING"),
+}
+_FLAG_TYPES = {"BOOLEAN": bool, "STRING": str}
+
+
+class _Number(str):
+    """A number as it was written."""
+
+
+def _written(value: object) -> str:
+    """JSON text of a parsed value; texts and numbers stand for themselves."""
+    return str(value) if isinstance(value, str) else _json(value)
+
+
+def _json(value: object) -> str:
+    if isinstance(value, dict):
+        return "{" + ",".join(f"{json.dumps(k, ensure_ascii=False)}:{_json(v)}" for k, v in value.items()) + "}"
+    if isinstance(value, list):
+        return "[" + ",".join(map(_json, value)) + "]"
+    if isinstance(value, _Number):
+        return str(value)
+    return json.dumps(value, ensure_ascii=False)
+
+
+def _is_product(node: dict) -> bool:
+    kind = node.get("@type")
+    return kind == "Product" or (isinstance(kind, list) and "Product" in kind)
+
+
+def _harvest(text: str | None, searches: Mapping[str, Sequence[str]], flags: Mapping[str, tuple]) -> dict:
+    """What one walk over a JSON text finds. A stack holds the way, so depth has no limit of its own."""
+    out = {"products": [], "found": {}, "flags": {}}
+    try:
+        root = json.loads(re.sub(r"\s*,\s*$", "", (text or "").strip()), parse_int=_Number, parse_float=_Number)
+    except (ValueError, RecursionError):  # what the parser cannot read has no values
+        return out
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        if isinstance(node, dict):
+            if _is_product(node):
+                out["products"].append(_json(node))
+            for name, keys in searches.items():
+                held = [k for k in keys if node.get(k) is not None]
+                if name not in out["found"] and held:
+                    out["found"][name] = _written(node[held[0]])
+            for key, value in node.items():
+                for name, (keys, kind) in flags.items():
+                    if key.lower() in keys and isinstance(value, _FLAG_TYPES[kind]) and not isinstance(value, _Number):
+                        out["flags"][name] = _written(value)
+            stack += [v for v in reversed(node.values()) if isinstance(v, dict | list)]
+        elif isinstance(node, list):
+            stack += [v for v in reversed(node) if isinstance(v, dict | list)]
+    return out
+
+
+def walk(
+    df: DataFrame, text: str, out: str = "walk", searches: Mapping[str, Sequence[str]] | None = None,
+    flags: Mapping[str, tuple[Sequence[str], str]] = FLAG_KEYS,
+) -> DataFrame:
+    """Walk a JSON text once, to any depth, and add what the walk finds as the struct ``out``.
+
+    ``products``: JSON texts of all objects of type Product; ``found``: for each name of ``searches`` the
+    value of its keys in the first object that holds any; ``flags``: the last value of each flag. Objects
+    come before what they hold, in the order of the text. Of a repeated key the last value counts.
     """
+    wanted = dict(searches or {})
 
-    nothing = F.array().cast(f"array<{_NODE}>")
+    def harvest(part: pa.Array) -> pa.Array:
+        kind = pa.struct([
+            ("products", pa.list_(pa.string())), ("found", pa.map_(pa.string(), pa.string())), ("flags", pa.map_(pa.string(), pa.string())),
+        ])
+        rows = [_harvest(t.as_py(), wanted, flags) for t in part]
+        return pa.array([r | {k: list(r[k].items()) for k in ("found", "flags")} for r in rows], kind)
 
-    def children(n: Column) -> Column:
-        def node(key: Column, value: Column, v: Column, i: Column) -> Column:
-            return F.struct(
-                F.concat(n["path"], F.array(i)).alias("path"), key.alias("key"), value.alias("text"), v.alias("v")
-            )
-
-        fields = F.map_entries(F.from_json(n["text"], T.MapType(T.StringType(), T.StringType())))
-        items = F.from_json(n["text"], T.ArrayType(T.StringType()))
-        of_object = lambda typed: F.transform(
-            fields, lambda e, i: node(e["key"], e["value"], F.element_at(typed, e["key"]), i)
-        )
-        of_array = lambda kinds: F.transform(
-            items, lambda x, i: node(F.lit(None).cast("string"), x, F.get(kinds, i), i)
-        )
-        kind = F.schema_of_variant(n["v"])
-        return (
-            F.when(kind.startswith("OBJECT"), bind(_get(n["v"], "$", "map<string,variant>"), of_object))
-            .when(kind.startswith("ARRAY"), bind(_get(n["v"], "$", "array<variant>"), of_array))
-            .otherwise(nothing)
-        )
-
-    clean = F.regexp_replace(F.trim(F.col(text)), r"\s*,\s*$", "")
-    root = F.struct(
-        F.array().cast("array<int>").alias("path"),
-        F.lit(None).cast("string").alias("key"),
-        clean.alias("text"),
-        F.try_parse_json(clean).alias("v"),
-    )
-    out_df = spread(df).withColumn("_level0", F.array(root))
-    for level in range(1, depth + 1):
-        out_df = out_df.withColumn(f"_level{level}", F.flatten(F.transform(F.col(f"_level{level - 1}"), children)))
-    levels = [f"_level{i}" for i in range(depth + 1)]
-    return out_df.withColumn(out, F.concat(*levels)).drop(*levels)
+    read = F.arrow_udf(harvest, "products array<string>, found map<string,string>, flags map<string,string>")
+    return spread(df).withColumn(out, read(F.col(text)))
 
 
 def products_at_any_depth(walked: Column) -> Column:
     """Every object with ``@type`` Product, outermost and first ones first."""
-    hits = F.filter(walked, lambda n: F.coalesce(_has_type(n["v"], ["Product"]), F.lit(False)))
-    order = F.sort_array(F.transform(hits, lambda n, i: F.struct(n["path"].alias("path"), i.alias("i"))))
-    return bind(hits, lambda h: F.transform(order, lambda o: F.get(h, o["i"])["v"]))
+    return F.transform(walked["products"], F.try_parse_json)
 
 
-def _parent(n: Column) -> Column:
-    return F.slice(n["path"], 1, F.size(n["path"]) - 1)
+def first_of_keys(walked: Column, name: str) -> Column:
+    """Depth-first, the first object holding any key of a search; within it the first listed key."""
+    return F.element_at(walked["found"], name)
 
 
-def first_of_keys(walked: Column, keys: Sequence[str]) -> Column:
-    """Depth-first, the first object holding any of the keys; within it the first listed key."""
-    named = F.filter(walked, lambda n: n["key"].isin(*keys) & n["text"].isNotNull())
-    priority = F.array(*[F.lit(k) for k in keys])
-    ranked = F.transform(
-        named,
-        lambda n: F.struct(
-            _parent(n).alias("parent"), F.array_position(priority, n["key"]).alias("rank"), n["text"].alias("text")
-        ),
-    )
-    return F.array_min(ranked)["text"]
-
-
-def last_flag(walked: Column, keys: Sequence[str], kind: str) -> Column:
-    """Last value of the given type under any of the keys (compared in lower case)."""
-    typed = F.transform(
-        F.filter(walked, lambda n: F.lower(n["key"]).isin(*keys)),
-        lambda n: F.struct(
-            _parent(n).alias("parent"),
-            F.element_at(n["path"], -1).alias("i"),
-            F.when(F.schema_of_variant(n["v"]) == kind, n["text"]).alias("value"),
-        ),
-    )
-    return F.array_max(F.filter(typed, lambda e: e["value"].isNotNull()))["value"]
-
-
-# Keys that carry stock flags in application state.
-FLAG_KEYS = {
-    "in_stock": (("instock", "in_stock", "isinstock"), "BOOLEAN"),
-    "purchasable": (("purchasable", "isavailable", "available"), "BOOLEAN"),
-    "availability": (("availability",), "STRING"),
-    "availability_status": (("availabilitystatus", "availability_status", "stockstatus", "stock_status"), "STRING"),
-}
+def last_flag(walked: Column, name: str) -> Column:
+    """Last value of the flag's type under any of its keys (compared in lower case)."""
+    return F.element_at(walked["flags"], name)
 
 
 def stock_flags(walked: Column) -> Column:
     """Struct of the four harvested flags."""
-    return F.struct(*[F.lower(last_flag(walked, keys, kind)).alias(name) for name, (keys, kind) in FLAG_KEYS.items()])
+    return F.struct(*[F.lower(last_flag(walked, name)).alias(name) for name in FLAG_KEYS])
 
 
 # --- J5, J8, J9, J11 --------------------------------------------------------------------------

@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from aislewatch.functions import money
+from aislewatch.functions.text import bind
 from aislewatch.operators import html
 from aislewatch.rules.prices import DEFAULT_STRATEGIES, PRICE_STRATEGIES, Strategy
 
@@ -39,14 +40,14 @@ def _by_retailer(retailer: Column, table: Mapping[str, Column], default: Column)
 def script_finds(
     page: Column, retailer: Column, table: Mapping[str, Sequence[Strategy]] = PRICE_STRATEGIES, default: Sequence[Strategy] = DEFAULT_STRATEGIES
 ) -> Column:
-    """Texts found by the retailer's patterns over the raw page, in strategy order.
+    """All texts found by each of the retailer's patterns over the raw page, in strategy order.
 
     Taken before the page is tokenised, so the raw page need not be carried any further.
     """
 
     def finds(strategies: Sequence[Strategy]) -> Column:
-        found = [F.nullif(F.regexp_extract(page, p, 1), F.lit("")) for p in _patterns(strategies)]
-        return F.array(*found) if found else F.array().cast("array<string>")
+        found = [F.filter(F.regexp_extract_all(page, F.lit(p), F.lit(1)), lambda x: x != "") for p in _patterns(strategies)]
+        return F.array(*found) if found else F.array().cast("array<array<string>>")
 
     return _by_retailer(retailer, {n: finds(s) for n, s in table.items() if _patterns(s)}, finds(default))
 
@@ -55,32 +56,32 @@ def place_texts(
     dom: Column, retailer: Column, jsonld: Column, scripts: Column,
     table: Mapping[str, Sequence[Strategy]] = PRICE_STRATEGIES, default: Sequence[Strategy] = DEFAULT_STRATEGIES,
 ) -> Column:
-    """The retailer's places in strategy order: (parse, source, floor, text), text NULL where there is none."""
+    """The retailer's places in strategy order, all elements of each in page order: (parse, source, floor, text)."""
+
+    def reader(s: Strategy):
+        return (lambda n: html.attr(n, s.attr)) if s.attr else (lambda n: html.text_of(dom, n))
 
     def texts(strategies: Sequence[Strategy]) -> Column:
         out, script_no = [], 0
         for s in strategies:
             if s.kind == "node":
-                node = html.first(html.select(dom["nodes"], **s.where))
-                out.append(html.attr(node, s.attr) if s.attr else html.text_of(dom, node))
+                found = html.select(dom["nodes"], **s.where)
+                out.append(F.transform(found, reader(s)))
             elif s.kind == "meta":
-                out.append(html.meta(dom, *s.where))
+                out.append(F.array(html.meta(dom, *s.where)))
             elif s.kind == "jsonld":
-                out.append(jsonld)
+                out.append(F.array(jsonld))
             elif s.kind == "body":
-                out.append(html.page_text(dom))
+                out.append(F.array(html.page_text(dom)))
             else:
-                out.append(F.get(scripts, F.lit(script_no)))
+                out.append(F.coalesce(F.get(scripts, F.lit(script_no)), F.array().cast("array<string>")))
                 script_no += 1
-        return F.array(
-            *[
-                F.struct(
-                    F.lit(s.parse).alias("parse"), F.lit(s.source).alias("source"),
-                    F.lit(s.floor or 0).alias("floor"), text.alias("text"),
-                )
-                for s, text in zip(strategies, out)
-            ]
-        )
+
+        def place(s: Strategy, found: Column) -> Column:
+            head = [F.lit(s.parse).alias("parse"), F.lit(s.source).alias("source"), F.lit(s.floor or 0).alias("floor")]
+            return F.transform(found, lambda text: F.struct(*head, text.alias("text")))
+
+        return F.flatten(F.array(*[place(s, found) for s, found in zip(strategies, out)]))
 
     return _by_retailer(retailer, {n: texts(s) for n, s in table.items()}, texts(default))
 
@@ -100,5 +101,7 @@ def price_at(places: Column) -> Column:
 
     given = F.filter(places, lambda p: p["text"].isNotNull())
     fit = F.filter(F.transform(given, read), lambda r: F.coalesce(r["value"] >= r["floor"], F.lit(False)))
-    best = F.get(fit, F.lit(0))
-    return F.when(best.isNotNull(), F.struct(best["value"].alias("value"), best["source"].alias("source")))
+    chosen = lambda best: F.when(
+        best.isNotNull(), F.struct(best["value"].alias("value"), best["source"].alias("source"))
+    )
+    return bind(F.get(fit, F.lit(0)), chosen)

@@ -41,22 +41,30 @@ def guarded_match(text: Column, pattern: str, terms: str = rules.PRODUCT_TERMS,
     return F.when(found != "", ~window.rlike(terms)).otherwise(False)
 
 
-def error_phrase(body: Column | str, phrases: Sequence[str], guarded: bool = True) -> Column:
+def phrase_away_from_product(text: Column, phrase: str, terms: str = rules.PRODUCT_TERMS, reach: int = rules.WINDOW) -> Column:
+    """The phrase occurs, and the text around its first occurrence, itself left out, holds no product term."""
+    at, size = F.position(F.lit(phrase), text), len(phrase)
+    before = F.substr(text, F.greatest(F.lit(1), at - reach), F.least(at - 1, F.lit(reach)))
+    after = F.substr(text, at + size, F.lit(reach))
+    return F.when(at > 0, ~before.rlike(terms) & ~after.rlike(terms)).otherwise(False)
+
+
+def error_phrase(body: Column | str, phrases: Sequence[str], guarded: bool = False) -> Column:
     """V1: ``error_message:<phrase>`` for the first listed phrase found in lower-cased page text.
 
-    One alternation is tested first, so pages without any phrase cost a single scan.
+    With ``guarded`` a phrase counts only away from product terms. One alternation is tested first, so pages without any phrase cost a single scan.
     """
     body = _col(body)
     chain = None
     for phrase in phrases:
-        test = guarded_match(body, _literal(phrase)) if guarded else body.contains(phrase)
+        test = phrase_away_from_product(body, phrase) if guarded else body.contains(phrase)
         label = f"error_message:{phrase[:30]}"
         chain = F.when(test, label) if chain is None else chain.when(test, label)
     return F.when(body.rlike("|".join(_literal(p) for p in phrases)), chain)
 
 
 def with_error_phrase(
-    pages: DataFrame, body: Column, retailer: Column | str, out: str = "error", guarded: bool = True
+    pages: DataFrame, body: Column, retailer: Column | str, out: str = "error", guarded: bool = False
 ) -> DataFrame:
     """V1 under each retailer's own list. The body text is staged once; all phrases read that column."""
     staged = pages.withColumn("_body", F.lower(body))

@@ -8,9 +8,7 @@ from pyspark.sql import functions as F
 from aislewatch.functions import stock, text, urls
 from aislewatch.operators import blobs, html, prices, validity
 from aislewatch.rules.identifiers import DEFAULT_ID_RULE, ID_RULES
-
-MAX_IMAGES = 99
-
+from aislewatch.session import allow_repeated_keys
 
 def _jsonld_fields(page: Column) -> dict[str, Column]:
     """Plain columns from the page's first Product, so no VARIANT crosses to the tokeniser."""
@@ -26,12 +24,15 @@ def _jsonld_fields(page: Column) -> dict[str, Column]:
     }
 
 
-def observe_products(captures: DataFrame, max_images: int = MAX_IMAGES) -> DataFrame:
+def observe_products(captures: DataFrame, max_images: int | None = None) -> DataFrame:
     """One observation per capture (page_id, url, final_url, http_status, html).
 
+    All images are kept unless ``max_images`` is given.
+
     Verdict and JSON fields are read from the raw page in the JVM; the page then goes through the
     tokeniser once, and the raw HTML is dropped. No stage shuffles, except to spread a small input.
     """
+    allow_repeated_keys(captures.sparkSession)
     judged = validity.layered_verdict(captures).withColumns(
         {**_jsonld_fields(F.col("html")), "retailer": urls.host_slug("url"), "blocked": validity.is_blocked("html")}
     )
@@ -53,15 +54,13 @@ def observe_products(captures: DataFrame, max_images: int = MAX_IMAGES) -> DataF
             "_body": html.page_text(dom),
             "_meta_description": html.meta(dom, "description"),
             "name": html.product_name(dom, jsonld=F.col("ld_name")),
-            "image_urls": F.slice(
-                F.array_distinct(
-                    F.array_compact(F.transform(html.select(nodes, tag="img"), html.image_address))
-                ),
-                1,
-                max_images,
+            "image_urls": F.array_distinct(
+                F.array_compact(F.transform(html.select(nodes, tag="img"), html.image_address))
             ),
         }
     )
+    if max_images is not None:
+        elements = elements.withColumn("image_urls", F.slice("image_urls", 1, max_images))
     buy = F.col("_buy")
     texts = elements.withColumns(
         {

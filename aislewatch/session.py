@@ -33,6 +33,11 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
     return builder.getOrCreate()
 
 
+def allow_repeated_keys(spark: SparkSession) -> None:
+    """Let VARIANT keep the last value of a repeated JSON key instead of refusing the whole text."""
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Checkpoint to the shared folder of ``spark.checkpoint.dir``.
 
@@ -54,12 +59,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Spread a small input over all cores before a Python-heavy stage.
 
-    The optimiser's own size estimate decides. An input already large enough to fill the cluster
-    with scan partitions is returned as it is, without a shuffle.
+    An input that the optimiser takes to be large enough to fill the cluster, or that already has a
+    partition for every core, is returned as it is, without a shuffle.
     """
     if not hasattr(df, "_jdf"):  # no local optimiser to ask
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     per_task = 128 * 1024 * 1024
-    return df if size // per_task >= cores else df.repartition(cores)
+    if size // per_task >= cores or df._jdf.queryExecution().executedPlan().execute().getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)

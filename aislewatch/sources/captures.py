@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aislewatch.operators.images import union_sources
+from aislewatch.operators.images import distinct_first
 
 
 def read_pages(spark: SparkSession, path: str, columns: Sequence[str] = ("page_id", "url", "html")) -> DataFrame:
@@ -55,10 +55,9 @@ def choose_capture(
     return captures.groupBy(page).agg(F.min_by(F.struct(*rest), order).alias("_c")).select(page, "_c.*")
 
 
-def union_capture_images(images: DataFrame, page: str, capture_no: str, key: str, pos: str, captures: int = 2) -> DataFrame:
-    """Images of several captures of a page; an earlier capture wins a key."""
-    by_capture = [images.filter(F.col(capture_no) == n).drop(capture_no) for n in range(captures)]
-    return union_sources(by_capture, page, key, pos)
+def union_capture_images(images: DataFrame, page: str, capture_no: str, key: str, pos: str) -> DataFrame:
+    """Images of all captures of a page; an earlier capture wins a key. ``source_no`` is the capture's number."""
+    return distinct_first(images.withColumnRenamed(capture_no, "source_no"), page, key, ["source_no", pos])
 
 
 # Suffixes of image files.

@@ -8,7 +8,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from aislewatch.functions import money, stock, text, urls, vectors
-from aislewatch.operators import blobs, html
+from aislewatch.operators import blobs, html, prices
+from aislewatch.rules.prices import DEFAULT_STRATEGIES, Strategy
 
 
 def one(spark, value, expr, kind="string"):
@@ -120,9 +121,18 @@ def test_adaptive_steps_are_not_monotone(spark):
 
 def test_walk_follows_the_order_of_the_text(spark):
     state = '{"z":{"name":"first"},"a":{"name":"second","deep":[{"name":"third"}]}}'
-    walked = blobs.walk(spark.createDataFrame([(state,)], "x string"), "x")
-    assert walked.select(blobs.first_of_keys(F.col("walk"), ["name"]).alias("y")).first()["y"] == "first"
-    assert walked.select(blobs.last_flag(F.col("walk"), ("name",), "STRING").alias("y")).first()["y"] == "third"
+    searches, flags = {"n": ["name"]}, {"n": (("name",), "STRING")}
+    walked = blobs.walk(spark.createDataFrame([(state,)], "x string"), "x", searches=searches, flags=flags)
+    assert walked.select(blobs.first_of_keys(F.col("walk"), "n").alias("y")).first()["y"] == "first"
+    assert walked.select(blobs.last_flag(F.col("walk"), "n").alias("y")).first()["y"] == "third"
+
+
+def test_walk_has_no_depth_limit_and_keeps_the_last_of_repeated_keys(spark):
+    product = '{"@type":["Thing","Product"],"sku":1.50,"sku":2.50}'
+    state = '{"a":' * 60 + product + "}" * 60
+    walked = blobs.walk(spark.createDataFrame([(state,), ("{bad",), (None,), ("",)], "x string"), "x")
+    found = [r["p"] for r in walked.select(F.col("walk.products").alias("p")).collect()]
+    assert sorted(found) == [[], [], [], ['{"@type":["Thing","Product"],"sku":2.50}']]
 
 
 def test_selectors(spark):
@@ -141,3 +151,25 @@ def test_selectors(spark):
     assert row["inside"] == ["one", "two bold"]
     assert row["starts"] == row["both"] == ["three four"]
     assert row["images"] == 1
+
+
+def test_entities_are_decoded_once_and_above_the_basic_plane(spark):
+    said = "&#128512;&#x1F600;&#65537;&eacute;&rsquo;&hellip;&ndash;&amp;lt;&#38;lt;&nosuch;&&nbsp;&#0;&#xD800;"
+    want = "😀😀\U00010001é’…–&lt;&lt;&nosuch;&\u00a0\ufffd\ufffd"
+    assert one(spark, said, text.decode_entities) == want
+
+
+def test_zloty_with_grouped_thousands(spark):
+    for said, want in {"1 234,50 zł": "1234.50", "12 345,00 zł": "12345.00", "349, 99 zł": "349.99", "1234,50 zł": "1234.50"}.items():
+        assert str(one(spark, said, money.zloty)) == want
+
+
+def test_price_places_try_every_element(spark):
+    page = '<div class="_7030e_x">raty 34,99 zł</div><div class="_7030e_x">cena 349, 99 zł</div>'
+    rule = {"shop": (Strategy("node", "box", {"tag": "div", "contains": {"class": "_7030e_"}}, "zloty"),)}
+    df = spark.createDataFrame([("shop", page)], "retailer string, html string")
+    scripts = prices.script_finds(F.col("html"), F.col("retailer"), rule, ())
+    parsed = html.parse_pages(df.withColumn("scripts", scripts))
+    places = prices.place_texts(F.col("dom"), F.col("retailer"), F.lit(None).cast("string"), F.col("scripts"), rule, DEFAULT_STRATEGIES)
+    got = parsed.withColumn("places", places).select(prices.price_at(F.col("places")).alias("p")).first()["p"]
+    assert (str(got["value"]), got["source"]) == ("349.99", "box")

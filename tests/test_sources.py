@@ -66,10 +66,10 @@ def test_split_errors(spark):
 
 
 def test_capture_images_prefer_the_earlier_capture(spark):
-    rows = [(1, 0, "a", 1), (1, 1, "a", 0), (1, 1, "b", 1)]
+    rows = [(1, 0, "a", 1), (1, 1, "a", 0), (1, 1, "b", 1), (1, 2, "c", 0), (1, 3, "b", 0), (1, 4, "d", 2)]
     df = spark.createDataFrame(rows, "page int, capture_no int, key string, pos int")
     got = captures.union_capture_images(df, "page", "capture_no", "key", "pos").orderBy("key").collect()
-    assert [(r["key"], r["source_no"], r["pos"]) for r in got] == [("a", 0, 1), ("b", 1, 1)]
+    assert [(r["key"], r["source_no"], r["pos"]) for r in got] == [("a", 0, 1), ("b", 1, 1), ("c", 2, 0), ("d", 4, 2)]
 
 
 def test_variant_messages(spark):

@@ -70,3 +70,18 @@ def test_layered(layered, case):
 def test_layered_details(layered):
     assert layered["category"]["redirect_detected"] is True and layered["category"]["category_score"] >= 2
     assert layered["product"]["json_ld_type"] == "Product" and layered["product"]["product_score"] >= 2
+
+
+@pytest.mark.parametrize(
+    "body, guarded, found",
+    [
+        ("product not found", True, True), ("this product is no longer available", True, True),
+        ("price 5 product not found", True, False), ("price 5 product not found", False, True),
+        ("price " + "x" * 600 + " page not found", True, True), ("all is well", False, False),
+    ],
+)
+def test_error_phrase_and_its_guard(spark, body, guarded, found):
+    phrases = ["page not found", "product not found", "this product is no longer available"]
+    df = spark.createDataFrame([(body,)], "x string")
+    got = df.select(validity.error_phrase("x", phrases, guarded).alias("y")).first()["y"]
+    assert (got is not None) == found
