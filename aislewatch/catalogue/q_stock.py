@@ -172,3 +172,25 @@ def k9(t):
 def k10(t):
     best = stock.by_precedence("retailer", _signals())
     return t.feed(SIGNAL_FEED).select("o_orderkey", best["text"].alias("stock_text"))
+
+
+COUNTRY_FEED = """
+SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN 'SE' WHEN 1 THEN 'PL' WHEN 2 THEN 'DE' WHEN 3 THEN 'FR' WHEN 4 THEN 'GB' END AS country,
+  p_name || CASE p_partkey % 12 WHEN 0 THEN ' Slut i lager' WHEN 1 THEN ' Dodaj do koszyka' WHEN 2 THEN ' Ausverkauft' WHEN 3 THEN ' Ajouter au panier' WHEN 4 THEN ' Sold out'
+    WHEN 5 THEN ' Ausverkauft' WHEN 6 THEN ' lägg i varukorg' WHEN 7 THEN ' wyprzedane' WHEN 8 THEN ' in den Warenkorb' WHEN 9 THEN ' Rupture de stock' WHEN 10 THEN ' in stock' ELSE '' END AS body
+FROM part
+"""
+
+
+@register(
+    "K3_stock_by_country",
+    with_feed(
+        COUNTRY_FEED,
+        """SELECT p_partkey, CASE WHEN p_partkey % 12 IN (0, 2, 4, 7, 9) THEN FALSE WHEN p_partkey % 12 IN (1, 3, 6, 8, 10) THEN TRUE END AS state,
+             CASE p_partkey % 12 WHEN 0 THEN 'slut i lager' WHEN 1 THEN 'dodaj do koszyka' WHEN 2 THEN 'ausverkauft' WHEN 3 THEN 'ajouter au panier' WHEN 4 THEN 'sold out'
+               WHEN 6 THEN 'lägg i varukorg' WHEN 7 THEN 'wyprzedane' WHEN 8 THEN 'in den warenkorb' WHEN 9 THEN 'rupture de stock' WHEN 10 THEN 'in stock' END AS text FROM feed""",
+    ),
+)
+def k3_by_country(t):
+    said = stock.state_by_country(F.lit(None).cast("string"), "body", "country")
+    return t.feed(COUNTRY_FEED).withColumn("s", said).select("p_partkey", F.col("s.state").alias("state"), F.col("s.text").alias("text"))

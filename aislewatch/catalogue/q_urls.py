@@ -6,6 +6,7 @@ from aislewatch.catalogue.feeds import IMAGE_LIST
 from aislewatch.catalogue.registry import register, with_feed
 from aislewatch.functions import urls
 from aislewatch.rules.identifiers import DEFAULT_ID_RULE, ID_RULES, SIZE_REWRITES, SIZES
+from aislewatch.rules.retailers import RETAILERS
 
 
 @register("U1_drop_query", "SELECT page_id, regexp_replace(url, '[?#].*$', '') AS clean_url FROM pages")
@@ -32,14 +33,14 @@ SELECT p_partkey, retailer,
     WHEN 'allegro' THEN 'https://allegro.example/oferta/' || slug || '-' || lpad(k, 11, '1')
     WHEN 'walmart' THEN 'https://www.walmart.example/ip/' || slug || '/' || k
     WHEN 'wayfair' THEN 'https://www.wayfair.example/' || slug || '/' || k
-    WHEN 'kitchenwarehouse' THEN 'https://www.kw.example/product/' || slug || '-' || k || '.html?x=2'
+    WHEN 'kitchenware' THEN 'https://www.kw.example/product/' || slug || '-' || k || '.html?x=2'
     WHEN 'freemans' THEN 'https://www.freemans.example/products/' || slug || '/_/A-' || k
     WHEN 'range' THEN 'https://www.range.example/' || slug || '#' || lpad(k, 6, '4')
     WHEN 'zola' THEN 'https://www.zola.example/shop/product/' || slug || '_' || k
     ELSE 'https://www.qvc.example/' || slug || '.product.K' || lpad(k, 6, '0') || '.html' END AS url, slug, k
 FROM (SELECT p_partkey, replace(p_name, ' ', '-') AS slug, CAST(p_partkey AS STRING) AS k,
         CASE p_partkey % 12 WHEN 0 THEN 'argos' WHEN 1 THEN 'currys' WHEN 2 THEN 'macys' WHEN 3 THEN 'target'
-          WHEN 4 THEN 'allegro' WHEN 5 THEN 'walmart' WHEN 6 THEN 'wayfair' WHEN 7 THEN 'kitchenwarehouse'
+          WHEN 4 THEN 'allegro' WHEN 5 THEN 'walmart' WHEN 6 THEN 'wayfair' WHEN 7 THEN 'kitchenware'
           WHEN 8 THEN 'freemans' WHEN 9 THEN 'range' WHEN 10 THEN 'zola' ELSE 'qvc' END AS retailer
       FROM part)
 """
@@ -54,7 +55,7 @@ FROM (SELECT p_partkey, replace(p_name, ' ', '-') AS slug, CAST(p_partkey AS STR
              WHEN 'macys' THEN CASE WHEN p_partkey % 3 = 0 THEN slug ELSE 'ID-' || k END
              WHEN 'target' THEN 'A-' || k WHEN 'allegro' THEN lpad(k, 11, '1')
              WHEN 'walmart' THEN k WHEN 'wayfair' THEN substr(sha1(url), 1, 12)
-             WHEN 'kitchenwarehouse' THEN slug || '-' || k WHEN 'freemans' THEN k
+             WHEN 'kitchenware' THEN slug || '-' || k WHEN 'freemans' THEN k
              WHEN 'range' THEN lpad(k, 6, '4') WHEN 'zola' THEN slug || '_' || k
              ELSE 'K' || lpad(k, 6, '0') END AS product_id FROM feed""",
     ),
@@ -293,3 +294,16 @@ def u16(t):
     return t.part.select("p_partkey", F.posexplode(made).alias("place", "url")).withColumn(
         "place", F.col("place").cast("bigint")
     )
+
+
+SHOP_LIST = ", ".join(f"('{host}', '{key}', '{country}')" for host, key, country in RETAILERS)
+SHOP_FEED = f"""
+SELECT p_partkey, key, country, CASE p_partkey % 3 WHEN 0 THEN 'https://www.' || host || '/p/x' WHEN 1 THEN 'http://' || upper(host) || '?a=b' ELSE 'https://m.' || host || ':443/' END AS url
+FROM part JOIN (SELECT *, row_number() OVER (ORDER BY host) - 1 AS place FROM (VALUES {SHOP_LIST}) AS s(host, key, country)) AS shops ON p_partkey % {len(RETAILERS) + 1} = place
+UNION ALL SELECT p_partkey, 'corner', NULL, 'https://www.corner.example/' FROM part WHERE p_partkey % {len(RETAILERS) + 1} = {len(RETAILERS)}
+"""
+
+
+@register("U2_retailer_of", with_feed(SHOP_FEED, "SELECT p_partkey, key AS retailer, country FROM feed"))
+def u2_retailer(t):
+    return t.feed(SHOP_FEED).select("p_partkey", urls.retailer_of("url").alias("retailer"), urls.country_of("url").alias("country"))

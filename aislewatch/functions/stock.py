@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from aislewatch.rules import stock as rules
+from aislewatch.rules.retailers import LANGUAGES
 
 
 def _col(c: Column | str) -> Column:
@@ -75,6 +76,22 @@ def phrase_state(container: Column | str, body: Column | str, languages: Sequenc
     )
 
 
+def state_by_country(container: Column | str, body: Column | str, country: Column | str) -> Column:
+    """``phrase_state`` in the languages of the page's country, English elsewhere."""
+    country = _col(country)
+    branch = None
+    for code, languages in LANGUAGES.items():
+        said = phrase_state(container, body, languages)
+        branch = F.when(country == code, said) if branch is None else branch.when(country == code, said)
+    return branch.otherwise(phrase_state(container, body))
+
+
+def offered_state(retailer: Column | str, text: Column | str) -> Column:
+    """``availability`` under the retailer's rule for pre-orders."""
+    strict = _col(retailer).isin(*rules.PREORDER_IS_SOLD_OUT)
+    return F.when(strict, availability(text, preorder_is_sold_out=True)).otherwise(availability(text))
+
+
 def by_precedence(
     retailer: Column | str,
     signals: Mapping[str, Column],

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from aislewatch.functions.text import bind
 from aislewatch.rules.identifiers import IdRule
+from aislewatch.rules.retailers import RETAILERS
 
 _ID_CHARS = r"[^\w\-]+"
 
@@ -48,6 +49,24 @@ def host_slug(url: Column | str) -> Column:
     return F.coalesce(F.nullif(label, F.lit("")), F.lit("site"))
 
 
+def _shop(url: Column | str, table: Mapping[str, str]) -> Column:
+    """Value of the longest listed host that the URL's host is, or is below."""
+    known = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
+    host = F.regexp_replace(host_of(url), r"^www\.", "")
+    upper = F.regexp_replace(host, r"^[^.]+\.", "")
+    return F.coalesce(F.element_at(known, host), F.element_at(known, upper))
+
+
+def retailer_of(url: Column | str) -> Column:
+    """Retailer key of a URL: that of a listed host, else the host's slug. Two shops of one name have two keys."""
+    return F.coalesce(_shop(url, {host: key for host, key, _ in RETAILERS}), host_slug(url))
+
+
+def country_of(url: Column | str) -> Column:
+    """Country code of a listed host, else NULL."""
+    return _shop(url, {host: country for host, _, country in RETAILERS})
+
+
 def query_param(url: Column | str, name: str) -> Column:
     return extract(query_of(url), rf"(?:^|&){name}=([^&]*)")
 

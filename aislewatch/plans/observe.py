@@ -34,11 +34,11 @@ def observe_products(captures: DataFrame, max_images: int | None = None) -> Data
     """
     allow_repeated_keys(captures.sparkSession)
     judged = validity.layered_verdict(captures).withColumns(
-        {**_jsonld_fields(F.col("html")), "retailer": urls.host_slug("url"), "blocked": validity.is_blocked("html")}
+        {**_jsonld_fields(F.col("html")), "retailer": urls.retailer_of("url"), "country": urls.country_of("url"), "blocked": validity.is_blocked("html")}
     )
     judged = judged.withColumn("_scripts", prices.script_finds(F.col("html"), F.col("retailer")))
     keep = [
-        "page_id", "url", "retailer", "is_invalid", "reason", "blocked",
+        "page_id", "url", "retailer", "country", "is_invalid", "reason", "blocked",
         "ld_name", "ld_description", "ld_price", "ld_currency", "ld_availability", "_scripts",
     ]
     parsed = html.parse_pages(judged, keep=keep, balance=False)
@@ -75,8 +75,8 @@ def observe_products(captures: DataFrame, max_images: int | None = None) -> Data
         {
             "_price": prices.price_at(F.col("_places")),
             "_pressed": stock.button("_buy_text", F.col("_buy_off"), F.col("_buy_aria"), F.col("_buy_class")),
-            "_offered": stock.availability("ld_availability"),
-            "_spoken": stock.phrase_state(F.lit(None).cast("string"), "_body"),
+            "_offered": stock.offered_state("retailer", "ld_availability"),
+            "_spoken": stock.state_by_country(F.lit(None).cast("string"), "_body", "country"),
         }
     )
     signals = {
@@ -89,9 +89,9 @@ def observe_products(captures: DataFrame, max_images: int | None = None) -> Data
         {"_stock": stock.by_precedence("retailer", signals), "description": text.clean(description)}
     )
     numbered = urls.with_stable_id(found, ID_RULES, DEFAULT_ID_RULE)
-    in_stock = stock.default_state("retailer", F.col("_stock.state"))
+    in_stock = stock.default_state("retailer", F.col("_stock.state"), F.col("_buy_text").isNotNull())
     named = numbered.select(
-        "page_id", "url", "retailer", "product_id",
+        "page_id", "url", "retailer", "country", "product_id",
         (~F.col("is_invalid")).alias("is_valid"), F.col("reason").alias("verdict"), "blocked", "name",
         F.col("_price.value").alias("price_amount"), F.col("_price.source").alias("price_source"),
         F.col("ld_currency").alias("currency"), in_stock.alias("in_stock"), F.col("_stock.text").alias("stock_text"),

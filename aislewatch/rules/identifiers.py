@@ -47,11 +47,13 @@ ID_RULES: dict[str, IdRule] = {
     "qvc": IdRule(((r"(?i)\b([A-Z]\d{5,})\b", "url"),), hash_length=8, upper=True),
     "target": IdRule(((r"(?i)/A-(\d+)", "path"),), prefix="A-"),
     "walmart": IdRule(((r"/ip/[^/]+/(\d+)", "path"), (r"/(\d{7,})\b", "path"))),
+    "qvc_uk": IdRule(((r"(?i)\b([A-Z]\d{5,})\b", "url"),), hash_length=8, upper=True),
     "wayfair": IdRule(),
+    "wayfair_uk": IdRule(hash_length=8),
     "zola": IdRule(((r"(?i)/product/([^/?#]+)", "path"),), "raw"),
     "binglee": IdRule((), "raw"),
     "harveynorman": IdRule((), "stem"),
-    "kitchenwarehouse": IdRule((), "stem"),
+    "kitchenware": IdRule((), "stem"),
     "nightingale": IdRule((), "stem"),
     "templeandwebster": IdRule((), "segment"),
     "woolworths": IdRule(((r"/productdetails/([^/]+)", "path"),), "stem"),
@@ -64,8 +66,9 @@ SIZE_REWRITES: dict[str, tuple[str, str]] = {
     "kaufland": (r"/product-images/\d+x\d+/", "/product-images/1024x1024/"),
     "allegro": (r"/s\d+/", "/original/"),
     "homedepot": (r"(?i)_\d+(\.(?:jpg|jpeg|png|webp))$", "_1000$1"),
+    "wayfair_uk": (r"/resize-h\d+-w\d+(?:%5E|\^)compr-r\d+/", "/resize-h1600-w1600%5Ecompr-r85/"),
     "wayfair": (r"/resize-h\d+-w\d+(?:%5E|\^)compr-r\d+/", "/resize-h1600-w1600%5Ecompr-r85/"),
-    "kitchenwarehouse": (r"w_\d+", "w_2000"),
+    "kitchenware": (r"w_\d+", "w_2000"),
 }
 
 # Sizes offered by two image hosts, largest first.

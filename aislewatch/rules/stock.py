@@ -32,8 +32,10 @@ PRECEDENCE: dict[str, tuple[str, ...]] = {
     "jdwilliams": ("negative", "button", "jsonld"),
     "macys": ("negative", "button", "jsonld"),
     "wayfair": ("negative", "button", "jsonld"),
+    "wayfair_uk": ("negative", "button", "jsonld"),
     "bandq": ("button", "negative", "jsonld"),
     "qvc": ("button", "negative", "jsonld"),
+    "qvc_uk": ("button", "negative", "jsonld"),
     "target": ("button", "negative", "jsonld"),
     "currys": ("button", "negative", "jsonld"),
     "allegro": ("jsonld", "button", "negative"),
