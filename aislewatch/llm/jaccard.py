@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aislewatch.llm.shared import WordHashes, components, lower_words, mix, rows_of, shingle_hashes, stored
+from aislewatch.llm.shared import components, mix, rows_of, shingle_hashes, stored, word_hashes
 
 
 @dataclass(frozen=True)
@@ -94,9 +94,8 @@ def set_id(shingles: np.ndarray) -> int:
 
 
 def _sets(batches: Iterator[pa.RecordBatch], near: Nearness, *names: str) -> Iterator[tuple]:
-    known = WordHashes()
     for row in rows_of(batches):
-        shingles = shingle_hashes(known.of(lower_words(row["text"] or "")), near.width)
+        shingles = shingle_hashes(word_hashes(row["text"]), near.width)
         yield tuple(row[n] for n in names), shingles
 
 

@@ -8,14 +8,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Distinct words whose hashes a Python worker remembers before it starts afresh.
-REMEMBERED_WORDS = 300_000
-
 _own_folder: dict[str, str] = {}
 
 
@@ -61,32 +57,73 @@ def rows_of(batches: Iterator[pa.RecordBatch], size: int = 256) -> Iterator[dict
             yield from batch.slice(start, size).to_pylist()
 
 
-def lower_words(text: str) -> list[bytes]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` as UTF-8, A-Z lower-cased.
+def mix(x: np.ndarray) -> np.ndarray:
+    """Spread the bits of 64-bit integers (a published finaliser: two multiplications, three shifts)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+_MULTIPLIER = 0x9E3779B97F4A7C15
+_powers: dict[str, np.ndarray] = {}
+
+
+def powers(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first powers, ``count`` at least, of an odd number modulo 2**64, and of its inverse."""
+    if len(_powers.get("up", ())) < count:
+        size = max(count, 1 << 16)
+        for name, base in (("up", _MULTIPLIER), ("down", pow(_MULTIPLIER, -1, 1 << 64))):
+            steps = np.full(size, base, np.uint64)
+            steps[0] = 1
+            _powers[name] = np.multiply.accumulate(steps)
+    return _powers["up"], _powers["down"]
 
-    ``bytes.split`` and ``bytes.lower`` know exactly these six separators and these 26 letters.
+
+def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of runs of ``values``, each that of the run alone: sums of values times powers."""
+    if not len(starts):
+        return np.empty(0, np.uint64)
+    up, down = powers(len(values))
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values * up[: len(values)], dtype=np.uint64)))
+    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+class WordScan:
+    """Finds and hashes the words of UTF-8 bytes without making objects of them.
+
+    ``alike[b]`` is the byte that byte ``b`` counts as, or -1 if it separates words.
     """
-    return text.encode("utf-8").lower().split()
 
+    CHUNK = 1 << 18
 
-class WordHashes(dict):
-    """64-bit hashes of words, remembered for the frequent ones."""
+    def __init__(self, alike: list[int]):
+        table = np.array(alike)
+        self.inside = table >= 0
+        self.values = mix(np.maximum(table, 0).astype(np.uint64) + np.uint64(1))
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
+    def scan(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Hash and start of each word; a chunk of many words, or one long word, is hashed at a time."""
+        codes = np.frombuffer(data, np.uint8)
+        inside = np.concatenate(([False], self.inside[codes], [False]))
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        starts, ends = edges[0::2], edges[1::2]
+        out, at = [np.empty(0, np.uint64)], 0
+        while at < len(starts):
+            first = starts[at]
+            to = max(at + 1, int(np.searchsorted(ends, first + self.CHUNK, "right")))
+            values = self.values[codes[first : ends[to - 1]]]
+            out.append(run_hashes(values, starts[at:to] - first, ends[at:to] - first))
+            at = to
+        return np.concatenate(out), starts
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
+#: Words ``[^\\x20\\x09-\\x0D]+`` with A-Z counting as a-z.
+WORDS = WordScan([-1 if c == 0x20 or 0x09 <= c <= 0x0D else c + 32 if 0x41 <= c <= 0x5A else c for c in range(256)])
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """Spread the bits of 64-bit integers (a published finaliser: two multiplications, three shifts)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """64-bit hashes of the words of a text; of null, none."""
+    return WORDS.scan((text or "").encode("utf-8"))[0]
 
 
 def shingle_hashes(word_hashes: np.ndarray, width: int) -> np.ndarray:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aislewatch.llm.shared import WordHashes, lower_words, rows_of, shingle_hashes
+from aislewatch.llm.shared import rows_of, shingle_hashes, word_hashes
 
 WIDTH = 5
 SIZE = 256
@@ -19,13 +19,13 @@ SIZE = 256
 BITS = 48
 
 
-def sketch_of(text: str, known: WordHashes, width: int = WIDTH, size: int = SIZE) -> np.ndarray:
+def sketch_of(text: str, width: int = WIDTH, size: int = SIZE) -> np.ndarray:
     """The ``size`` smallest hashes, ascending, of the distinct word shingles of a whole text.
 
     A sketch with fewer than ``size`` hashes is the whole set. A text without words has none; one
     with fewer words than ``width`` is one shingle. A-Z count as a-z.
     """
-    hashes = shingle_hashes(known.of(lower_words(text)), width) >> np.uint64(64 - BITS)
+    hashes = shingle_hashes(word_hashes(text), width) >> np.uint64(64 - BITS)
     return _distinct(hashes)[:size].astype(np.int64)
 
 
@@ -70,8 +70,7 @@ def sketches(text: Column | str, width: int = WIDTH, size: int = SIZE) -> Column
 
     @F.arrow_udf("array<bigint>")
     def sketch(column: pa.Array) -> pa.Array:
-        known = WordHashes()
-        return pa.array([sketch_of(x or "", known, width, size) for x in column.to_pylist()], pa.list_(pa.int64()))
+        return pa.array([sketch_of(x or "", width, size) for x in column.to_pylist()], pa.list_(pa.int64()))
 
     return sketch(text)
 
@@ -183,7 +182,6 @@ def compare_with_edited(docs: DataFrame, width: int = WIDTH, size: int = SIZE) -
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
         held: tuple | None = None
         out: list[tuple] = []
 
@@ -192,7 +190,7 @@ def compare_with_edited(docs: DataFrame, width: int = WIDTH, size: int = SIZE) -
             n = len(text)
             half = n // 2
             edited = text[: n - half] + following[2][:half]
-            other = sketch_of(edited, known, width, size)
+            other = sketch_of(edited, width, size)
             return (
                 None if key == _LOWEST else key, n, hashlib.sha256(edited.encode()).hexdigest(), as_text(sketch), as_text(other),
                 resemblance(sketch, other, size), resemblance(sketch, following[3], size), containment(sketch, other, size),
@@ -210,7 +208,7 @@ def compare_with_edited(docs: DataFrame, width: int = WIDTH, size: int = SIZE) -
             text = r["text"] or ""
             if held is not None and held[0] == r["_range"] and closed:
                 continue  # a further copy of the row that closed this range
-            following = (r["_range"], r["_key"], text, sketch_of(text, known, width, size))
+            following = (r["_range"], r["_key"], text, sketch_of(text, width, size))
             if held is not None and held[0] == r["_range"]:
                 out.append(row(held, following))
             closed = r["_ahead"]

@@ -10,7 +10,7 @@ import zstandard
 from tokenizers import Tokenizer
 
 from aislewatch.llm import chat, jaccard, licences, lines, mixing, packing, quality, sketches, suffix_model, token_files
-from aislewatch.llm.shared import WordHashes, components, lower_words, shingle_hashes
+from aislewatch.llm.shared import WORDS, components, shingle_hashes, word_hashes
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -95,12 +95,11 @@ def back_of(turns):
 
 def test_sketches(spark):
     rng = np.random.default_rng(4)
-    known = WordHashes()
     texts = [" ".join(f"w{x}" for x in rng.integers(0, 10**6, n)) for n in (3, 40, 3000, 9000)]
-    own = [sketches.sketch_of(t, known) for t in texts]
+    own = [sketches.sketch_of(t) for t in texts]
     assert [len(s) for s in own] == [1, 36, 256, 256]
     assert sketches.distinct_count(own[3]) == pytest.approx(8996, rel=0.25)
-    whole = sketches.sketch_of(texts[2] + " " + texts[3], known)
+    whole = sketches.sketch_of(texts[2] + " " + texts[3])
     assert sketches.containment(own[2], whole) > 0.85
     table = spark.createDataFrame([(k % 2, s.tolist()) for k, s in enumerate(own)] + [(3, None)], "g int, sketch array<bigint>")
     merged = {r.g: r.sketch for r in sketches.merge_sketches(table, ["g"]).collect()}
@@ -144,8 +143,7 @@ def test_near_components_by_brute_force(spark, monkeypatch, limit):
     near = jaccard.Nearness(5, 80)
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
     found = {r.doc_id: r.component_id for r in jaccard.near_components(docs, near).collect()}
-    known = WordHashes()
-    sets = {i: set(shingle_hashes(known.of(lower_words(t)), 5).tolist()) for i, t, _ in rows}
+    sets = {i: set(shingle_hashes(word_hashes(t), 5).tolist()) for i, t, _ in rows}
     parent = {i: i for i in sets}
 
     def root(x):
@@ -212,14 +210,46 @@ def test_hamming_blocks_lose_no_pair(spark):
                 assert found[x] == found[y]
 
 
+def majority(hashes):
+    """The SimHash by counting bits one by one."""
+    values = hashes.tolist()
+    return sum(1 << bit for bit in range(64) if 2 * sum(v >> bit & 1 for v in values) > len(values))
+
+
+def test_simhashes_of_short_and_long_lines():
+    rng = np.random.default_rng(15)
+    sizes = [2, 3, 255, 256, 257, 40, 7, 1000]
+    words = rng.integers(0, 2**64, sum(sizes), dtype=np.uint64)
+    begins = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    found = lines.simhashes(words, begins, np.array(sizes))
+    same = lambda a, b: majority(words[a : a + b]) in (int(x) for x in found)
+    assert all(same(a, b) for a, b in zip(begins, sizes, strict=True))
+
+
+def test_word_scan_finds_words_and_tells_them_apart(monkeypatch):
+    rng = random.Random(16)
+    parts = ["a", "b", "A", "é", "  ", " ", "\n", "\x0b", "\x85", "\u3000", "🙂", "0", "\0"]
+    known = {}
+    for chunk in (1 << 18, 8):
+        monkeypatch.setattr(type(WORDS), "CHUNK", chunk)
+        for _ in range(1500):
+            text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 30)))
+            words = text.encode().lower().split()
+            hashes = word_hashes(text).tolist()
+            assert len(words) == len(hashes)
+            for w, h in zip(words, hashes, strict=True):
+                assert known.setdefault(w, h) == h
+    assert len(set(known.values())) == len(known)
+
+
 def brute_dedup(rows):
     """Lines of each document that stay, all pairs compared."""
-    held, known = [], WordHashes()
+    held = []
     for i, text, _ in rows:
         for k, line in enumerate(lines.normal_lines(text)):
             if len(line) >= lines.LEAST_WORDS:
-                sim = lines.simhashes(known.of(line), np.array([len(line)]))[0]
-                held.append((i, k, b" ".join(line).decode(), int(sim)))
+                content = b" ".join(line).decode()
+                held.append((i, k, content, majority(word_hashes(content))))
     group = list(range(len(held)))
 
     def root(x):
@@ -338,14 +368,13 @@ def test_suffix_model_distributions_sum_to_one(spark, awkward, empty, monkeypatc
     model = suffix_model.train(docs)
     tree = model.tree
     assert len(tree.parents) > 3
-    known = WordHashes()
     for context in ("a", "a b", "e b", "zzz", "c a"):
         total = 0.0
         for word in ("a", "b", "c", "d", "e", "f", None):
-            last = np.array([suffix_model.END if word is None else known[word.encode()]], np.uint64)
-            hashes = np.concatenate((known.of(context.encode().split()), last))
+            last = np.array([suffix_model.END], np.uint64) if word is None else word_hashes(word)
+            hashes = np.concatenate((word_hashes(context), last))
             total += 10 ** tree.log_scores(tree.numbers(hashes))[0][-1]
-        unknown = tree.log_scores(tree.numbers(known.of([*context.encode().split(), b"nobody"])))[0][-1]
+        unknown = tree.log_scores(tree.numbers(word_hashes(context + " nobody")))[0][-1]
         total += 10**unknown * 0.5 / (model.train_tokens + 0.5 * (model.distinct + 1))
         assert total == pytest.approx(1.0, abs=1e-6)
     scored = suffix_model.score(docs, model, ["doc_id"]).collect()
