@@ -132,20 +132,28 @@ def union_sources(sources: Sequence[DataFrame], page: str, key: str, pos: str) -
     return distinct_first(everything, page, key, ["source_no", pos])
 
 
-def fill_to_expected(images: DataFrame, page: str, tier: str, pos: str, expected: str, salts: int = 16) -> DataFrame:
+#: Rows of one page that one task ranks, about.
+RANKED_ROWS = 100_000
+
+
+def fill_to_expected(images: DataFrame, page: str, tier: str, pos: str, expected: str) -> DataFrame:
     """All of tier 0, then later tiers in order while fewer than the expected number.
 
     The fillers of a page are ranked in two steps, per salt and then over the survivors, so a page
-    with very many candidates is spread over ``salts`` tasks. The top of the tops is exact.
+    with very many candidates is spread over as many tasks as its rows ask for. The top of the tops
+    is exact. The largest number any page expects bounds all ranks, so Spark limits them before the shuffle.
     """
+    pages = images.groupBy(page).agg(F.count("*").alias("n"), F.max(expected).alias("most"))
+    rows, most = pages.agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.max("most"), F.lit(0))).first()
     base = images.filter(F.col(tier) == 0)
     held = base.groupBy(page).agg(F.count("*").alias("_held"))
     later = images.filter(F.col(tier) > 0).join(held, page, "left")
     later = later.withColumn("_need", F.col(expected) - F.coalesce("_held", F.lit(0))).filter(F.col("_need") > 0)
-    later = later.withColumn("_salt", F.pmod(F.xxhash64(page, tier, pos), F.lit(salts)))
+    later = later.withColumn("_salt", F.pmod(F.xxhash64(page, tier, pos), F.lit(1 + rows // RANKED_ROWS)))
     for part in ([page, "_salt"], [page]):
         window = Window.partitionBy(*part).orderBy(tier, pos)
-        later = later.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= F.col("_need")).drop("_rank")
+        ranked = later.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= int(most))
+        later = ranked.filter(F.col("_rank") <= F.col("_need")).drop("_rank")
     return base.unionByName(later.drop("_held", "_need", "_salt"))
 
 
@@ -166,21 +174,27 @@ def quality_rank(url: Column | str, patterns: Sequence[str] = ("/orig/", "/rocs1
 # --- I7-I11: choosing a group -----------------------------------------------------------------
 
 
+def _longest_run(numbers: Column) -> Column:
+    """Length of the longest run of consecutive numbers in an ascending array of distinct ones."""
+    start = F.struct(F.lit(None).cast("bigint").alias("last"), F.lit(0).cast("bigint").alias("run"), F.lit(0).cast("bigint").alias("best"))
+
+    def step(held: Column, number: Column) -> Column:
+        number = number.cast("bigint")
+        run = F.when(held["last"] == number - 1, held["run"] + 1).otherwise(F.lit(1).cast("bigint"))
+        return F.struct(number.alias("last"), run.alias("run"), F.greatest(held["best"], run).alias("best"))
+
+    return F.aggregate(numbers, start, step, lambda held: held["best"])
+
+
 def dominant_family(images: DataFrame, page: str, url: str, pos: str) -> DataFrame:
     """Keep each page's best family by (size, longest run of numbers, earliest position).
 
-    Rows are first counted per (page, family, number). Numbers have at most three digits, so the run
-    search sees no more than a thousand rows per family however large the page is.
+    Numbers have at most three digits, so a family's set of them, made before the shuffle too, has no
+    more than a thousand members however large the page is, and its runs are found within the row.
     """
     named = images.withColumns({"_family": family_key(url), "_number": family_number(url)})
-    counted = named.groupBy(page, "_family", "_number").agg(F.count("*").alias("n"), F.min(pos).alias("first_pos"))
-    by_number = Window.partitionBy(page, "_family").orderBy("_number")
-    islands = counted.withColumn("_island", F.when(F.col("_number").isNotNull(), F.col("_number") - F.row_number().over(by_number)))
-    runs = islands.groupBy(page, "_family", "_island").agg(
-        F.sum("n").alias("n"), F.min("first_pos").alias("first_pos"), F.count("_number").alias("run")
-    )
-    families = runs.groupBy(page, "_family").agg(
-        F.sum("n").alias("n"), F.min("first_pos").alias("first_pos"), F.max("run").alias("run")
+    families = named.groupBy(page, "_family").agg(
+        F.count("*").alias("n"), F.min(pos).alias("first_pos"), _longest_run(F.sort_array(F.collect_set("_number"))).alias("run")
     )
     best = families.groupBy(page).agg(F.max_by("_family", F.struct("n", "run", -F.col("first_pos"))).alias("_family"))
     return named.join(best, [page, "_family"]).drop("_number").withColumnRenamed("_family", "family")
