@@ -10,7 +10,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 _own_folder: dict[str, str] = {}
 
@@ -139,14 +138,6 @@ def shingle_hashes(word_hashes: np.ndarray, width: int) -> np.ndarray:
     return out[np.concatenate(([True], out[1:] != out[:-1]))]
 
 
-def long_list(offsets: np.ndarray, values: np.ndarray) -> pa.ListArray:
-    """Arrow lists of 64-bit values, from the lengths' running sums."""
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values.view(np.int64)))
-
-
-LINKS = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
-
-
 def components(links: DataFrame, label: str) -> DataFrame:
     """Connected components of ``links`` (a, b): one row (node, root) per node, root the smallest id.
 

@@ -260,7 +260,7 @@ def brute_dedup(rows):
     for x in range(len(held)):
         for y in range(x):
             a, b = held[x], held[y]
-            if a[2] == b[2] or ((a[3] ^ b[3]).bit_count() <= lines.RADIUS and lines.similar(a[2], b[2])):
+            if a[2] == b[2] or ((a[3] ^ b[3]).bit_count() <= lines.RADIUS and lines.similar(a[2].split(), b[2].split())):
                 p, q = root(x), root(y)
                 group[max(p, q)] = min(p, q)
     gone = {(i, k) for x, (i, k, _, _) in enumerate(held) if root(x) != x}
