@@ -385,5 +385,6 @@ def keep_one(docs: DataFrame, near: Nearness = Nearness()) -> DataFrame:
 
     Rows that repeat a doc_id stay or go together; rows with a null doc_id stay.
     """
-    gone = near_components(docs, near).filter("component_id != doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = near_components(docs, near).filter("component_id != doc_id").select("doc_id").distinct()
+    left, right = docs.alias("l"), gone.alias("r")
+    return left.join(right, F.col("l.doc_id") == F.col("r.doc_id"), "left_anti")

@@ -157,8 +157,10 @@ def mix_plan(docs: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it, with their own columns only."""
-    plan = mix_plan(docs).select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("copies").alias("_c"))
-    plan = plan.filter("_c > 0")
-    same = F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s"))
-    taken = docs.join(plan, same)
-    return taken.withColumn("_c", F.explode(F.expr("sequence(1, _c)"))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    plan = mix_plan(docs).filter("copies > 0").select("doc_id", "source", F.sequence(F.lit(1).cast("bigint"), "copies").alias("times"))
+    left, right = docs.alias("l"), plan.alias("r")
+    same = F.col("l.doc_id").eqNullSafe(F.col("r.doc_id")) & F.col("l.source").eqNullSafe(F.col("r.source"))
+    own = [F.col(f"l.`{c}`") for c in docs.columns]
+    # The number of a copy comes last and is dropped by place, so no column's name can clash with it.
+    taken = left.join(right, same).select(*own, F.explode("r.times").alias("_copy"))
+    return taken.toDF(*[f"c{k}" for k in range(len(own))], "_copy").drop("_copy").toDF(*docs.columns)

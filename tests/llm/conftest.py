@@ -27,7 +27,10 @@ def awkward(spark):
         (8, "one", "z", 1, 9, "q", "l"),
     ]
     kinds = "doc_id bigint, text string, source string, size bigint, n_tokens bigint, _quality string, region string"
-    return spark.createDataFrame(rows, kinds)
+    from pyspark.sql import functions as F
+
+    clashing = ("_d", "_s", "_c", "_n", "_row", "_j", "_own", "lines", "times", "copies", "whole", "c0", "set", "_block", "label")
+    return spark.createDataFrame(rows, kinds).withColumns({c: F.lit(c) for c in clashing})
 
 
 @pytest.fixture(scope="session")
