@@ -36,7 +36,7 @@ class Nearness:
 #: Sizes of sets fall into bands, each so many times as wide as the one before.
 BAND_RATIO = 1.5
 #: Shingles that one task joins at once; larger families are divided.
-REGION_SHINGLES = 4_000_000
+REGION_SHINGLES = 1_000_000
 PIVOTS = 16
 MOST_LEVELS = 4
 
@@ -187,8 +187,9 @@ class Region:
         self.nodes = nodes
         self.sizes = np.array([len(s) for s in shingles], np.int64)
         self.begin = np.concatenate(([0], np.cumsum(self.sizes)))
-        values, self.flat = np.unique(np.concatenate(shingles), return_inverse=True)
-        self.flag = np.zeros(len(values), np.int32)
+        values, numbers = np.unique(np.concatenate(shingles), return_inverse=True)
+        self.flat = numbers.astype(np.int32)
+        self.flag = np.zeros(len(values), np.int8)
 
     def shared(self, x: int, others: np.ndarray) -> np.ndarray:
         """Shingles that set ``x`` shares with each of ``others``."""
@@ -197,7 +198,7 @@ class Region:
         index = np.arange(ends[-1]) + np.repeat(self.begin[others] - (ends - lengths), lengths)
         own = self.flat[self.begin[x] : self.begin[x + 1]]
         self.flag[own] = 1
-        held = np.add.reduceat(self.flag[self.flat[index]], ends - lengths)
+        held = np.add.reduceat(self.flag[self.flat[index]], ends - lengths, dtype=np.int64)
         self.flag[own] = 0
         return held
 

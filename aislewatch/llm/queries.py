@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from aislewatch.llm import chat, jaccard, licences, lines, mixing, packing, quality, sketches, suffix_model, token_files
-from aislewatch.llm.shared import scratch_folder
+from aislewatch.llm.shared import scratch_folder, small_batches
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -23,7 +23,7 @@ def _query(fn: Callable[[SparkSession, str], DataFrame]):
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return small_batches(spark).read.parquet(f"{sf_dir}/documents.parquet")
 
 
 @_query

@@ -28,6 +28,16 @@ def scratch_folder(spark: SparkSession) -> str:
     return f"{configured.rstrip('/')}/llm-{app}"
 
 
+#: Rows that Spark hands to Python at once; it bounds the memory of both where texts are long.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """The session, set to hand texts to Python in batches of ``BATCH_ROWS`` at most."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return spark
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession

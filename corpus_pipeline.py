@@ -5,21 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from aislewatch.llm import jaccard, lines, mixing, packing, quality
-from aislewatch.llm.shared import stored
+from aislewatch.llm.shared import small_batches, stored
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rule and the compression bands accept."""
+    small_batches(spark)
     return quality.keep_good(docs)
 
 
 def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that an earlier document or line holds; those with nothing left go."""
+    small_batches(spark)
     return lines.dedup_lines(docs, drop_emptied=True)
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by four fifths of its five-word shingles."""
+    small_batches(spark)
     return jaccard.keep_one(docs, jaccard.Nearness(width=5, percent=80))
 
 

@@ -136,7 +136,7 @@ def copies(seed, groups, words=60):
     return rows
 
 
-@pytest.mark.parametrize("limit", [4_000_000, 2000])
+@pytest.mark.parametrize("limit", [1_000_000, 2000])
 def test_near_components_by_brute_force(spark, monkeypatch, limit):
     monkeypatch.setattr(jaccard, "REGION_SHINGLES", limit)
     rows = copies(6, [(90, 2), (40, 5), (2, 1), (1, 0), (30, 1)])
