@@ -62,14 +62,17 @@ def part_keys(shingles: np.ndarray, near: Nearness) -> np.ndarray:
     equal ranges, d taken for the largest a of the band. So at least s + 1 ranges hold the same
     shingles in both sets, and the one of them with most shingles is not among the s poorest ranges
     of either. Each set gives a key, of band, range and content, for all but its s poorest ranges: in
-    its own band, and in the next lower one if a linked set may lie there.
+    its own band, and in every lower one in which a linked set may lie.
     """
     n = len(shingles)
     own = band_of(n)
     keys = []
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(shingles ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64)))
     lowest = -(-n * near.percent // 100)
-    for band in (own, own - 1) if own > 0 and band_floor(own) > lowest else (own,):
+    least = own
+    while least > 0 and band_floor(least) > lowest:
+        least -= 1
+    for band in range(own, least - 1, -1):
         most = int(band_floor(band + 1)) - 1
         spared = most * (100 - near.percent) // near.percent
         slack = spared // 4
@@ -243,19 +246,45 @@ def region_links(nodes: list[int], shingles: list[np.ndarray], near: Nearness) -
     return links
 
 
+def region_pairs(nodes: list[int], shingles: list[np.ndarray], near: Nearness) -> list[tuple[int, int]]:
+    """All links (a, b) of the region, a < b, each once.
+
+    Sets are compared whose sizes allow a link and whose distances to the smallest set differ by no more than a link's reach.
+    """
+    if len(nodes) < 2:
+        return []
+    region = Region(nodes, shingles)
+    order, links = np.argsort(region.sizes, kind="stable"), []
+    sizes = region.sizes[order]
+    held = region.shared(int(order[0]), order)
+    distance = 1 - held / (sizes[0] + sizes - held)
+    for k in range(len(order) - 1):
+        to = int(np.searchsorted(near.percent * sizes, 100 * sizes[k], "right"))
+        later = np.arange(k + 1, max(to, k + 1))
+        later = later[np.abs(distance[later] - distance[k]) <= near.reach]
+        if not len(later):
+            continue
+        held = region.shared(int(order[k]), order[later])
+        found = later[100 * held >= near.percent * (sizes[k] + sizes[later] - held)]
+        x = nodes[order[k]]
+        links += [(min(x, nodes[y]), max(x, nodes[y])) for y in order[found].tolist()]
+    return links
+
+
 def _links_batch(links: list[tuple[int, int]]) -> pa.RecordBatch:
     a, b = zip(*links, strict=True) if links else ((), ())
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
-def join_regions(sets: DataFrame, near: Nearness) -> DataFrame:
-    """Links (a, b) within each region of ``sets``; a task holds one region at a time."""
+def join_regions(sets: DataFrame, near: Nearness, every: bool = False) -> DataFrame:
+    """Spanning links (a, b), or all, within each region of ``sets``; a task holds one region at a time."""
+    region_links_of = region_pairs if every else region_links
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         region, nodes, held, links = None, [], [], []
         for row in rows_of(batches):
             if nodes and row["region"] != region:
-                links += region_links(nodes, held, near)
+                links += region_links_of(nodes, held, near)
                 nodes, held = [], []
                 if len(links) > 10_000:
                     yield _links_batch(links)
@@ -263,7 +292,7 @@ def join_regions(sets: DataFrame, near: Nearness) -> DataFrame:
             region = row["region"]
             nodes.append(row["node"])
             held.append(np.frombuffer(row["shingles"], np.uint64))
-        yield _links_batch(links + region_links(nodes, held, near))
+        yield _links_batch(links + region_links_of(nodes, held, near))
 
     dealt = sets.repartition("region").sortWithinPartitions("region", "node")
     return dealt.select(*_SETS).mapInArrow(run, "a bigint, b bigint")
@@ -319,9 +348,11 @@ def pair_blocks(sets: DataFrame) -> DataFrame:
     return dealt.select(region.alias("region"), "node", "n", "shingles")
 
 
-def links_within(sets: DataFrame, near: Nearness) -> DataFrame:
+def links_within(sets: DataFrame, near: Nearness, every: bool = False) -> DataFrame:
     """Links (a, b) that connect what all links between sets of the same region connect, exactly.
 
+    With ``every`` these are all links, a < b and each once.
+
     Regions above ``REGION_SHINGLES`` are divided by pivots again and again. Where windows would send
     more than twice a region's shingles on, or more than half of them to one place, pivots do not
     pay; such a region, and one still too large after ``MOST_LEVELS``, is joined by block pairs.
@@ -330,12 +361,12 @@ def links_within(sets: DataFrame, near: Nearness) -> DataFrame:
     for level in range(MOST_LEVELS + 1):
         size = sets.groupBy("region").agg(F.sum("n").alias("_t"), F.count("*").alias("_c"))
         large = stored(size.filter((F.col("_t") > REGION_SHINGLES) & (F.col("_c") > 2)), "jaccard-large")
-        links.append(join_regions(sets.join(large, "region", "left_anti"), near))
+        links.append(join_regions(sets.join(large, "region", "left_anti"), near, every))
         if large.isEmpty():
             break
         big = sets.join(large.select("region"), "region", "left_semi")
         if level == MOST_LEVELS:
-            links.append(join_regions(pair_blocks(big), near))
+            links.append(join_regions(pair_blocks(big), near, every))
             break
         moved = voronoi(big, level, near)
         part = moved.groupBy("parent", "region").agg(F.sum("n").alias("_p"))
@@ -344,40 +375,52 @@ def links_within(sets: DataFrame, near: Nearness) -> DataFrame:
             "parent", ((F.col("_all") <= 2 * F.col("_t")) & (F.col("_most") <= F.col("_t") / 2)).alias("_pays")
         )
         pays = stored(pays, "jaccard-pays")
-        links.append(moved.filter("pivot is not null").select(F.col("pivot").alias("a"), F.col("node").alias("b")))
+        if not every:  # a set that links with a pivot is in the pivot's region too
+            links.append(moved.filter("pivot is not null").select(F.col("pivot").alias("a"), F.col("node").alias("b")))
         stays = pays.filter("not _pays").select(F.col("parent").alias("region"))
-        links.append(join_regions(pair_blocks(big.join(stays, "region", "left_semi")), near))
+        links.append(join_regions(pair_blocks(big.join(stays, "region", "left_semi")), near, every))
         goes = moved.join(pays.filter("_pays"), "parent").select("parent", "node", F.col("region").alias("_new"))
         old = big.select(F.col("region").alias("parent"), "node", "n", "shingles")
         divided = old.join(goes, ["parent", "node"]).select(F.col("_new").alias("region"), "node", "n", "shingles")
         sets = stored(divided, "jaccard-sets")
-    return reduce(DataFrame.union, links)
+    found = reduce(DataFrame.union, links)
+    return found.distinct() if every else found
 
 
-def near_components(docs: DataFrame, near: Nearness = Nearness()) -> DataFrame:
-    """Rows (doc_id, n_shingles, component_id, n_links) of all documents of ``docs``.
-
-    ``component_id`` is the smallest doc_id reachable by links, itself included; ``n_links`` counts
-    those of the returned spanning links that touch the document's set. Equal texts, and texts of
-    equal sets, are linked. A null or empty text, or one without words, has no shingle and no link; a
-    text of fewer words than ``width`` is one shingle. A row with a null doc_id has a null component
-    of its own and still connects others. Rows that share a doc_id are one document: its links are
-    those of any of them. Other columns are ignored; an empty table gives an empty table. Sets are
-    told apart by 64-bit hashes of words and shingles.
-    """
+def _linked(docs: DataFrame, near: Nearness, every: bool) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, n_shingles, set, component_id) of all documents, and links (a, b) of sets: spanning ones, or all."""
     measured = stored(measure_sets(docs, near), "jaccard-measured")
     family = families(docs, near)
     sets = stored(family_sets(docs, measured, family, near), "jaccard-sets")
-    links = stored(links_within(sets, near), "jaccard-links")
+    links = stored(links_within(sets, near, every), "jaccard-links")
     found = components(links, "jaccard-component").select(F.col("node").alias("set"), "root")
     group = measured.join(found, "set", "left").withColumn("_group", F.coalesce("root", "set"))
     least = group.filter("_group is not null").groupBy("_group").agg(F.min("doc_id").alias("_least"))
-    ends = links.select(F.col("a").alias("set")).union(links.select(F.col("b").alias("set")))
-    degree = ends.groupBy("set").agg(F.count("*").alias("n_links"))
-    whole = group.join(least, "_group", "left").join(degree, "set", "left")
-    return whole.select(
-        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("_least", "doc_id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("_least", "doc_id")).alias("component_id")
+    return group.join(least, "_group", "left").select("doc_id", "n_shingles", "set", component), links
+
+
+def near_components(docs: DataFrame, near: Nearness = Nearness()) -> DataFrame:
+    """Rows (doc_id, n_shingles, component_id, n_links) of all documents of ``docs``.
+
+    ``component_id`` is the smallest doc_id reachable by links, itself included; ``n_links`` counts the
+    other documents with which the text links. Equal texts, and texts of
+    equal sets, are linked. A null or empty text, or one without words, has no shingle and no link; a
+    text of fewer words than ``width`` is one shingle. A row with a null doc_id has a null component
+    of its own, still connects others, and counts as a document. Rows that share a doc_id and a set are one
+    document; those with other sets count once per set. Other columns are ignored; an empty table gives an
+    empty table. Sets are told apart by 64-bit hashes of words and shingles.
+    """
+    whole, links = _linked(docs, near, every=True)
+    holders = whole.filter("set is not null").groupBy("set").agg(
+        (F.count_distinct("doc_id") + F.sum(F.col("doc_id").isNull().cast("bigint"))).alias("_holders")
+    )
+    holders = stored(holders, "jaccard-holders")
+    ends = links.select(F.col("a").alias("_end"), F.col("b").alias("set")).union(links.select(F.col("b"), F.col("a")))
+    degree = ends.join(holders, "set").groupBy(F.col("_end").alias("set")).agg(F.sum("_holders").alias("_linked"))
+    return whole.join(holders, "set", "left").join(degree, "set", "left").select(
+        "doc_id", "n_shingles", "component_id",
+        (F.coalesce("_linked", F.lit(0)) + F.coalesce(F.col("_holders") - 1, F.lit(0))).alias("n_links"),
     )
 
 
@@ -386,6 +429,6 @@ def keep_one(docs: DataFrame, near: Nearness = Nearness()) -> DataFrame:
 
     Rows that repeat a doc_id stay or go together; rows with a null doc_id stay.
     """
-    gone = near_components(docs, near).filter("component_id != doc_id").select("doc_id").distinct()
+    gone = _linked(docs, near, every=False)[0].filter("component_id != doc_id").select("doc_id").distinct()
     left, right = docs.alias("l"), gone.alias("r")
     return left.join(right, F.col("l.doc_id") == F.col("r.doc_id"), "left_anti")
