@@ -10,7 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from aislewatch.llm import chat, jaccard, licences, lines, mixing, packing, quality, sketches, suffix_model, token_files
+from aislewatch.llm import (
+    centroids,
+    chat,
+    jaccard,
+    licences,
+    lines,
+    mixing,
+    negatives,
+    packing,
+    quality,
+    sketches,
+    suffix_model,
+    token_files,
+)
 from aislewatch.llm.shared import scratch_folder, small_batches
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,6 +127,26 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"q.{n}" for n in names], "q.whole_ratio", "q.reason")
 
 
+@_query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector, against all vectors."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine_negatives(vectors, moved, F.col("vec_id") % 50 == 0)
+
+
+LLM_ORACLES["op11_hard_negatives"] = negatives.ORACLE_SQL
+
+
+@_query
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of all vectors after three rounds over 16 centroids."""
+    return centroids.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
+
+
+LLM_ORACLES["op13_centroids"] = centroids.oracle_sql()
+
+
 LLM_QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     LLM_ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
