@@ -23,6 +23,7 @@ from aislewatch.llm import (
     sketches,
     suffix_model,
     token_files,
+    toxicity,
 )
 from aislewatch.llm.shared import scratch_folder, small_batches
 
@@ -138,6 +139,16 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_ORACLES["op11_hard_negatives"] = negatives.ORACLE_SQL
 
 
+@_query
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learnt from labels of those whose crc32(doc_id) mod 5 is not 0."""
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic").filter(~held_out)
+    model = toxicity.train(docs.filter(~held_out), labels)
+    return toxicity.score(docs.withColumn("held_out", held_out), model, ["doc_id", "held_out"])
+
+
 @_query
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clusters of all vectors after three rounds over 16 centroids."""
