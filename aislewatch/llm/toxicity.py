@@ -43,7 +43,9 @@ DISGUISES = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7"
 WORD = re.compile(r"[^\W\d_]+")
 DISGUISED = re.compile(r"[^\W\d_]+(?:[0-9@$!|*.\-_]+[^\W\d_]+)+")
 INNER_SIGN = re.compile(r"[0-9@$!|*_]")
-LENGTHENED = re.compile(r"([^\W\d_])\1\1")
+#: Stands in every disguised word, and is quickly found or missed.
+SIGN_AND_LETTER = re.compile(r"[0-9@$!|*_][0-9@$!|*.\-_]*[^\W\d_]")
+SHOUTED = re.compile(r"(?<!\w)[A-ZÀ-ÖØ-Þ]{3,}(?!\w)")
 
 FEATURES = (
     "words", "lexicon_density", "lexicon_weight", "heaviest", "lexicon_words", "second_person", "near_second_person",
@@ -53,6 +55,7 @@ FEATURES = (
 _CAPITALS = np.array([65 <= c <= 90 for c in range(256)])
 _LETTERS = np.array([65 <= c <= 90 or 97 <= c <= 122 or c >= 0xC3 for c in range(256)])
 _SIGNS = np.array([33 <= c <= 47 or 58 <= c <= 64 or 91 <= c <= 96 or 123 <= c <= 126 for c in range(256)])
+_ASCII_LETTERS = np.array([65 <= c <= 90 or 97 <= c <= 122 for c in range(256)])
 _CALLS = np.array([c in b"!?" for c in range(256)])
 
 
@@ -67,9 +70,13 @@ class ToxicityModel:
 
 
 class Weights(dict):
-    """Weight of each word met: the largest of the word's own and its beginnings'; at most ``MOST`` are remembered."""
+    """Weight of each word met: the largest of the word's own and its beginnings'; at most ``MOST`` are remembered.
+
+    ``PERSON`` is added to that of a second-person word, so that one look tells both.
+    """
 
     MOST = 300_000
+    PERSON = 1024.0
 
     def __init__(self, lexicon: dict[str, float]):
         super().__init__()
@@ -79,6 +86,7 @@ class Weights(dict):
         if len(self) >= self.MOST:
             self.clear()
         weight = max(self.lexicon.get(term, 0.0) for term in terms(word))
+        weight += self.PERSON if word in SECOND_PERSON else 0.0
         self[word] = weight
         return weight
 
@@ -94,20 +102,27 @@ def measure(text: str, weights: Weights) -> list[float]:
     words = WORD.findall(lower)
     n = max(len(words), 1)
     weight = np.fromiter(map(weights.__getitem__, words), np.float64, len(words))
+    persons = np.flatnonzero(weight >= Weights.PERSON)
+    weight[persons] -= Weights.PERSON
     hits = np.flatnonzero(weight)
-    persons = np.flatnonzero(np.fromiter(map(SECOND_PERSON.__contains__, words), bool, len(words)))
     near = np.searchsorted(persons, hits + NEAR_WORDS, "right") > np.searchsorted(persons, hits - NEAR_WORDS, "left")
     codes = np.frombuffer(text.encode("utf-8"), np.uint8)
     counts = np.bincount(codes, minlength=256)
     capitals, letters = int(counts[_CAPITALS].sum()), max(int(counts[_LETTERS].sum()), 1)
-    shouted = sum(map(str.isupper, filter(lambda w: len(w) > 2, WORD.findall(text)))) if capitals > 2 else 0
-    hidden = [w for w in DISGUISED.findall(lower) if INNER_SIGN.search(w)] if counts[48:58].any() or counts[_SIGNS].any() else []
-    plain = [WORD.sub("", w) and re.sub(r"[\W\d_]", "", w.translate(DISGUISES)) for w in hidden]
+    small = codes | 0x20
+    same = (small[1:] == small[:-1]) & _ASCII_LETTERS[small[1:]]
+    runs = same[1:] & same[:-1]
+    lengthened = int(runs[:1].sum()) + int((runs[1:] & ~runs[:-1]).sum())
+    hidden = []
+    if SIGN_AND_LETTER.search(lower):
+        some = [token for token in lower.split() if SIGN_AND_LETTER.search(token)]
+        hidden = [w for token in some for w in DISGUISED.findall(token) if INNER_SIGN.search(w)]
+    plain = [re.sub(r"[\W\d_]", "", w.translate(DISGUISES)) for w in hidden]
     return [
         math.log1p(len(words)), float(weight.sum()) / n, math.log1p(float(weight.sum())), float(weight.max(initial=0.0)),
-        math.log1p(len({words[k] for k in hits})), len(persons) / n, int(near.sum()) / n, capitals / letters, shouted / n,
+        math.log1p(len({words[k] for k in hits})), len(persons) / n, int(near.sum()) / n, capitals / letters, len(SHOUTED.findall(text)) / n,
         float(counts[_CALLS].sum()) / n, float(counts[_SIGNS].sum()) / n, len(hidden) / n,
-        sum(weights[w] > 0 for w in plain if w) / n, len(LENGTHENED.findall(lower)) / n,
+        sum(weights[w] % Weights.PERSON > 0 for w in plain if w) / n, lengthened / n,
     ]
 
 
