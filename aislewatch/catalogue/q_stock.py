@@ -57,8 +57,8 @@ SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'Tillfälligt slut' WHEN 1 TH
     ),
 )
 def k3(t):
-    found = stock.phrase_state("container", "body", ("en", "pl", "sv", "de", "fr"))
-    return t.feed(PHRASE_FEED).select("o_orderkey", found["state"].alias("in_stock"), found["text"].alias("stock_text"))
+    found = stock.with_phrase_state(t.feed(PHRASE_FEED), "container", "body", F.lit(stock.ANY_LANGUAGE))
+    return found.select("o_orderkey", F.col("spoken.state").alias("in_stock"), F.col("spoken.text").alias("stock_text"))
 
 
 SIGNAL_FEED = """
@@ -192,5 +192,5 @@ FROM part
     ),
 )
 def k3_by_country(t):
-    said = stock.state_by_country(F.lit(None).cast("string"), "body", "country")
-    return t.feed(COUNTRY_FEED).withColumn("s", said).select("p_partkey", F.col("s.state").alias("state"), F.col("s.text").alias("text"))
+    found = stock.with_phrase_state(t.feed(COUNTRY_FEED), F.lit(None).cast("string"), "body", "country")
+    return found.select("p_partkey", F.col("spoken.state").alias("state"), F.col("spoken.text").alias("text"))

@@ -4,8 +4,11 @@ from pyspark.sql import functions as F
 
 from aislewatch.catalogue.feeds import CAPTURE
 from aislewatch.catalogue.registry import register, with_feed
+from aislewatch.catalogue.verdict_cases import CASES
 from aislewatch.functions import text
+from aislewatch.functions.phrases import all_phrases
 from aislewatch.operators import html, validity
+from aislewatch.rules import validity as rules
 
 
 def nodes():
@@ -25,6 +28,37 @@ def v1(t):
     return validity.with_error_phrase(pages, body, F.lit("very"), "plain").select("page_id", "guarded", "plain")
 
 
+def _quoted(text):
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _choice(key, values):
+    """SQL that picks a value by a key, meaning the same in Spark and in the oracle."""
+    return f"CASE {key} % {len(values)} " + " ".join(f"WHEN {n} THEN {_quoted(v)}" for n, v in enumerate(values)) + " END"
+
+
+# Every document, with one phrase of all lists set into it, judged by one shop's list.
+PHRASE_FEED = f"""SELECT doc_id, {_choice("doc_id", list(rules.ERROR_PHRASES))} AS shop,
+  text || ' ' || {_choice("doc_id", [p.capitalize() for p in all_phrases()])} || '. ' || text AS body FROM documents"""
+
+
+def _first_contained(shop, phrases):
+    found = " ".join(f"WHEN contains(lower(body), {_quoted(p)}) THEN {_quoted('error_message:' + p[:rules.LABEL_CUTS.get(shop, 30)])}" for p in phrases)
+    return f"WHEN {_quoted(shop)} THEN CASE {found} END"
+
+
+@register(
+    "V1_phrases_of_all_shops",
+    with_feed(
+        PHRASE_FEED,
+        f"SELECT doc_id, CASE shop {' '.join(_first_contained(s, p) for s, p in rules.ERROR_PHRASES.items())} END AS error FROM feed",
+    ),
+)
+def v1_all(t):
+    """Lists of all shops over whole texts, read once by one automaton."""
+    return validity.with_error_phrase(t.feed(PHRASE_FEED), F.col("body"), "shop").select("doc_id", "error")
+
+
 def _parsed(t):
     return html.parse_pages(t.feed(CAPTURE).select("page_id", "kind", "url", "html"))
 
@@ -101,6 +135,26 @@ def v6_structural(t):
     return judged.select("page_id", "is_invalid", "reason")
 
 
+_CASE_PARTS = {name: [getattr(c, name) for c in CASES] for name in ("retailer", "url", "html", "reason")}
+VERDICT_FEED = f"""SELECT p_partkey AS page_id, CAST(CASE WHEN p_partkey % 17 = 0 THEN 404 ELSE 200 END AS INT) AS http_status, p_name,
+  {_choice("p_partkey", _CASE_PARTS["retailer"])} AS retailer, {_choice("p_partkey", _CASE_PARTS["url"])} AS url,
+  '<html><head><title>Shop</title></head><body>' || replace({_choice("p_partkey", _CASE_PARTS["html"])}, 'NAME', p_name) || '</body></html>' AS html FROM part"""
+
+
+@register(
+    "V6_verdict_by_retailer",
+    with_feed(
+        VERDICT_FEED,
+        f"""SELECT page_id, http_status = 404 OR page_id % {len(CASES)} IN ({", ".join(str(n) for n, c in enumerate(CASES) if not c.valid)}) AS is_invalid,
+            CASE WHEN http_status = 404 THEN 'HTTP 404 response' ELSE replace({_choice("page_id", _CASE_PARTS["reason"])}, 'NAME', p_name) END AS reason FROM feed""",
+    ),
+)
+def v6_by_retailer(t):
+    """Valid and invalid pages of every shop with rules of its own."""
+    parsed = html.parse_pages(t.feed(VERDICT_FEED).drop("p_name"), probes=[validity.shop_probe()])
+    return validity.verdict_by_retailer(parsed).select("page_id", "is_invalid", "reason")
+
+
 @register(
     "V7_listing_url",
     r"""SELECT page_id, regexp_matches(url, '^https?://[^/]+/(en|de)/\d') AND page_id % 2 = 0 AS is_listing FROM pages""",
@@ -138,12 +192,24 @@ def v9(t):
     )
 
 
-HEADING_FEED = "SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN ' Kettles ' WHEN 1 THEN 'Rugs and more' WHEN 2 THEN 'Mixers & Blenders' WHEN 3 THEN 'Kettles of the very finest copper make' WHEN 4 THEN 'Menhir ' || p_name ELSE p_name END AS heading FROM part"
+HEADING_FEED = """SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'next' WHEN 1 THEN 'currys' WHEN 2 THEN 'wayfair_uk' ELSE 'argos' END AS retailer,
+  CASE CAST(floor(p_partkey / 4) AS BIGINT) % 8 WHEN 0 THEN ' Kettles ' WHEN 1 THEN 'Rugs and more' WHEN 2 THEN 'Mixers & Blenders' WHEN 3 THEN 'Kettles of the very finest copper make'
+    WHEN 4 THEN 'Women''s running trainers' WHEN 5 THEN 'Dishwashers' WHEN 6 THEN 'Garden hose 20m' ELSE 'Portable ' || p_name END AS heading,
+  CASE WHEN p_partkey % 5 = 0 THEN 'showing 12 results' ELSE 'one thing' END AS body, p_partkey % 3 = 0 AS parts FROM part"""
+_GENERIC = """CASE p_partkey % 4 WHEN 0 THEN p_partkey // 4 % 8 IN (0, 4, 6) WHEN 1 THEN p_partkey // 4 % 8 IN (0, 2, 5)
+   WHEN 2 THEN p_partkey // 4 % 8 IN (0, 1, 2, 3, 5, 6) ELSE FALSE END"""
 
 
-@register("V10_generic_heading", "SELECT p_partkey, p_partkey % 6 IN (0, 1, 2) AS generic FROM part")
+@register(
+    "V10_generic_heading",
+    f"""SELECT p_partkey, {_GENERIC} AS generic, {_GENERIC} AND CASE WHEN p_partkey % 4 = 2 THEN p_partkey % 5 = 0 ELSE p_partkey % 3 <> 0 END AS gated FROM part""",
+)
 def v10(t):
-    return t.feed(HEADING_FEED).select("p_partkey", validity.generic_heading("heading").alias("generic"))
+    return t.feed(HEADING_FEED).select(
+        "p_partkey",
+        validity.generic_heading("heading", "retailer").alias("generic"),
+        validity.category_heading("heading", "retailer", "body", F.col("parts")).alias("gated"),
+    )
 
 
 STATE_FEED = """

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aislewatch.functions import text as tx
+from aislewatch.functions.phrases import PhraseBook, with_phrase_hits
 from aislewatch.rules import stock as rules
 from aislewatch.rules.retailers import LANGUAGES
 
@@ -43,47 +45,43 @@ def button(text: Column | str, disabled: Column, aria_disabled: Column | None =
     )
 
 
-def first_phrase(text: Column | str, phrases: Iterable[str]) -> Column:
-    """First listed phrase found in lower-cased text, whole words only, else NULL.
+#: Stands for a page whose language is unknown: all lists are tried.
+ANY_LANGUAGE = "any"
+
+
+def _book() -> PhraseBook:
+    """Lists of phrases by country code, one of each for pages of no listed country, and one of all languages."""
+    spoken = {**LANGUAGES, "": ("en",), ANY_LANGUAGE: ("en", "pl", "sv", "de", "fr")}
+    lists = {}
+    for code, languages in spoken.items():
+        lists[f"no {code}"] = [p for lang in languages for p in rules.NEGATIVE_PHRASES[lang]]
+        lists[f"yes {code}"] = [p for lang in languages for p in rules.POSITIVE_PHRASES[lang]]
+    return PhraseBook(lists)
+
+
+def state_of_hits(container: Column, body: Column, country: Column | str) -> Column:
+    """K3: struct(state, text) from the phrases that ``phrase_hits`` found: the stock container's first, then the
+    page's, unavailable before available, in the languages of the country. Phrases count as whole words."""
+    book, code = _book(), _col(country)
+    code = F.when(code.isin(*LANGUAGES, ANY_LANGUAGE), code).otherwise(F.lit(""))
+
+    def tried(hits: Column, kind: str, state: bool) -> Column:
+        phrase = book.first_phrase(hits, F.concat(F.lit(f"{kind} "), code), whole=True)
+        return tx.bind(phrase, lambda p: F.when(p.isNotNull(), F.struct(F.lit(state).alias("state"), p.alias("text"))))
 
-    The alternation is tested once per row; the ordered chain runs only on rows that hold a phrase.
-    """
-    text = _col(text)
-    listed = list(phrases)
-    whole = lambda p: r"(?U)\b" + p.replace(" ", r"\s+") + r"\b"
-    chain = None
-    for phrase in listed:
-        chain = F.when(text.rlike(whole(phrase)), phrase) if chain is None else chain.when(text.rlike(whole(phrase)), phrase)
-    any_of = r"(?U)\b(?:" + "|".join(p.replace(" ", r"\s+") for p in listed) + r")\b"
-    return F.when(text.rlike(any_of), chain)
-
-
-def phrase_state(container: Column | str, body: Column | str, languages: Sequence[str] = ("en",)) -> Column:
-    """Struct(state, text) from phrase lists: the stock container first, then the whole body."""
-    negative = [p for lang in languages for p in rules.NEGATIVE_PHRASES[lang]]
-    positive = [p for lang in languages for p in rules.POSITIVE_PHRASES[lang]]
-
-    def tried(text: Column, phrases: list[str], state: bool) -> Column:
-        phrase = first_phrase(F.lower(text), phrases)
-        return F.when(phrase.isNotNull(), F.struct(F.lit(state).alias("state"), phrase.alias("text")))
-
-    container, body = _col(container), _col(body)
     return F.coalesce(
-        tried(container, negative, False),
-        tried(container, positive, True),
-        tried(body, negative, False),
-        tried(body, positive, True),
+        tried(container, "no", False), tried(container, "yes", True), tried(body, "no", False), tried(body, "yes", True)
     )
 
 
-def state_by_country(container: Column | str, body: Column | str, country: Column | str) -> Column:
-    """``phrase_state`` in the languages of the page's country, English elsewhere."""
-    country = _col(country)
-    branch = None
-    for code, languages in LANGUAGES.items():
-        said = phrase_state(container, body, languages)
-        branch = F.when(country == code, said) if branch is None else branch.when(country == code, said)
-    return branch.otherwise(phrase_state(container, body))
+def with_phrase_state(
+    df: DataFrame, container: Column | str, body: Column | str, country: Column | str, out: str = "spoken"
+) -> DataFrame:
+    """K3: add struct(state, text) from the phrases of a stock container and of a page's text, in the languages of
+    the page's country, English elsewhere. Each text is read once for all lists."""
+    plain = {n: F.when(_col(c).isNotNull(), tx.clean(c)) for n, c in (("_c", container), ("_b", body))}
+    staged = with_phrase_hits(df, plain)
+    return staged.withColumn(out, state_of_hits(F.col("_c"), F.col("_b"), country)).drop("_c", "_b")
 
 
 def offered_state(retailer: Column | str, text: Column | str) -> Column:

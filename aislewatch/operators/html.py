@@ -7,7 +7,8 @@ turns the elements into an ordinary table when one is wanted.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -18,14 +19,14 @@ from aislewatch.functions.text import bind, clean
 from aislewatch.session import spread
 
 NODE_SCHEMA = (
-    "struct<node:int,parent:int,last:int,tag:string,attrs:map<string,string>,t_from:int,t_to:int>"
+    "struct<node:int,parent:int,last:int,pos:int,tag:string,attrs:map<string,string>,t_from:int,t_to:int>"
 )
 DOM_SCHEMA = f"struct<nodes:array<{NODE_SCHEMA}>,texts:array<string>>"
 
 _ARROW_DOM = pa.struct(
     [
         ("nodes", pa.list_(pa.struct([
-            ("node", pa.int32()), ("parent", pa.int32()), ("last", pa.int32()), ("tag", pa.string()),
+            ("node", pa.int32()), ("parent", pa.int32()), ("last", pa.int32()), ("pos", pa.int32()), ("tag", pa.string()),
             ("attrs", pa.map_(pa.string(), pa.string())), ("t_from", pa.int32()), ("t_to", pa.int32()),
         ]))),
         ("texts", pa.list_(pa.string())),
@@ -51,6 +52,7 @@ class _Tree(HTMLParser):
         self.nodes: list[dict] = []
         self.texts: list[str] = []
         self.open: list[int] = []
+        self.children: dict[int, int] = {}
 
     def _close(self, depth: int) -> None:
         for index in self.open[depth:]:
@@ -66,8 +68,10 @@ class _Tree(HTMLParser):
         for name, value in attrs:
             unique.setdefault(name, value or "")
         n, at = len(self.nodes), len(self.texts)
+        parent = self.open[-1] if self.open else -1
+        pos = self.children[parent] = self.children.get(parent, 0) + 1
         self.nodes.append({
-            "node": n, "parent": self.open[-1] if self.open else -1, "last": n, "tag": tag,
+            "node": n, "parent": parent, "last": n, "pos": pos, "tag": tag,
             "attrs": list(unique.items()), "t_from": at, "t_to": at,
         })
         if tag not in _VOID:
@@ -100,45 +104,93 @@ def _parse(html: str | None) -> dict | None:
     return {"nodes": tree.nodes, "texts": tree.texts}
 
 
+@dataclass(frozen=True)
+class Probe:
+    """What else is read from a page while it is parsed: a column ``name`` of type ``ddl``.
+
+    ``read`` gets the row's kept columns in ``needs``, the raw page and its tree.
+    """
+
+    name: str
+    ddl: str
+    arrow: pa.DataType
+    needs: tuple[str, ...]
+    read: Callable[[Mapping, str, Mapping], object]
+
+
 def parse_pages(
-    pages: DataFrame, html: str = "html", keep: Sequence[str] | None = None, balance: bool = True
+    pages: DataFrame,
+    html: str = "html",
+    keep: Sequence[str] | None = None,
+    balance: bool = True,
+    probes: Sequence[Probe] = (),
+    error: str | None = None,
 ) -> DataFrame:
     """H1: add ``dom`` and drop the raw HTML, which nothing after this stage needs.
 
     Arrow batches go to the tokeniser and come back; rows stay in their partition unless the
     input is too small to occupy the cluster; ``balance=False`` if the caller has seen to that.
+    ``probes`` add a column each. With ``error`` a page on which the tokeniser or a probe fails does not end
+    the job: its ``dom`` and probes are NULL and the column ``error`` says what happened, else it is NULL.
     """
     kept = list(keep) if keep is not None else [c for c in pages.columns if c != html]
     source = pages.select(*kept, F.col(html).alias("_html"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
+    added = ["dom", *(p.name for p in probes), *([error] if error else [])]
+    kinds = [_ARROW_DOM, *(p.arrow for p in probes), *([pa.string()] if error else [])]
+    needs = sorted({c for p in probes for c in p.needs})
+
+    def one(page: str | None, row: Mapping) -> tuple:
+        if page is None:
+            return (None,) * len(added)
+        try:
+            tree = _parse(page)
+            found = (tree, *(p.read(row, page, tree) for p in probes))
+        except Exception as failure:
+            if error is None:
+                raise
+            return (*(None,) * (len(added) - 1), f"{type(failure).__name__}: {failure}"[:500])
+        return (*found, None) if error else found
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             # Trees are larger than their pages, so they leave in slices of few pages.
             for at in range(0, batch.num_rows, _SLICE):
                 part = batch.slice(at, _SLICE)
-                parsed = [_parse(h) for h in part.column(len(kept)).to_pylist()]
-                columns = [part.column(i) for i in range(len(kept))]
-                yield pa.RecordBatch.from_arrays(columns + [pa.array(parsed, type=_ARROW_DOM)], names=kept + ["dom"])
+                rows = part.select(needs).to_pylist() if needs else [{}] * part.num_rows
+                found = [one(h, r) for h, r in zip(part.column(len(kept)).to_pylist(), rows, strict=True)]
+                arrays = [pa.array([f[k] for f in found], type=kind) for k, kind in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays([part.column(i) for i in range(len(kept))] + arrays, names=kept + added)
 
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]]
+    fields += [f"dom {DOM_SCHEMA}", *(f"`{p.name}` {p.ddl}" for p in probes), *([f"`{error}` string"] if error else [])]
     source = spread(source) if balance else source
-    return source.mapInArrow(tokenise, f"{fields}, dom {DOM_SCHEMA}")
+    return source.mapInArrow(tokenise, ", ".join(fields))
 
 
 def node_table(parsed: DataFrame, key: str) -> DataFrame:
-    """One row per element: (key, node, parent, pos, tag, id, classes, attrs, own text range)."""
+    """One row per element: (key, node, parent, last, pos, tag, id, classes, attrs, t_from, t_to).
+
+    ``node`` numbers the elements in document order and ``last`` is the last one inside; ``pos`` counts the
+    elements of one parent from 1; the element's text pieces are those after ``t_from`` up to ``t_to``.
+    """
     node = F.col("n")
     return parsed.select(key, F.explode("dom.nodes").alias("n")).select(
         key,
-        node["node"].alias("node"),
-        node["parent"].alias("parent"),
-        node["tag"].alias("tag"),
+        *[node[c].alias(c) for c in ("node", "parent", "last", "pos", "tag")],
         node["attrs"]["id"].alias("id"),
         classes_of(node).alias("classes"),
         node["attrs"].alias("attrs"),
+        node["t_from"].alias("t_from"),
+        node["t_to"].alias("t_to"),
     )
 
 
+def text_table(parsed: DataFrame, key: str) -> DataFrame:
+    """One row per text piece: (key, at, text), pieces counted from 1 in document order."""
+    pieces = parsed.select(key, F.posexplode("dom.texts").alias("at", "text"))
+    return pieces.select(key, (F.col("at") + 1).alias("at"), "text")
+
+
 def classes_of(node: Column) -> Column:
     return F.filter(F.split(F.coalesce(node["attrs"]["class"], F.lit("")), r"\s+"), lambda c: c != "")
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from aislewatch.functions import text as tx
 from aislewatch.functions import urls
-from aislewatch.operators import blobs, html
+from aislewatch.functions.phrases import PhraseBook, away_from, with_phrase_hits
+from aislewatch.operators import blobs, html, signals
 from aislewatch.rules import validity as rules
 from aislewatch.session import spread
 
@@ -18,10 +19,6 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _literal(phrase: str) -> str:
-    return "\\Q" + phrase + "\\E"
-
-
 def _by_retailer(retailer: Column, table: Mapping[str, object], default: object) -> Column:
     out = None
     for name, value in table.items():
@@ -41,6 +38,11 @@ def guarded_match(text: Column, pattern: str, terms: str = rules.PRODUCT_TERMS,
     return F.when(found != "", ~window.rlike(terms)).otherwise(False)
 
 
+def _label(phrase: Column, cut: Column | int = 30) -> Column:
+    cut = F.lit(cut) if isinstance(cut, int) else cut
+    return F.when(phrase.isNotNull(), F.concat(F.lit("error_message:"), F.substr(phrase, F.lit(1), cut)))
+
+
 def phrase_away_from_product(text: Column, phrase: str, terms: str = rules.PRODUCT_TERMS, reach: int = rules.WINDOW) -> Column:
     """The phrase occurs, and the text around its first occurrence, itself left out, holds no product term."""
     at, size = F.position(F.lit(phrase), text), len(phrase)
@@ -50,30 +52,32 @@ def phrase_away_from_product(text: Column, phrase: str, terms: str = rules.PRODU
 
 
 def error_phrase(body: Column | str, phrases: Sequence[str], guarded: bool = False) -> Column:
-    """V1: ``error_message:<phrase>`` for the first listed phrase found in lower-cased page text.
+    """V1 for one short list: ``error_message:<phrase>`` for the first listed phrase found in lower-cased page text.
 
-    With ``guarded`` a phrase counts only away from product terms. One alternation is tested first, so pages without any phrase cost a single scan.
+    With ``guarded`` a phrase counts only away from product terms. ``with_error_phrase`` reads a text once for
+    the lists of all retailers.
     """
     body = _col(body)
     chain = None
     for phrase in phrases:
         test = phrase_away_from_product(body, phrase) if guarded else body.contains(phrase)
-        label = f"error_message:{phrase[:30]}"
-        chain = F.when(test, label) if chain is None else chain.when(test, label)
-    return F.when(body.rlike("|".join(_literal(p) for p in phrases)), chain)
+        chain = F.when(test, phrase) if chain is None else chain.when(test, phrase)
+    return _label(chain)
 
 
 def with_error_phrase(
     pages: DataFrame, body: Column, retailer: Column | str, out: str = "error", guarded: bool = False
 ) -> DataFrame:
-    """V1 under each retailer's own list. The body text is staged once; all phrases read that column."""
-    staged = pages.withColumn("_body", F.lower(body))
-    retailer = _col(retailer)
-    chain = None
-    for name, phrases in rules.ERROR_PHRASES.items():
-        value = error_phrase("_body", phrases, guarded)
-        chain = F.when(retailer == name, value) if chain is None else chain.when(retailer == name, value)
-    return staged.withColumn(out, chain).drop("_body")
+    """V1 under each retailer's own list; NULL for a retailer without one.
+
+    The body text is staged once and read once for the lists of all retailers.
+    """
+    staged = with_phrase_hits(pages.withColumn("_body", F.lower(body)), {"_hits": "_body"})
+    book, retailer = PhraseBook(rules.ERROR_PHRASES), _col(retailer)
+    away = away_from(F.col("_body"), rules.PRODUCT_TERMS, rules.WINDOW) if guarded else None
+    phrase = book.first_phrase(F.col("_hits"), retailer, keep=away)
+    cut = _by_retailer(retailer, rules.LABEL_CUTS, 30)
+    return staged.withColumn(out, _label(phrase, cut)).drop("_body", "_hits")
 
 
 def error_element(nodes: Column) -> Column:
@@ -162,12 +166,22 @@ def handle_mismatch(expected: Column | str, page_url: Column | str) -> Column:
     return F.coalesce(F.lower(handle) != F.lower(_col(expected)), ~_col(page_url).contains("/products/"), F.lit(False))
 
 
-def generic_heading(heading: Column | str) -> Column:
-    """The heading is a category name, starts with one, or ends in "& category"."""
-    listed = "|".join(rules.CATEGORY_HEADINGS)
+def generic_heading(heading: Column | str, retailer: Column | str) -> Column:
+    """The heading names a category under the retailer's own list and rule; False for one without a list."""
     text = F.lower(tx.clean(heading))
-    short = F.length(text) < 30
-    return text.rlike(rf"^(?:{listed})$") | (text.rlike(rf"^(?:{listed})\b") & short) | text.rlike(rf"& (?:{listed})$")
+    tests = {name: text.rlike(f"(?s){pattern}") for name, pattern in rules.HEADING_PATTERNS.items()}
+    return _by_retailer(_col(retailer), tests, F.lit(False))
+
+
+def category_heading(
+    heading: Column | str, retailer: Column | str, body: Column | str, has_product_parts: Column | None = None
+) -> Column:
+    """V10 with the shop's gate: a generic heading counts beside a number of results (V13) for a shop that asks for
+    it, and elsewhere only on a page without product parts, if those are known."""
+    generic, retailer = generic_heading(heading, retailer), _col(retailer)
+    gate = F.lit(True) if has_product_parts is None else ~has_product_parts
+    counted = result_count(body).isNotNull()
+    return generic & F.when(retailer.isin(*rules.HEADING_NEEDS_COUNT), counted).otherwise(gate)
 
 
 def listing_type(page_type: Column) -> Column:
@@ -357,3 +371,20 @@ def structural_verdict(parsed: DataFrame, url: str = "url", product_path: str =
         .otherwise(verdict(False, "Uncertain: defaulting to valid"))
     )
     return staged.withColumn("_v", chain).withColumns({"is_invalid": c("_v.is_invalid"), "reason": c("_v.reason")}).drop("_v")
+
+
+def shop_probe() -> html.Probe:
+    """Reads, while a page is parsed, its shop's signals and the phrases in its text and in its stock container."""
+    return html.Probe("shop", signals.PROBE_TYPE, signals.PROBE_ARROW, ("url", "retailer"), signals.probe)
+
+
+def verdict_by_retailer(parsed: DataFrame, retailer: str = "retailer", http_status: str | None = "http_status") -> DataFrame:
+    """V6 by shop: ``is_invalid`` and ``reason`` under the rules of each page's shop; NULL for a shop without rules.
+
+    ``parsed`` has ``dom`` and ``shop``, which ``parse_pages`` makes with ``shop_probe``. A page that is missing has
+    no ``dom``.
+    """
+    status = F.col(http_status) if http_status else None
+    told = signals.verdict(F.col(retailer), F.col("shop"), status, F.col("dom").isNotNull())
+    staged = parsed.withColumn("_told", told)
+    return staged.withColumns({"is_invalid": F.col("_told.is_invalid"), "reason": F.col("_told.reason")}).drop("_told")

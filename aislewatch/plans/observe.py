@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aislewatch.functions import stock, text, urls
-from aislewatch.operators import blobs, html, prices, validity
+from aislewatch.operators import blobs, html, prices, signals, validity
 from aislewatch.rules.identifiers import DEFAULT_ID_RULE, ID_RULES
-from aislewatch.session import allow_repeated_keys
+from aislewatch.session import allow_repeated_keys, spread
 
 def _jsonld_fields(page: Column) -> dict[str, Column]:
     """Plain columns from the page's first Product, so no VARIANT crosses to the tokeniser."""
@@ -25,23 +25,38 @@ def _jsonld_fields(page: Column) -> dict[str, Column]:
 
 
 def observe_products(captures: DataFrame, max_images: int | None = None) -> DataFrame:
-    """One observation per capture (page_id, url, final_url, http_status, html).
+    """One observation per capture (page_id, url, final_url, http_status, html) that has a URL.
 
     All images are kept unless ``max_images`` is given.
 
-    Verdict and JSON fields are read from the raw page in the JVM; the page then goes through the
-    tokeniser once, and the raw HTML is dropped. No stage shuffles, except to spread a small input.
+    JSON fields are read from the raw page in the JVM; the page then goes through the tokeniser once, which
+    also reads the signals of its shop and all phrases, and the raw HTML is dropped. A shop with rules of its
+    own is judged by them, any other by the layered verdict. No stage shuffles, except to spread a small
+    input. A page on which the tokeniser fails does not end the job: ``error`` says what happened, and all
+    that would have been read from it is NULL; ``captures.split_errors`` parts such rows from the others.
     """
     allow_repeated_keys(captures.sparkSession)
-    judged = validity.layered_verdict(captures).withColumns(
-        {**_jsonld_fields(F.col("html")), "retailer": urls.retailer_of("url"), "country": urls.country_of("url"), "blocked": validity.is_blocked("html")}
+    asked = captures.filter(F.trim(F.coalesce("url", F.lit(""))) != "")
+    named = spread(asked).withColumns({"retailer": urls.retailer_of("url"), "country": urls.country_of("url")})
+    # Only pages of shops without rules go through the patterns of the layered verdict.
+    unruled = named.withColumn("_unruled", F.when(~signals.has_rules(F.col("retailer")), F.col("html")))
+    judged = validity.layered_verdict(unruled, page="_unruled", balance=False).withColumnsRenamed(
+        {"is_invalid": "_layered_invalid", "reason": "_layered_reason"}
     )
+    judged = judged.withColumns({**_jsonld_fields(F.col("html")), "blocked": validity.is_blocked("html")})
     judged = judged.withColumn("_scripts", prices.script_finds(F.col("html"), F.col("retailer")))
     keep = [
-        "page_id", "url", "retailer", "country", "is_invalid", "reason", "blocked",
+        "page_id", "url", "retailer", "country", "http_status", "_layered_invalid", "_layered_reason", "blocked",
         "ld_name", "ld_description", "ld_price", "ld_currency", "ld_availability", "_scripts",
     ]
-    parsed = html.parse_pages(judged, keep=keep, balance=False)
+    read_once = html.parse_pages(judged, keep=keep, balance=False, probes=[validity.shop_probe()], error="error")
+    told = validity.verdict_by_retailer(read_once)
+    parsed = told.withColumns(
+        {
+            "is_invalid": F.when(F.col("error").isNull(), F.coalesce("is_invalid", "_layered_invalid")),
+            "reason": F.when(F.col("error").isNull(), F.coalesce("reason", "_layered_reason")),
+        }
+    )
     dom, nodes = F.col("dom"), F.col("dom.nodes")
 
     # Elements first, then their texts, then what is read from the texts: each step is a column of
@@ -51,7 +66,6 @@ def observe_products(captures: DataFrame, max_images: int | None = None) -> Data
         {
             "_places": prices.place_texts(dom, F.col("retailer"), F.col("ld_price"), F.col("_scripts")),
             "_buy": html.first(F.filter(buttons, lambda b: F.lower(html.text_of(dom, b)).rlike(stock.rules.BUY_TEXT))),
-            "_body": html.page_text(dom),
             "_meta_description": html.meta(dom, "description"),
             "name": html.product_name(dom, jsonld=F.col("ld_name")),
             "image_urls": F.array_distinct(
@@ -76,17 +90,17 @@ def observe_products(captures: DataFrame, max_images: int | None = None) -> Data
             "_price": prices.price_at(F.col("_places")),
             "_pressed": stock.button("_buy_text", F.col("_buy_off"), F.col("_buy_aria"), F.col("_buy_class")),
             "_offered": stock.offered_state("retailer", "ld_availability"),
-            "_spoken": stock.state_by_country(F.lit(None).cast("string"), "_body", "country"),
+            "_spoken": stock.state_of_hits(F.col("shop.stock_hits"), F.col("shop.hits"), "country"),
         }
     )
-    signals = {
+    heard = {
         "button": F.struct(F.col("_pressed").alias("state"), F.col("_buy_text").alias("text")),
         "jsonld": F.struct(F.col("_offered").alias("state"), F.col("ld_availability").alias("text")),
         "negative": F.struct(F.when(~F.col("_spoken.state"), False).alias("state"), F.col("_spoken.text").alias("text")),
     }
     description = text.first_long_enough([(F.col("ld_description"), 20), (F.col("_meta_description"), 0)])
     found = read.withColumns(
-        {"_stock": stock.by_precedence("retailer", signals), "description": text.clean(description)}
+        {"_stock": stock.by_precedence("retailer", heard), "description": text.clean(description)}
     )
     numbered = urls.with_stable_id(found, ID_RULES, DEFAULT_ID_RULE)
     in_stock = stock.default_state("retailer", F.col("_stock.state"), F.col("_buy_text").isNotNull())
@@ -95,7 +109,9 @@ def observe_products(captures: DataFrame, max_images: int | None = None) -> Data
         (~F.col("is_invalid")).alias("is_valid"), F.col("reason").alias("verdict"), "blocked", "name",
         F.col("_price.value").alias("price_amount"), F.col("_price.source").alias("price_source"),
         F.col("ld_currency").alias("currency"), in_stock.alias("in_stock"), F.col("_stock.text").alias("stock_text"),
-        "description", "image_urls",
+        "description", "image_urls", "error",
     )
     fields = ["name", "price_amount", "price_source", "currency", "in_stock", "stock_text", "description", "image_urls"]
-    return validity.null_invalid(named, "is_valid", "verdict", fields).withColumn("image_count", F.size("image_urls"))
+    listed = validity.null_invalid(named, "is_valid", "verdict", fields)
+    status = F.when(F.col("error").isNull(), F.col("listing_status"))
+    return listed.withColumns({"image_count": F.size("image_urls"), "listing_status": status})

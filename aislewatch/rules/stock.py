@@ -7,12 +7,16 @@ NEGATIVE_PHRASES = {
     "en": [
         "back in stock soon", "currently unavailable", "temporarily unavailable", "out of stock", "sold out",
         "notify me when available", "email me when in stock", "email me when back in stock",
+        "this one flew off the shelves", "temporarily out of stock", "temporarily out",
         "no longer available", "not available", "unavailable",
     ],
-    "pl": ["brak w magazynie", "wyprzedane", "niedostępny"],
-    "sv": ["slut i lager", "tillfälligt slut", "ej i lager", "inte tillgänglig"],
-    "de": ["ausverkauft", "nicht verfügbar", "nicht lieferbar"],
-    "fr": ["rupture de stock", "indisponible", "épuisé"],
+    "pl": ["brak w magazynie", "brak", "wyprzedane", "niedostępny"],
+    "sv": ["slut i lager", "tillfälligt slut", "tillfalligt slut", "ej i lager", "inte tillgänglig", "inte tillganglig"],
+    "de": [
+        "not currently available", "currently not available", "nicht verfügbar", "ausverkauft", "nicht lieferbar",
+        "leider nicht", "unfortunately not",
+    ],
+    "fr": ["rupture de stock", "rupture", "indisponible", "épuisé"],
 }
 # Phrases that mean "can be bought", by language.
 POSITIVE_PHRASES = {
@@ -20,7 +24,14 @@ POSITIVE_PHRASES = {
     "pl": ["dodaj do koszyka"],
     "sv": ["lägg i varukorg", "i lager"],
     "de": ["in den warenkorb", "lieferbar", "verfügbar"],
-    "fr": ["ajouter au panier", "en stock"],
+    "fr": ["ajouter au panier", "en stock", "disponible"],
+}
+# Elements that tell the stock, by shop; their texts are read before the page's.
+STOCK_CONTAINERS = {
+    "ao": ".bg-ui-warning, [class*='stock-message'], [class*='availability'], [data-testid='stock-status'], [data-testid='availability']",
+    "kaufland": ".rd-notification--error, .rd-notification--warning, .rd-sidebar-notification, "
+    ".rd-sidebar-notification__out-of-stock--bold, [class*='out-of-stock']",
+    "cdon": "[data-cy='pdp-add-to-cart'], [data-testid='pdp-add-to-cart']",
 }
 # Button texts.
 BUY_TEXT = r"add\s*to\s*(?:basket|cart|bag|trolley)|lägg i varukorg|in den warenkorb|dodaj do koszyka|ajouter au panier"

@@ -56,17 +56,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Inputs above this estimated size are split by Spark's own readers.
+SPREAD_BYTES = 1 << 30
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Spread a small input over all cores before a Python-heavy stage.
 
-    An input that the optimiser takes to be large enough to fill the cluster, or that already has a
-    partition for every core, is returned as it is, without a shuffle.
+    Decided from the optimiser's estimate of the input's size alone, so no part of the plan runs here. A larger
+    input, or one of unknown size, is returned as it is: its readers already split it.
     """
     if not hasattr(df, "_jdf"):  # no local optimiser to ask
         return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    per_task = 128 * 1024 * 1024
-    if size // per_task >= cores or df._jdf.queryExecution().executedPlan().execute().getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
+    return df if size > SPREAD_BYTES else df.repartition(df.sparkSession.sparkContext.defaultParallelism)

@@ -46,9 +46,14 @@ def test_format_then_parse(spark, amounts):
 
 
 def test_unavailable_is_not_available(spark):
-    got = one(spark, "this item is unavailable", lambda c: stock.phrase_state(F.lit(None).cast("string"), c))
-    assert got["state"] is False and got["text"] == "unavailable"
-    assert one(spark, "nicht verfügbar", lambda c: stock.phrase_state(c, c, ("de",)))["state"] is False
+    rows = [("this item is unavailable", None), ("nicht  verfügbar", "DE"), ("nicht verfügbar", "SE"), ("unavailablex", None), (None, None)]
+    df = spark.createDataFrame(rows, "body string, country string")
+    nowhere = F.lit(None).cast("string")
+    got = [r["spoken"] for r in stock.with_phrase_state(df, nowhere, "body", "country").collect()]
+    assert got[0] == (False, "unavailable") and got[1] == (False, "nicht verfügbar")
+    assert got[2:] == [None, None, None]
+    first = stock.with_phrase_state(df, F.lit("In stock"), "body", "country").first()["spoken"]
+    assert first == (True, "in stock")
 
 
 @pytest.mark.parametrize("tie, want", [("first", "a"), ("last", "b"), ("item", "c")])
