@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from aislewatch.catalogue.feeds import RETAIL_PAGE
 from aislewatch.catalogue.registry import register
-from aislewatch.operators import html
+from aislewatch.operators import html, structure
 
 
 def dom():
@@ -29,6 +29,23 @@ def h1(t):
     return table.filter(~F.col("tag").isin("script", "style")).groupBy("page_id", "tag").agg(F.count("*").alias("n"))
 
 
+@register(
+    "H2_select_rows",
+    r"""SELECT page_id, CAST(n AS BIGINT) AS place, regexp_extract(l[n], 'href="([^"]*)"', 1) AS href, regexp_extract(l[n], '>([^<]*)', 1) AS text
+        FROM (SELECT page_id, l, unnest(range(1, len(l) + 1)) AS n FROM (SELECT page_id, regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), '<a [^>]*>[^<]*') AS l FROM pages))""",
+)
+def h2_rows(t):
+    """Links of navigation lists with their texts, from the tables of elements and text pieces alone."""
+    parsed = html.parse_pages(t.pages.select("page_id", "html"))
+    elements = html.node_table(parsed, "page_id")
+    links = structure.select_rows(elements, "page_id", "nav ul > li > a[href^='/']")
+    told = structure.text_of_rows(links, html.text_table(parsed, "page_id"), "page_id")
+    items = structure.select_rows(elements, "page_id", "nav ul > li").select("page_id", F.col("node").alias("parent"), F.col("pos").alias("place"))
+    return told.drop("pos").join(items, ["page_id", "parent"]).select(
+        "page_id", F.col("place").cast("bigint").alias("place"), F.col("attrs")["href"].alias("href"), "text"
+    )
+
+
 @register(
     "H2_select",
     r"""SELECT page_id, CAST(n AS BIGINT) AS place, regexp_extract(a, 'href="([^"]*)"', 1) AS href

@@ -69,7 +69,7 @@ SELECT o_orderkey, o_orderstatus, o_orderpriority, CAST(o_custkey AS STRING) AS
 )
 def j4(t):
     walked = blobs.walk(t.feed(STATE_FEED).select("o_orderkey", "state"), "state")
-    names = F.transform(blobs.products_at_any_depth(F.col("walk")), lambda p: F.try_variant_get(p, "$.name", "string"))
+    names = F.transform(blobs.products_at_any_depth(F.col("walk"), "state"), lambda p: F.try_variant_get(p, "$.name", "string"))
     return walked.select("o_orderkey", F.array_join(names, "|").alias("names"))
 
 

@@ -186,6 +186,15 @@ def m12(t):
     )
 
 
+@register("M12_multi_index", f"WITH {HASHES} SELECT db_id, site_id, CAST(distance AS BIGINT) AS distance, rank FROM short")
+def m12_multi_index(t):
+    """The same through the buckets of the multi-index, for item tables that are too large to be sent."""
+    db, site = _hashed(_db(t), "db_id"), _hashed(_site(t), "site_id")
+    return matching.hash_shortlist(db, site, broadcast_bytes=0, scan_share=None).select(
+        "db_id", "site_id", F.col("distance").cast("bigint").alias("distance"), F.col("rank").cast("bigint").alias("rank")
+    )
+
+
 @register("M13_accepted", f"WITH {HASHES} SELECT db_id, site_id, ok AS accepted FROM acc")
 def m13(t):
     rule = vectors.hash_accepts(F.col("distance"), F.col("inliers"), F.col("ssim"), F.col("histogram"))

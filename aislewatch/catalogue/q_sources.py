@@ -136,6 +136,26 @@ def s10(t):
     return sinks.unique_keys(keyed, "key", "p_partkey").select("p_partkey", "key")
 
 
+# Keys of a second batch: some given ones look like generated ones, and the first batch has used some.
+CLAIM_FEED = """SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'k' || CAST(p_size AS STRING) || '_0' || CAST(1 + p_partkey % 3 AS STRING) WHEN 4 THEN 'k7' ELSE 'k' || CAST(p_size AS STRING) END AS key FROM part"""
+TAKEN_FEED = """SELECT DISTINCT 'k' || CAST(p_size AS STRING) || CASE WHEN p_partkey % 2 = 0 THEN '_0' || CAST(1 + p_partkey % 9 AS STRING) ELSE '' END AS key FROM part WHERE p_partkey % 10 = 3 OR p_partkey % 10 = 8"""
+
+
+@register(
+    "S10_keys_after_a_batch",
+    f"""WITH feed AS ({CLAIM_FEED}), taken AS ({TAKEN_FEED}), used AS (SELECT key FROM feed UNION SELECT key FROM taken),
+        r AS (SELECT p_partkey, f.key, row_number() OVER (PARTITION BY f.key ORDER BY p_partkey) - 1 + CASE WHEN t.key IS NULL THEN 0 ELSE 1 END AS r FROM feed f LEFT JOIN taken t ON t.key = f.key),
+        n AS (SELECT key, max(r) AS m FROM r GROUP BY 1),
+        c AS (SELECT key, unnest(range(1, m + 1 + (SELECT count(*) FROM used))) AS i FROM n WHERE m > 0),
+        g AS (SELECT key, i, key || '_' || lpad(CAST(i AS VARCHAR), CAST(greatest(2, length(CAST(i AS VARCHAR))) AS INT), '0') AS made FROM c),
+        free AS (SELECT key, made, row_number() OVER (PARTITION BY key ORDER BY i) AS r FROM g WHERE made NOT IN (SELECT key FROM used))
+        SELECT p_partkey, coalesce(made, r.key) AS key FROM r LEFT JOIN free ON free.key = r.key AND free.r = r.r""",
+)
+def s10_after(t):
+    """Keys of a batch beside those that an earlier one has used."""
+    return sinks.unique_keys(t.feed(CLAIM_FEED), "key", "p_partkey", t.feed(TAKEN_FEED)).select("p_partkey", "key")
+
+
 @register(
     "L1_recent_job_ids",
     with_feed(LOG_FEED, "SELECT lpad(lower(hex(line_no // 2)), 8, '0') AS job_id, max(line_no) AS last_line FROM feed GROUP BY 1 ORDER BY 2 DESC LIMIT 10"),

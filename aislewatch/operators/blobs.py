@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import json
-import re
 from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aislewatch.functions.text import bind
-from aislewatch.session import spread
+from aislewatch.operators.json_scan import scanned
+from aislewatch.session import allow_repeated_keys, spread
 
 
 def _get(v: Column, path: str, kind: str = "string") -> Column:
@@ -30,7 +29,13 @@ def jsonld_texts(html: Column | str) -> Column:
 
 
 def tolerant_blobs(texts: Column) -> Column:
-    """Split blobs joined by line breaks, drop trailing commas, parse, skip what does not parse."""
+    """Split blobs joined by line breaks, drop trailing commas, parse, skip what does not parse.
+
+    Of a repeated key the last value counts; the active session is set to read such objects.
+    """
+    session = SparkSession.getActiveSession()
+    if session is not None:
+        allow_repeated_keys(session)
 
     def parse(text: Column) -> Column:
         return F.try_parse_json(F.regexp_replace(F.trim(text), r"\s*,\s*$", ""))
@@ -81,86 +86,49 @@ FLAG_KEYS = {
     "availability": (("availability",), "STRING"),
     "availability_status": (("availabilitystatus", "availability_status", "stockstatus", "stock_status"), "STRING"),
 }
-_FLAG_TYPES = {"BOOLEAN": bool, "STRING": str}
-
-
-class _Number(str):
-    """A number as it was written."""
-
-
-def _written(value: object) -> str:
-    """JSON text of a parsed value; texts and numbers stand for themselves."""
-    return str(value) if isinstance(value, str) else _json(value)
-
-
-def _json(value: object) -> str:
-    if isinstance(value, dict):
-        return "{" + ",".join(f"{json.dumps(k, ensure_ascii=False)}:{_json(v)}" for k, v in value.items()) + "}"
-    if isinstance(value, list):
-        return "[" + ",".join(map(_json, value)) + "]"
-    if isinstance(value, _Number):
-        return str(value)
-    return json.dumps(value, ensure_ascii=False)
-
-
-def _is_product(node: dict) -> bool:
-    kind = node.get("@type")
-    return kind == "Product" or (isinstance(kind, list) and "Product" in kind)
-
-
-def _harvest(text: str | None, searches: Mapping[str, Sequence[str]], flags: Mapping[str, tuple]) -> dict:
-    """What one walk over a JSON text finds. A stack holds the way, so depth has no limit of its own."""
-    out = {"products": [], "found": {}, "flags": {}}
-    try:
-        root = json.loads(re.sub(r"\s*,\s*$", "", (text or "").strip()), parse_int=_Number, parse_float=_Number)
-    except (ValueError, RecursionError):  # what the parser cannot read has no values
-        return out
-    stack = [root]
-    while stack:
-        node = stack.pop()
-        if isinstance(node, dict):
-            if _is_product(node):
-                out["products"].append(_json(node))
-            for name, keys in searches.items():
-                held = [k for k in keys if node.get(k) is not None]
-                if name not in out["found"] and held:
-                    out["found"][name] = _written(node[held[0]])
-            for key, value in node.items():
-                for name, (keys, kind) in flags.items():
-                    if key.lower() in keys and isinstance(value, _FLAG_TYPES[kind]) and not isinstance(value, _Number):
-                        out["flags"][name] = _written(value)
-            stack += [v for v in reversed(node.values()) if isinstance(v, dict | list)]
-        elif isinstance(node, list):
-            stack += [v for v in reversed(node) if isinstance(v, dict | list)]
-    return out
+WALK_TYPE = "struct<products:array<struct<start:int,size:int>>,found:map<string,string>,flags:map<string,string>>"
+_ARROW_WALK = pa.struct([
+    ("products", pa.list_(pa.struct([("start", pa.int32()), ("size", pa.int32())]))),
+    ("found", pa.map_(pa.string(), pa.string())), ("flags", pa.map_(pa.string(), pa.string())),
+])
 
 
 def walk(
     df: DataFrame, text: str, out: str = "walk", searches: Mapping[str, Sequence[str]] | None = None,
     flags: Mapping[str, tuple[Sequence[str], str]] = FLAG_KEYS,
 ) -> DataFrame:
-    """Walk a JSON text once, to any depth, and add what the walk finds as the struct ``out``.
+    """Scan a JSON text once, to any depth, and add what the scan finds as the struct ``out``.
 
-    ``products``: JSON texts of all objects of type Product; ``found``: for each name of ``searches`` the
+    ``products``: places in the text (from 1) of all objects of type Product; ``found``: for each name of ``searches`` the
     value of its keys in the first object that holds any; ``flags``: the last value of each flag. Objects
-    come before what they hold, in the order of the text. Of a repeated key the last value counts.
+    come before what they hold, in the order of the text. Of a repeated key the last value counts. Texts and
+    numbers stand as they were written, objects and lists as slices of the text. What is no JSON holds nothing.
     """
     wanted = dict(searches or {})
 
     def harvest(part: pa.Array) -> pa.Array:
-        kind = pa.struct([
-            ("products", pa.list_(pa.string())), ("found", pa.map_(pa.string(), pa.string())), ("flags", pa.map_(pa.string(), pa.string())),
-        ])
-        rows = [_harvest(t.as_py(), wanted, flags) for t in part]
-        return pa.array([r | {k: list(r[k].items()) for k in ("found", "flags")} for r in rows], kind)
-
-    read = F.arrow_udf(harvest, "products array<string>, found map<string,string>, flags map<string,string>")
+        rows = []
+        for start in range(0, len(part), 256):
+            for value in part.slice(start, 256).to_pylist():
+                row = scanned(value, wanted, flags)
+                spans = [{"start": start, "size": size} for start, size in row["products"]]
+                rows.append({"products": spans, "found": list(row["found"].items()), "flags": list(row["flags"].items())})
+        return pa.array(rows, _ARROW_WALK)
+
+    read = F.arrow_udf(harvest, WALK_TYPE)
     return spread(df).withColumn(out, read(F.col(text)))
 
 
-def products_at_any_depth(walked: Column) -> Column:
-    """Every object with ``@type`` Product, outermost and first ones first."""
-    return F.transform(walked["products"], F.try_parse_json)
+def product_texts(walked: Column, text: Column | str) -> Column:
+    """The JSON text of every object of type Product, outermost and first ones first."""
+    text = F.col(text) if isinstance(text, str) else text
+    return F.transform(walked["products"], lambda p: F.substr(text, p["start"], p["size"]))
+
+
+def products_at_any_depth(walked: Column, text: Column | str) -> Column:
+    """Every object with ``@type`` Product as a VARIANT; NULL for one that nests deeper than a VARIANT may."""
+    text = F.col(text) if isinstance(text, str) else text
+    return F.transform(walked["products"], lambda p: F.try_parse_json(F.substr(text, p["start"], p["size"])))
 
 
 def first_of_keys(walked: Column, name: str) -> Column:

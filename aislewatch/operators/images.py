@@ -7,10 +7,12 @@ that many rows per page and task before it shuffles.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from itertools import combinations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -174,29 +176,38 @@ def quality_rank(url: Column | str, patterns: Sequence[str] = ("/orig/", "/rocs1
 # --- I7-I11: choosing a group -----------------------------------------------------------------
 
 
-def _longest_run(numbers: Column) -> Column:
-    """Length of the longest run of consecutive numbers in an ascending array of distinct ones."""
-    start = F.struct(F.lit(None).cast("bigint").alias("last"), F.lit(0).cast("bigint").alias("run"), F.lit(0).cast("bigint").alias("best"))
+#: Numbers of a family have at most three digits, so their set is this many longs of bits.
+PLANES = 16
 
-    def step(held: Column, number: Column) -> Column:
-        number = number.cast("bigint")
-        run = F.when(held["last"] == number - 1, held["run"] + 1).otherwise(F.lit(1).cast("bigint"))
-        return F.struct(number.alias("last"), run.alias("run"), F.greatest(held["best"], run).alias("best"))
 
-    return F.aggregate(numbers, start, step, lambda held: held["best"])
+def _planes(number: Column) -> dict[str, Column]:
+    """The set of numbers below 1024 as longs: aggregates that only combine bits."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(number, F.lit(64)).cast("int"))
+    return {f"_p{p}": F.bit_or(F.when(F.floor(number / 64) == p, bit)) for p in range(PLANES)}
+
+
+def _longest_run(planes: Sequence[Column]) -> Column:
+    """Length of the longest run of consecutive numbers in a set of bits, lowest plane first; 0 for none.
+
+    The bits are written out, the highest first, and cut at the gaps; a plane that is not there is one gap.
+    """
+    written = [F.when(p.isNull(), F.lit("0")).otherwise(F.lpad(F.bin(p), 64, "0")) for p in reversed(planes)]
+    return F.array_max(F.transform(F.split(F.concat(*written), "0+"), F.length)).cast("bigint")
 
 
 def dominant_family(images: DataFrame, page: str, url: str, pos: str) -> DataFrame:
     """Keep each page's best family by (size, longest run of numbers, earliest position).
 
-    Numbers have at most three digits, so a family's set of them, made before the shuffle too, has no
-    more than a thousand members however large the page is, and its runs are found within the row.
+    A family's set of numbers is sixteen longs of bits, combined before the shuffle too, so a page with very many
+    images sends as little as any other.
     """
     named = images.withColumns({"_family": family_key(url), "_number": family_number(url)})
+    planes = _planes(F.col("_number"))
     families = named.groupBy(page, "_family").agg(
-        F.count("*").alias("n"), F.min(pos).alias("first_pos"), _longest_run(F.sort_array(F.collect_set("_number"))).alias("run")
+        F.count("*").alias("n"), F.min(pos).alias("first_pos"), *[value.alias(name) for name, value in planes.items()]
     )
-    best = families.groupBy(page).agg(F.max_by("_family", F.struct("n", "run", -F.col("first_pos"))).alias("_family"))
+    order = F.struct("n", _longest_run([F.col(p) for p in planes]).alias("run"), (-F.col("first_pos")).alias("first"))
+    best = families.groupBy(page).agg(F.max_by("_family", order).alias("_family"))
     return named.join(best, [page, "_family"]).drop("_number").withColumnRenamed("_family", "family")
 
 
@@ -299,51 +310,135 @@ def _bands(h: Column, count: int) -> list[Column]:
     ]
 
 
-def near_pairs(hashes: DataFrame, scope: Sequence[str], pos: str, h: str, max_hamming: int = 4) -> DataFrame:
-    """Pairs of hashes within ``max_hamming`` bits, earlier position first.
+#: Distinct hashes of one scope that a task settles in order, and hashes of one bucket that it compares at once.
+SETTLED_HASHES = 20_000
+BLOCK_HASHES = 4096
+
+
+def _differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Numbers of differing bits of two arrays of 64-bit hashes."""
+    return np.bitwise_count(a ^ b)
+
 
-    With ``max_hamming + 2`` bands two hashes that close agree on at least two bands, so equi-joins on
-    every pair of bands find all of them; a candidate shares over twenty bits before it is compared.
+def _settle_hashes(part: pd.DataFrame, scope: list[str], pos: str, h: str, max_hamming: int) -> pd.DataFrame:
+    """Leaders of whole scopes: in the order of positions, every hash that no earlier leader is near to."""
+    kept = []
+    for _, rows in part.groupby(scope, sort=False, dropna=False):
+        rows = rows.sort_values(pos, kind="stable")
+        hashes = rows[h].to_numpy(np.int64).view(np.uint64)
+        leaders, held, chosen = np.empty(len(hashes), np.uint64), 0, np.zeros(len(hashes), bool)
+        for n, own in enumerate(hashes):
+            if not (_differing(leaders[:held], own) <= max_hamming).any():
+                leaders[held], chosen[n] = own, True
+                held += 1
+        kept.append(rows[chosen])
+    return pd.concat(kept)[[*scope, h, pos]] if kept else part[[*scope, h, pos]]
+
+
+def _near_any(rows: DataFrame, scope: list[str], pos: str, h: str, max_hamming: int, leads: str | None) -> DataFrame:
+    """The hashes that some other one is near to: an earlier one, or with ``leads`` one that this column marks.
+
+    With ``max_hamming + 2`` bands two hashes that close agree on at least two, so each stands in a bucket for every
+    pair of bands. A bucket is compared inside its task, one row per hash leaves it, and a large bucket is cut into
+    blocks that meet in pairs: no list of pairs is ever written.
     """
     bands = _bands(F.col(h), max_hamming + 2)
     combos = F.array(
         *[F.struct(F.lit(i).alias("combo"), a.alias("x"), b.alias("y")) for i, (a, b) in enumerate(combinations(bands, 2))]
     )
-    keyed = hashes.select(*scope, F.col(pos), F.col(h), F.inline(combos))
-    on = [*scope, "combo", "x", "y"]
-    left = keyed.select(*on, F.col(pos).alias("p1"), F.col(h).alias("earlier"))
-    right = keyed.select(*on, F.col(pos).alias("p2"), F.col(h).alias("later"))
-    close = F.bit_count(F.col("earlier").bitwiseXOR(F.col("later"))) <= max_hamming
-    return left.join(right, on).filter((F.col("p1") < F.col("p2")) & close).select(*scope, "earlier", "later").distinct()
+    bucket = [*scope, "combo", "x", "y"]
+    own = [*scope, F.col(pos), F.col(h), *([F.col(leads)] if leads else [])]
+    keyed = rows.select(*own, F.inline(combos))
+    sizes = keyed.groupBy(*bucket).agg(F.ceil(F.count("*") / BLOCK_HASHES).cast("int").alias("_blocks"), F.count("*").alias("_n"))
+    # A bucket of one hash compares nothing.
+    placed = keyed.join(sizes.filter(F.col("_n") > 1).drop("_n"), bucket).withColumn("_block", F.pmod(F.xxhash64(h), F.col("_blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other")
+    met = placed.select("*", other).withColumns({"_low": F.least("_block", "_other"), "_high": F.greatest("_block", "_other")})
+    group = [*bucket, "_low", "_high"]
+    kinds = dict(rows.dtypes)
+    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in scope), f"`{h}` {kinds[h]}"])
+
+    def compare(part: pd.DataFrame, first: np.ndarray) -> pd.DataFrame:
+        """Hits among rows whose groups lie together; ``first`` marks where a group begins."""
+        hashes, places = part[h].to_numpy(np.int64).view(np.uint64), part[pos].to_numpy()
+        marked = part[leads].to_numpy(bool) if leads else np.ones(len(part), bool)
+        hit, number = np.zeros(len(part), bool), np.cumsum(first)
+        sizes = np.bincount(number)
+        for step in range(1, int(sizes.max())):
+            # Rows that have a member of their group ``step`` places further on.
+            left = np.flatnonzero(number[:-step] == number[step:])
+            right = left + step
+            near = _differing(hashes[left], hashes[right]) <= max_hamming
+            left, right = left[near], right[near]
+            if leads is None:
+                hit[np.where(places[left] > places[right], left, right)[places[left] != places[right]]] = True
+            else:
+                hit[left[marked[right]]] = True
+                hit[right[marked[left]]] = True
+        return part.loc[hit & ~marked if leads else hit, [*scope, h]].drop_duplicates()
+
+    def compare_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+
+        def begins(part: pd.DataFrame) -> np.ndarray:
+            keys = part[group]
+            changed = (keys != keys.shift()) & ~(keys.isna() & keys.shift().isna())
+            first = changed.any(axis=1).to_numpy()
+            first[:1] = True
+            return first
+
+        for batch in batches:
+            held.append(batch)
+            if sum(map(len, held)) < 4 * BLOCK_HASHES:
+                continue
+            part = pd.concat(held, ignore_index=True)
+            first = begins(part)
+            last = int(np.flatnonzero(first)[-1])
+            if last:  # the last group may go on in the next batch
+                yield compare(part.iloc[:last], first[:last])
+            held = [part.iloc[last:]]
+        part = pd.concat(held, ignore_index=True) if held else None
+        if part is not None and len(part):
+            yield compare(part, begins(part))
+
+    together = met.select(*group, pos, h, *([leads] if leads else [])).repartition(*group).sortWithinPartitions(*group)
+    return together.mapInPandas(compare_all, schema).distinct()
 
 
 def drop_near_duplicates(
-    images: DataFrame, scope: str | Sequence[str], pos: str, h: str, max_hamming: int = 4
+    images: DataFrame, scope: str | Sequence[str], pos: str, h: str, max_hamming: int = 4, settled_hashes: int = SETTLED_HASHES
 ) -> DataFrame:
     """Visit images by position; keep one unless a kept one is within ``max_hamming`` bits.
 
-    Images without a hash are kept. Equal hashes are first reduced to their earliest image, which
-    decides for all of them, so a group of copies never forms pairs. The visiting order is then
-    resolved in rounds: an image with no undecided earlier neighbour is kept, and its later
-    neighbours go. A round settles every chain by at least one link.
+    Images without a hash are kept. Equal hashes are first reduced to their earliest image, which decides for all of
+    them. A scope (a product's images) of at most ``settled_hashes`` distinct hashes is settled in order by one task,
+    which holds many scopes. A larger one is settled in rounds over tables of bands: hashes without an earlier near one
+    among the undecided lead, and what is near to a leader goes. Neither way writes pairs of images.
     """
     scope = _keys(scope)
-    hashed = images.filter(F.col(h).isNotNull()).groupBy(*scope, h).agg(F.min(pos).alias(pos))
-    edges = cut_lineage(near_pairs(hashed, scope, pos, h, max_hamming))
-    removed: list[DataFrame] = []
-    while not edges.isEmpty():
-        later = edges.select(*scope, F.col("later").alias("earlier")).distinct()
-        gone = (
-            edges.join(later, [*scope, "earlier"], "left_anti").select(*scope, "later").distinct()
-        )
-        gone = cut_lineage(gone)
-        removed.append(gone)
-        edges = edges.join(gone, [*scope, "later"], "left_anti")
-        edges = cut_lineage(edges.join(gone.withColumnRenamed("later", "earlier"), [*scope, "earlier"], "left_anti"))
-    leaders = hashed
-    if removed:
-        out = reduce(lambda a, b: a.unionByName(b), removed).withColumnRenamed("later", h)
-        leaders = hashed.join(out, [*scope, h], "left_anti")
-    first_rows = images.join(leaders.withColumnRenamed(pos, "_lead"), [*scope, h]).filter(F.col(pos) == F.col("_lead"))
+    hashed = cut_lineage(images.filter(F.col(h).isNotNull()).groupBy(*scope, h).agg(F.min(pos).alias(pos)))
+    sizes = hashed.groupBy(*scope).agg(F.count("*").alias("_n"))
+    large = cut_lineage(sizes.filter(F.col("_n") > settled_hashes).select(*scope))
+    buckets = max(1, -(-hashed.count() // settled_hashes))
+    small = hashed.join(large, scope, "left_anti").withColumn("_bucket", F.pmod(F.xxhash64(*scope), F.lit(buckets)))
+    kinds = dict(hashed.dtypes)
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in [*scope, h, pos])
+    leaders = small.groupBy("_bucket").applyInPandas(lambda part: _settle_hashes(part, scope, pos, h, max_hamming), schema)
+    if not large.isEmpty():
+        leaders = leaders.unionByName(_leaders_in_rounds(hashed.join(large, scope), scope, pos, h, max_hamming))
+    given = leaders.withColumnRenamed(pos, "_lead")
+    first_rows = images.join(given, [*scope, h]).filter(F.col(pos) == F.col("_lead"))
     unread = images.filter(F.col(h).isNull())
     return first_rows.drop("_lead").unionByName(unread)
+
+
+def _leaders_in_rounds(hashed: DataFrame, scope: list[str], pos: str, h: str, max_hamming: int) -> DataFrame:
+    undecided, found = cut_lineage(hashed.select(*scope, h, pos)), []
+    while not undecided.isEmpty():
+        later = _near_any(undecided, scope, pos, h, max_hamming, None)
+        marked = undecided.join(later.withColumn("_later", F.lit(True)), [*scope, h], "left")
+        marked = cut_lineage(marked.withColumn("_leads", F.col("_later").isNull()).drop("_later"))
+        found.append(marked.filter("_leads").drop("_leads"))
+        gone = _near_any(marked, scope, pos, h, max_hamming, "_leads")
+        undecided = cut_lineage(marked.filter("not _leads").drop("_leads").join(gone, [*scope, h], "left_anti"))
+    return reduce(lambda a, b: a.unionByName(b), found)

@@ -2,11 +2,12 @@
 
 Nothing here forms the cross product of rows. Both sides are cut into blocks of bounded size; Spark
 brings block pairs together by key, one matrix product scores a pair, and only the k best of each
-query row leave it. Three things keep the work down, all exact:
+query row leave it. What keeps the work down, all of it exact:
 
-* the item side travels as a broadcast matrix while its measured size stays under a limit;
-* beyond it, with a similarity threshold, items lie in pivot cells and a query visits only cells
-  that the triangle inequality on angles cannot rule out;
+* a scope (images of one product) is the normal case: only rows of one scope meet;
+* without one the item side travels as a broadcast matrix while its size, as sent, stays under a limit;
+* beyond it items lie in the cells of an inverted file (cosine) or the buckets of a multi-index (bits), and a
+  query visits only those that bounds cannot rule out;
 * equal vectors are scored once: for ties only the first k items of equal vector can be chosen.
 """
 
@@ -20,14 +21,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aislewatch.operators.hashing import nearest_hashes
+from aislewatch.operators.inverted import DECIMALS, InvertedFile
 from aislewatch.session import cut_lineage, spread
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 BLOCK_ROWS = 4096
-PIVOTS = 32
-DECIMALS = 6
-# Slack on angle bounds: far above rounding errors, far below any useful angle.
-_SLACK = 1e-6
 
 
 def _matrix(vectors: pd.Series, metric: str) -> np.ndarray:
@@ -92,12 +91,14 @@ def nearest(
     scope: Sequence[str] = (),
     broadcast_bytes: int = BROADCAST_BYTES,
     block_rows: int = BLOCK_ROWS,
+    scan_share: float | None = 1.0,
 ) -> DataFrame:
     """The k nearest items of each query, ties by item id: (scope, query, item, score).
 
     ``metric`` is ``cosine`` on unit vectors (larger is nearer, with an optional lower ``threshold``),
     ``l2``, or ``hamming`` on arrays of 64-bit words. Rows without a vector take no part. ``scope``
-    restricts neighbours to the same product, image pair or the like.
+    restricts neighbours to the same product, image pair or the like. ``scan_share`` is that of
+    ``hashing.nearest_hashes``. Building the plan runs jobs: the search is adapted to what it measures.
     """
     scope = list(scope)
     q = queries.filter(F.col(vector).isNotNull()).select(*scope, F.col(query_id).alias("_query"), F.col(vector).alias("_v"))
@@ -110,15 +111,53 @@ def nearest(
     found = None
     if not scope:
         found = _by_broadcast(q, i, schema, k, metric, threshold, broadcast_bytes)
+        if found is None and metric == "cosine":
+            found = _by_index(q, i, k, lambda a, b: _by_cells(a, b, k, threshold, block_rows))
+        elif found is None and metric == "hamming":
+            found = _by_index(q, i, k, lambda a, b: _by_hashes(a, b, k, block_rows, scan_share))
     if found is None:
         found = _by_blocks(q, i, schema, k, metric, threshold, scope, block_rows)
     score = F.col("_score") if metric == "cosine" else -F.col("_score")
     return found.select(*scope, F.col("_query").alias(query_id), F.col("_item").alias(item_id), score.alias("score"))
 
 
+def _by_index(q: DataFrame, i: DataFrame, k: int, search) -> DataFrame:
+    """Search one query per distinct vector among the first ``k`` items of each, and hand the result to all alike."""
+    q, i = cut_lineage(q), cut_lineage(i)
+    distinct_q = cut_lineage(q.groupBy("_v").agg(F.min("_query").alias("_lead")))
+    same = Window.partitionBy("_v").orderBy("_item")
+    few = i.withColumn("_r", F.row_number().over(same)).filter(F.col("_r") <= k).drop("_r")
+    best = search(distinct_q.select(F.col("_lead").alias("_query"), "_v"), few)
+    members = q.join(distinct_q, "_v").select("_query", "_lead")
+    return members.join(best.withColumnRenamed("_query", "_lead"), "_lead").select("_query", "_item", "_score")
+
+
+def cosine_frames(queries: pd.DataFrame, items: pd.DataFrame, k: int, threshold: float | None) -> Iterator[pd.DataFrame]:
+    """The ``k`` most similar items of each query; both sides in frames (_query or _item, _v), items in order."""
+    return _score_frames(queries, items, _matrix(items["_v"], "cosine"), k, "cosine", threshold)
+
+
+def _by_cells(q: DataFrame, i: DataFrame, k: int, threshold: float | None, block_rows: int) -> DataFrame:
+    return InvertedFile(i, cosine_frames, block_rows=block_rows).search(q, k, threshold).drop("_scored")
+
+
+def _by_hashes(q: DataFrame, i: DataFrame, k: int, block_rows: int, scan_share: float | None) -> DataFrame:
+    kinds = (dict(q.dtypes)["_query"], dict(i.dtypes)["_item"])
+    schema = f"_query {kinds[0]}, _item {kinds[1]}, _score double"
+
+    def scan(queries: DataFrame, items: DataFrame) -> DataFrame:
+        found = _by_blocks(queries, items, schema, k, "hamming", None, [], block_rows)
+        return found.select("_query", "_item", (-F.col("_score")).cast("int").alias("_distance"))
+
+    found = nearest_hashes(q, i, k, scan, scan_share)
+    return found.select("_query", "_item", (-F.col("_distance")).cast("double").alias("_score"))
+
+
 def _by_broadcast(q, i, schema, k, metric, threshold, limit) -> DataFrame | None:
-    """Item matrix on every executor, if its measured size allows; queries then never move."""
-    size = i.select(F.sum(F.size("_v") * 8 + 16).alias("bytes")).first()["bytes"] or 0
+    """Item matrix on every executor, if its size as sent allows; queries then never move."""
+    # A word of a hash is sent as 64 signs of four bytes.
+    width = 64 * 4 if metric == "hamming" else 8
+    size = i.select(F.sum(F.size("_v") * width + 16).alias("bytes")).first()["bytes"] or 0
     if size > limit:
         return None
     frame = i.toPandas().sort_values("_item", kind="stable", ignore_index=True)
@@ -147,49 +186,27 @@ def _by_blocks(q, i, schema, k, metric, threshold, scope, block_rows) -> DataFra
     def pieces(rows: int) -> int:
         return max(1, math.ceil(rows / block_rows))
 
-    # Queries are cut into chunks per scope. Only a scope with more items than a block is worth
-    # pivot cells; all others keep theirs in one.
+    # Both sides are cut into pieces per scope: queries into chunks, items into blocks.
     total = leads.count()
     if scope:
-        sizes = i.groupBy(*scope).agg((F.count("*") > block_rows).alias("_large"))
+        blocks = i.groupBy(*scope).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("_blocks"))
         chunks = distinct_q.groupBy(*scope).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("_chunks"))
-        per_scope = chunks.join(sizes, scope)
+        per_scope = chunks.join(blocks, scope)
         i, leads = i.join(per_scope, scope), leads.join(per_scope, scope)
         bucket = F.pmod(F.xxhash64(*scope), F.lit(pieces(total)))
     else:
-        whole = {"_chunks": F.lit(pieces(total)), "_large": F.lit(True)}
+        whole = {"_chunks": F.lit(pieces(total)), "_blocks": F.lit(pieces(i.count()))}
         i, leads = i.withColumns(whole), leads.withColumns(whole)
         bucket = F.lit(0).cast("bigint")
 
-    pruned = metric == "cosine" and threshold is not None and threshold > -1
-    if pruned:
-        pivots = _pivots(i)
-        i, leads = _cells(i, pivots), _visits(leads, pivots, threshold)
-    else:
-        i, leads = (df.withColumns({"_cell": F.lit(0), "_angle": F.lit(0.0)}) for df in (i, leads))
-
-    # Items are cut into blocks per cell.
-    place = [*scope, "_cell"] if pruned else list(scope)
-    if place:
-        cells = i.groupBy(*place).agg(
-            F.min("_angle").alias("_lo"), F.max("_angle").alias("_hi"), F.ceil(F.count("*") / block_rows).cast("int").alias("_blocks")
-        )
-        i, leads = i.join(cells.select(*place, "_blocks"), place), leads.join(cells, place)
-    else:
-        blocks = F.lit(pieces(i.count()))
-        i, leads = i.withColumn("_blocks", blocks), leads.withColumn("_blocks", blocks)
-    if pruned:
-        reach = _reach(threshold)
-        leads = leads.filter(F.col("_angle").between(F.col("_lo") - reach, F.col("_hi") + reach))
-
-    key = ["_bucket", "_cell", "_block", "_chunk"]
+    key = ["_bucket", "_block", "_chunk"]
     left = leads.select(
-        *scope, "_query", "_v", "_cell", bucket.alias("_bucket"),
+        *scope, "_query", "_v", bucket.alias("_bucket"),
         F.pmod(F.xxhash64("_query"), F.col("_chunks")).cast("int").alias("_chunk"),
         F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_block"),
     )
     right = i.select(
-        *[F.col(c).alias(c) for c in scope], "_item", "_v", "_cell", bucket.alias("_bucket"),
+        *[F.col(c).alias(c) for c in scope], "_item", "_v", bucket.alias("_bucket"),
         F.pmod(F.xxhash64("_item"), F.col("_blocks")).cast("int").alias("_block"),
         F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)).alias("_chunk"),
     )
@@ -217,63 +234,6 @@ def _by_blocks(q, i, schema, k, metric, threshold, scope, block_rows) -> DataFra
     return members.join(best.withColumnRenamed("_query", "_lead"), [*scope, "_lead"]).select(*scope, "_query", "_item", "_score")
 
 
-def _pivots(i: DataFrame) -> np.ndarray:
-    """At most ``PIVOTS`` vectors, chosen by hash order: a bounded, repeatable sample."""
-    rows = i.orderBy(F.xxhash64("_item"), "_item").limit(PIVOTS).select("_v").collect()
-    return np.array([r["_v"] for r in rows], dtype=np.float64).reshape(len(rows), -1)
-
-
-def _reach(threshold: float) -> float:
-    """Largest angle at which the rounded cosine can still meet the threshold."""
-    return math.acos(max(-1.0, min(1.0, threshold - 10.0**-DECIMALS))) + _SLACK
-
-
-def _angles(vectors: pd.Series, pivots: np.ndarray) -> np.ndarray:
-    return np.arccos(np.clip(_matrix(vectors, "cosine") @ pivots.T, -1.0, 1.0))
-
-
-def _with_fields(df: DataFrame, extra: str) -> str:
-    return ", ".join(f"`{n}` {t}" for n, t in df.dtypes) + ", " + extra
-
-
-def _cells(i: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """Put each item in the cell of its nearest pivot."""
-
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                angles = _angles(batch["_v"], pivots)
-                cell = angles.argmin(axis=1)
-                yield batch.assign(_cell=cell.astype(np.int32), _angle=angles[np.arange(len(batch)), cell])
-
-    placed = i.mapInPandas(assign, _with_fields(i, "_cell int, _angle double"))
-    return placed.withColumns(
-        {c: F.when(F.col("_large"), F.col(c)).otherwise(F.lit(0)) for c in ("_cell", "_angle")}
-    )
-
-
-def _visits(q: DataFrame, pivots: np.ndarray, threshold: float) -> DataFrame:
-    """One row per query and cell that may hold an item within reach.
-
-    An item nearest to pivot p lies no farther from p than from the query's own pivot, so a cell more
-    than twice the reach beyond the query's nearest pivot cannot hold one.
-    """
-    reach = _reach(threshold)
-
-    def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                angles = _angles(batch["_v"], pivots)
-                near = angles - angles.min(axis=1, keepdims=True) <= 2 * reach
-                yield batch.assign(
-                    _to=[[{"_cell": int(c), "_angle": float(a[c])} for c in np.nonzero(n)[0]] for a, n in zip(angles, near)]
-                )
-
-    visited = q.mapInPandas(visit, _with_fields(q, "_to array<struct<_cell:int,_angle:double>>"))
-    only = F.array(F.struct(F.lit(0).alias("_cell"), F.lit(0.0).alias("_angle")))
-    return visited.select(*q.columns, F.inline(F.when(F.col("_large"), F.col("_to")).otherwise(only)))
-
-
 def ratio_test(
     pairs: DataFrame, descriptors: DataFrame, ratio: float = 0.75, least: int = 8, floor_zero: bool = False, enough: int = 4
 ) -> DataFrame:

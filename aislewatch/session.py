@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,22 +39,29 @@ def allow_repeated_keys(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
 
 
+_own_folder: dict[str, str] = {}
+
+
+def _shared_folder(spark: SparkSession) -> str:
+    """Folder of ``spark.checkpoint.dir``; one of this machine only for a local master without that setting."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured is None:
+        sc = spark.sparkContext
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        configured = _own_folder.setdefault(sc.applicationId, tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+    return configured.rstrip("/")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint to the shared folder of ``spark.checkpoint.dir``.
+    """Write a table to the shared folder and read it back: its rows are computed once.
 
-    Executors may be lost, so iterative operators never keep their only copy in an executor's
-    block store. A folder is chosen here only for a local master without one configured.
+    Executors may be lost, so iterative operators never keep their only copy in an executor's block store.
     """
     spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        if configured is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-            configured = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        sc.setCheckpointDir(configured)
-    return df.checkpoint(eager=True)
+    path = f"{_shared_folder(spark)}/tables-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 #: Inputs above this estimated size are split by Spark's own readers.

@@ -1,5 +1,7 @@
 """Decisions on awkward inputs, and properties of the expressions."""
 
+import json
+import random
 from decimal import Decimal
 
 import pytest
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 
 from aislewatch.functions import money, stock, text, urls, vectors
 from aislewatch.operators import blobs, html, prices
+from aislewatch.operators.json_scan import scan
 from aislewatch.rules.prices import DEFAULT_STRATEGIES, Strategy
 
 
@@ -136,8 +139,67 @@ def test_walk_has_no_depth_limit_and_keeps_the_last_of_repeated_keys(spark):
     product = '{"@type":["Thing","Product"],"sku":1.50,"sku":2.50}'
     state = '{"a":' * 60 + product + "}" * 60
     walked = blobs.walk(spark.createDataFrame([(state,), ("{bad",), (None,), ("",)], "x string"), "x")
-    found = [r["p"] for r in walked.select(F.col("walk.products").alias("p")).collect()]
-    assert sorted(found) == [[], [], [], ['{"@type":["Thing","Product"],"sku":2.50}']]
+    found = [r["p"] for r in walked.select(blobs.product_texts(F.col("walk"), "x").alias("p")).collect()]
+    assert sorted(f or [] for f in found) == [[], [], [], [product]]
+    parsed = walked.select(F.get(blobs.products_at_any_depth(F.col("walk"), "x"), F.lit(0)).alias("v"))
+    skus = parsed.filter("v is not null").select(F.try_variant_get("v", "$.sku", "double")).collect()
+    assert [r[0] for r in skus] == [2.5]
+
+
+def test_walk_of_twenty_thousand_levels_and_a_thousand_nested_products(spark):
+    deep = '{"a":' * 20_000 + '{"@type":"Product","inStock":true}' + "}" * 20_000
+    nested = '{"@type":"Product","n":' * 1_000 + "1" + "}" * 1_000
+    broken = '{"a":' * 20_000 + '{"@type":"Product"}' + "}" * 19_999
+    rows = spark.createDataFrame([(1, deep), (2, nested), (3, broken)], "n int, x string")
+    walked = blobs.walk(rows, "x").select("n", F.size("walk.products").alias("size"), blobs.last_flag(F.col("walk"), "in_stock").alias("flag"))
+    assert {r.n: (r.size, r.flag) for r in walked.collect()} == {1: (1, "true"), 2: (1000, None), 3: (0, None)}
+
+
+def _random_json(rnd, depth=0):
+    kind = rnd.random()
+    if depth > 4 or kind < 0.45:
+        return rnd.choice([1, -2.5, True, False, None, "Product", 'x\né"', 0, 1e5, ""])
+    if kind < 0.7:
+        return [_random_json(rnd, depth + 1) for _ in range(rnd.randint(0, 3))]
+    names = ["@type", "name", "title", "inStock", "availability", "a"]
+    return {rnd.choice(names): _random_json(rnd, depth + 1) for _ in range(rnd.randint(0, 4))}
+
+
+def _walked(node, out):
+    if isinstance(node, dict):
+        kind = node.get("@type")
+        if kind == "Product" or (isinstance(kind, list) and "Product" in kind):
+            out["products"].append(node)
+        held = [node[k] for k in ("title", "name") if node.get(k) is not None]
+        out["found"] += held[:1]
+        for key, value in node.items():
+            if key == "inStock" and isinstance(value, bool):
+                out["flag"] = value
+    for value in node.values() if isinstance(node, dict) else node if isinstance(node, list) else ():
+        _walked(value, out)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(300))
+def test_scanner_agrees_with_a_parser(seed):
+    rnd = random.Random(seed)
+    root = _random_json(rnd)
+    written = json.dumps(root, ensure_ascii=rnd.random() < 0.5, indent=rnd.choice([None, 1]))
+    got = scan(written, {"name": ["title", "name"]}, blobs.FLAG_KEYS)
+    want = _walked(root, {"products": [], "found": [], "flag": None})
+    assert [json.loads(written[at : at + size]) for at, size in got["products"]] == want["products"]
+    assert got["flags"].get("in_stock") == (None if want["flag"] is None else str(want["flag"]).lower())
+    assert ("name" in got["found"]) == bool(want["found"])
+    if want["found"]:
+        told, value = got["found"]["name"], want["found"][0]
+        assert told == value if isinstance(value, str) else json.loads(told) == value
+    cut = written[: rnd.randint(0, len(written))]
+    try:
+        json.loads(cut)
+        valid = True
+    except ValueError:
+        valid = False
+    assert (scan(cut, {}, blobs.FLAG_KEYS) is not None) == valid
 
 
 def test_selectors(spark):
