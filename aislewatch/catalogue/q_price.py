@@ -8,50 +8,52 @@ from aislewatch.functions import money
 from aislewatch.operators import html, prices
 
 
-def _style(n: str) -> str:
-    """The true amount of the rows in the given renderings, NULL elsewhere."""
-    return with_feed(
-        PRICE_TEXT,
-        f"SELECT p_partkey, CASE WHEN p_partkey % 8 IN ({n}) THEN CAST(cents AS DOUBLE) / 100 END AS amount FROM feed",
-    )
+def _amounts(**columns: str) -> str:
+    """What a parser makes of each of the eight renderings, as SQL by column. All parsers see the whole table."""
+    return with_feed(PRICE_TEXT, f"SELECT p_partkey, {', '.join(f'CASE {sql} END AS {name}' for name, sql in columns.items())} FROM feed")
+
 
+_AMOUNT = "CAST(cents AS DOUBLE) / 100"
+#: A parser that reads no decimal comma takes grouped thousands for the whole, or the comma for a group.
+_WHOLE_ONLY = "CASE WHEN whole >= 1000 THEN CAST(whole // 1000 AS DOUBLE) ELSE CAST(cents AS DOUBLE) END"
 
-def _parse(t, style, expr):
-    """Parse the rows of one rendering; the rest of the table passes through as NULL."""
-    ours = (F.col("p_partkey") % 8).isin(*style)
-    return t.feed(PRICE_TEXT).select("p_partkey", F.when(ours, expr).cast("double").alias("amount"))
 
+def _parse(t, **parsed):
+    return t.feed(PRICE_TEXT).select("p_partkey", *[value.cast("double").alias(name) for name, value in parsed.items()])
 
-@register("P1_dollars", _style("0"))
+
+@register(
+    "P1_dollars",
+    _amounts(
+        amount=f"""WHEN p_partkey % 8 IN (0, 1, 3) THEN {_AMOUNT}
+          WHEN p_partkey % 8 = 2 THEN CASE WHEN whole >= 1000 THEN whole // 1000 + CAST(whole % 1000 // 10 AS DOUBLE) / 100 ELSE CAST(cents AS DOUBLE) END
+          WHEN p_partkey % 8 = 4 THEN {_WHOLE_ONLY} WHEN p_partkey % 8 = 5 THEN CAST(whole AS DOUBLE) WHEN p_partkey % 8 = 6 THEN CAST(cents AS DOUBLE)"""
+    ),
+)
 def p1(t):
-    return _parse(t, [0], money.dollars("price_text"))
+    return _parse(t, amount=money.dollars("price_text"))
 
 
 @register(
     "P2_pounds",
-    with_feed(
-        PRICE_TEXT,
-        """SELECT p_partkey, CASE WHEN p_partkey % 8 = 1 THEN CAST(cents AS DOUBLE) / 100 END AS strict_amount,
-                  CASE WHEN p_partkey % 8 = 1 THEN CAST(cents AS DOUBLE) / 100 WHEN p_partkey % 8 = 6 THEN CAST(cents AS DOUBLE) END AS bare_amount FROM feed""",
+    _amounts(
+        strict_amount=f"WHEN p_partkey % 8 = 1 THEN {_AMOUNT}",
+        bare_amount=f"""WHEN p_partkey % 8 IN (0, 1, 3) THEN {_AMOUNT} WHEN p_partkey % 8 IN (2, 4) THEN {_WHOLE_ONLY}
+          WHEN p_partkey % 8 = 5 THEN CAST(whole AS DOUBLE) WHEN p_partkey % 8 = 6 THEN CAST(cents AS DOUBLE)""",
     ),
 )
 def p2(t):
-    ours = (F.col("p_partkey") % 8).isin(1, 6)
-    return t.feed(PRICE_TEXT).select(
-        "p_partkey",
-        money.pounds("price_text").cast("double").alias("strict_amount"),
-        F.when(ours, money.pounds("price_text", bare=True)).cast("double").alias("bare_amount"),
-    )
+    return _parse(t, strict_amount=money.pounds("price_text"), bare_amount=money.pounds("price_text", bare=True))
 
 
-@register("P3_euros", _style("2, 3"))
+@register("P3_euros", _amounts(amount=f"WHEN p_partkey % 8 IN (0, 1, 2, 3, 4) THEN {_AMOUNT}"))
 def p3(t):
-    return _parse(t, [2, 3], money.euros("price_text"))
+    return _parse(t, amount=money.euros("price_text"))
 
 
-@register("P4_kronor", _style("4"))
+@register("P4_kronor", _amounts(amount=f"WHEN p_partkey % 8 = 4 THEN {_AMOUNT}"))
 def p4(t):
-    return _parse(t, [0, 1, 2, 3, 4, 5, 6, 7], money.kronor("price_text"))
+    return _parse(t, amount=money.kronor("price_text"))
 
 
 ZLOTY_FEED = f"SELECT p_partkey, cents, CASE WHEN p_partkey % 3 = 0 THEN 'raty ' || CAST(whole AS STRING) || ',' || frac || ' zł w maju' ELSE 'cena ' || CAST(whole AS STRING) || ', ' || frac || ' zł' END AS price_text FROM ({PRODUCT})"
@@ -65,6 +67,25 @@ def p5(t):
     return t.feed(ZLOTY_FEED).select("p_partkey", money.zloty("price_text").cast("double").alias("amount"))
 
 
+WHOLE_ZLOTY_FEED = f"""SELECT p_partkey, cents, whole, CASE p_partkey % 5 WHEN 0 THEN 'cena ' || CAST(whole AS STRING) || ' zł' WHEN 1 THEN CAST(whole AS STRING) || ', ' || frac || ' zł'
+   WHEN 2 THEN CAST(whole AS STRING) || ' zł raty' WHEN 3 THEN 'zł' ELSE '1234567 zł' END AS price_text FROM ({PRODUCT})"""
+
+
+@register(
+    "P5_whole_zloty",
+    with_feed(
+        WHOLE_ZLOTY_FEED,
+        "SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN CAST(whole AS DOUBLE) WHEN 1 THEN CAST(cents AS DOUBLE) / 100 END AS amount, CASE WHEN p_partkey % 5 = 1 THEN CAST(cents AS DOUBLE) / 100 END AS strict_amount FROM feed",
+    ),
+)
+def p5_whole(t):
+    return t.feed(WHOLE_ZLOTY_FEED).select(
+        "p_partkey",
+        money.zloty("price_text", whole=True).cast("double").alias("amount"),
+        money.zloty("price_text").cast("double").alias("strict_amount"),
+    )
+
+
 AUD_FEED = f"""SELECT p_partkey, cents, CASE p_partkey % 3 WHEN 0 THEN 'US $1.00 now A$ ' || CAST(whole AS STRING) || '.' || frac
    WHEN 1 THEN '9 left $' || CAST(whole AS STRING) || '.' || frac ELSE 'now ' || CAST(whole AS STRING) || '.' || frac END AS price_text FROM ({PRODUCT})"""
 
@@ -94,7 +115,7 @@ def p7(t):
     )
 
 
-@register("P8_minor_units", _style("6"))
+@register("P8_minor_units", _amounts(amount=f"WHEN p_partkey % 8 = 6 THEN {_AMOUNT}"))
 def p8(t):
     return t.feed(PRICE_TEXT).select("p_partkey", money.minor_units("price_text").cast("double").alias("amount"))
 

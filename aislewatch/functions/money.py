@@ -63,14 +63,21 @@ def kronor(text: Column | str) -> Column:
 INSTALMENT = r"(?i)zapłać później|raty|allegropay|w (?:styczniu|lutym|marcu|kwietniu|maju|czerwcu|lipcu|sierpniu|wrześniu|październiku|listopadzie|grudniu)"
 
 
-def zloty(text: Column | str) -> Column:
-    """Złoty text whose integer, grouped or not, and fraction may stand in separate nodes; instalments are skipped."""
+def zloty(text: Column | str, whole: bool = False) -> Column:
+    """Złoty text whose integer, grouped or not, and fraction may stand in separate nodes; instalments are skipped.
+
+    With ``whole`` a text without a fraction may give a whole number of one to six digits.
+    """
     text = _col(text)
     pattern = rf"(?<!\d)(\d{{1,3}}(?:{_BLANK}\d{{3}})+|\d{{1,6}}){_BLANK}*[.,]{_BLANK}*(\d{{2}})\b"
-    whole = F.regexp_replace(_found(text, pattern, 1), _BLANK, "")
-    amount = F.concat_ws(".", whole, _found(text, pattern, 2))
-    value = F.nullif(amount, F.lit("")).try_cast(MONEY)
-    return F.when(~text.rlike(INSTALMENT), plausible(value, "0.50", "100000"))
+    units = F.regexp_replace(_found(text, pattern, 1), _BLANK, "")
+    amount = F.concat_ws(".", units, _found(text, pattern, 2))
+    value = plausible(F.nullif(amount, F.lit("")).try_cast(MONEY), "0.50", "100000")
+    if whole:
+        bare = _found(text, r"\b(\d{1,6})\b").try_cast(MONEY)
+        fraction = text.rlike(rf"\d{{1,6}}{_BLANK}*[.,]{_BLANK}*\d{{2}}")
+        value = F.coalesce(value, F.when(~fraction, plausible(bare, "1", "100000")))
+    return F.when(~text.rlike(INSTALMENT), value)
 
 
 def australian_dollars(text: Column | str) -> Column:

@@ -19,6 +19,7 @@ PARSERS = {
     "euros": money.euros,
     "kronor": money.kronor,
     "zloty": money.zloty,
+    "whole_zloty": lambda c: money.zloty(c, whole=True),
     "minor": money.minor_units,
     "any": lambda c: F.coalesce(money.any_currency(c)["amount"], money.dollars(c)),
     "plain": lambda c: F.replace(F.trim(c), F.lit(","), F.lit(".")).try_cast(money.MONEY),

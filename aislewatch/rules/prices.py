@@ -90,8 +90,9 @@ PRICE_STRATEGIES: dict[str, tuple[Strategy, ...]] = {
     ),
     "allegro": (
         Strategy("node", "dom", {"contains": {"class": "_7030e_"}}, "zloty"),
-        Strategy("node", "dom", {"attrs": {"data-box-name": "price"}}, "zloty"),
-        Strategy("node", "dom", {"contains": {"aria-label": "cena"}}, "zloty"),
+        Strategy("node", "dom", {"attrs": {"data-box-name": "price"}}, "whole_zloty"),
+        Strategy("node", "dom", {"contains": {"aria-label": "cena"}}, "whole_zloty"),
+        Strategy("node", "dom", {"contains": {"aria-label": "price"}}, "whole_zloty"),
         Strategy("jsonld", "jsonld", parse="plain"),
         Strategy("script", "script", r'"(?:presentableValue|priceAmount|amount)"\s*:\s*"(\d{1,6}[.,]\d{2})"', "euros"),
         Strategy("script", "script", r'"minorUnits"\s*:\s*(\d{3,8})', "minor"),

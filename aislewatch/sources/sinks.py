@@ -18,6 +18,14 @@ def write_observations(observations: DataFrame, path: str, by: str = "retailer",
     observations.write.mode(mode).partitionBy(by).json(path)
 
 
+def write_checked(observations: DataFrame, path: str, error: str = "error", mode: str = "append") -> None:
+    """Good and failed rows in one pass, as documents under ``failed=false`` and ``failed=true``.
+
+    A failed row keeps what names it and its error; keys without a value are left out.
+    """
+    observations.withColumn("failed", F.col(error).isNotNull()).write.mode(mode).partitionBy("failed").json(path)
+
+
 def archive_rows(pages: DataFrame) -> DataFrame:
     """Raw pages with a content hash, by which later captures are told apart."""
     return pages.withColumn("content_hash", F.sha1("html"))

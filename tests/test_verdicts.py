@@ -12,7 +12,7 @@ from aislewatch.operators.selectors import Elements, compiled
 from aislewatch.plans.observe import observe_products
 from aislewatch.rules.verdicts import SHOPS
 from aislewatch.session import spread
-from aislewatch.sources import captures
+from aislewatch.sources import captures, sinks
 
 PAGE = """<div id=a class="x big"><p class=q>one</p><p class="q r" data-k="Some Value">two<b>deep</b></p><i>three</i></div>
 <ul><li><a href="/view-1.html">A</a></li><li><a href="/other">B</a></li></ul><img src=z.png><span class=xbig></span>"""
@@ -123,6 +123,15 @@ def test_the_job_reports_failed_pages(spark):
     assert got[1].name == "Kettle" and got[1].in_stock is True and got[5].name is None
 
 
+def test_good_and_failed_rows_are_written_in_one_pass(spark, tmp_path):
+    rows = [(1, "https://www.tesco.com/a", None, 200, "<h1>Kettle</h1>"), (2, "https://www.tesco.com/b", None, 200, "<![x[y")]
+    df = spark.createDataFrame(rows, "page_id long, url string, final_url string, http_status int, html string")
+    sinks.write_checked(observe_products(df), f"{tmp_path}/out")
+    back = spark.read.json(f"{tmp_path}/out")
+    assert [(r.page_id, r.failed) for r in back.orderBy("page_id").select("page_id", "failed").collect()] == [(1, False), (2, True)]
+    assert spark.read.json(f"{tmp_path}/out/failed=true").first().url == "https://www.tesco.com/b"
+
+
 def test_stock_container_is_read_first(spark):
     page = "<main><p>In stock</p><div class='stock-message'>Sold out</div><h1 id=pageTitle>K</h1></main>"
     rows = [(1, "https://ao.com/product/x.aspx", None, 200, page)]
