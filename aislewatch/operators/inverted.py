@@ -25,16 +25,27 @@ MOST_CELLS = 1024
 FIT_ROUNDS = 8
 #: Share of the cells that a query visits first.
 FIRST_SHARE = 1 / 16
+#: Where bounds would leave more than this share of the items in, comparing in blocks is cheaper than cells.
+SCAN_SHARE = 0.5
 DECIMALS = 6
 # Slack on angle bounds: far above rounding errors, far below any useful angle.
 _SLACK = 1e-6
 
 
-def fit_centroids(items: DataFrame, cells: int, width: int) -> np.ndarray:
-    """Unit centroids of a bounded, repeatable sample: spherical k-means from the first rows by hash."""
-    rows = max(cells, min(SAMPLE_ROWS, SAMPLE_BYTES // (8 * width)))
-    drawn = items.orderBy(F.xxhash64("_item"), "_item").limit(rows).select("_v").collect()
-    sample = np.array([r["_v"] for r in drawn], dtype=np.float64).reshape(len(drawn), width)
+def _matrix_of(rows: DataFrame, width: int) -> np.ndarray:
+    """Vectors of a bounded number of rows."""
+    column = rows.select(F.col("_v").cast("array<double>").alias("_v")).toArrow()["_v"].combine_chunks()
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width)
+
+
+def sample_of(items: DataFrame, width: int, least: int = 1) -> np.ndarray:
+    """A bounded, repeatable sample of vectors: the first rows by hash."""
+    rows = max(least, min(SAMPLE_ROWS, SAMPLE_BYTES // (8 * width)))
+    return _matrix_of(items.orderBy(F.xxhash64("_item"), "_item").limit(rows), width)
+
+
+def fit_centroids(sample: np.ndarray, cells: int) -> np.ndarray:
+    """Unit centroids of a sample by spherical k-means, started from its first rows."""
     centroids = sample[:cells].copy()
     for _ in range(FIT_ROUNDS):
         nearest = (sample @ centroids.T).argmax(axis=1)
@@ -45,6 +56,32 @@ def fit_centroids(items: DataFrame, cells: int, width: int) -> np.ndarray:
     return centroids
 
 
+def cells_for(count: int) -> int:
+    return min(MOST_CELLS, max(1, math.isqrt(count)))
+
+
+def share_left(queries: DataFrame, sample: np.ndarray, cells: int, k: int, threshold: float | None) -> float:
+    """Share of the sample that the bounds of a search would leave in, on average over a few queries by hash."""
+    if not len(sample):
+        return 0.0
+    centroids = fit_centroids(sample, min(cells, len(sample)))
+    asked = _matrix_of(queries.orderBy(F.xxhash64("_query"), "_query").limit(64), sample.shape[1])
+    if not len(asked):
+        return 0.0
+    own = np.arccos(np.clip(sample @ centroids.T, -1.0, 1.0))
+    cell = own.argmin(axis=1)
+    low, high = np.full(len(centroids), np.inf), np.full(len(centroids), -np.inf)
+    np.minimum.at(low, cell, own[np.arange(len(cell)), cell])
+    np.maximum.at(high, cell, own[np.arange(len(cell)), cell])
+    scores = np.sort(asked @ sample.T, axis=1)
+    best = scores[:, -min(k, scores.shape[1])]
+    best = best if threshold is None else np.maximum(best, threshold)
+    angles = np.arccos(np.clip(asked @ centroids.T, -1.0, 1.0))
+    bound = np.maximum(np.maximum(angles - high, low - angles), 0.0)
+    left = bound <= np.arccos(np.clip(best, -1.0, 1.0))[:, None]
+    return float((left @ np.bincount(cell, minlength=len(centroids))).mean() / len(sample))
+
+
 def _angles(vectors: pd.Series, centroids: np.ndarray) -> np.ndarray:
     stacked = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
     norms = np.linalg.norm(stacked, axis=1, keepdims=True)
@@ -64,8 +101,8 @@ class InvertedFile:
         self.count = items.count()
         first = items.select(F.size("_v").alias("n")).first()
         width = first["n"] if first else 1
-        wanted = cells or min(MOST_CELLS, max(1, math.isqrt(self.count)))
-        self.centroids = fit_centroids(items, wanted, width)
+        wanted = cells or cells_for(self.count)
+        self.centroids = fit_centroids(sample_of(items, width, wanted), wanted)
         centroids = items.sparkSession.sparkContext.broadcast(self.centroids)
 
         def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -94,7 +131,6 @@ class InvertedFile:
         """
         held = int((self.sizes > 0).sum())
         first = min(held, first_cells or max(1, math.ceil(held * FIRST_SHARE)))
-        queries = cut_lineage(queries)
         begun = cut_lineage(self._visit(queries, first, None, threshold))
         found = self._score(begun, k, threshold)
         scored = begun.groupBy("_query").agg(F.sum("_size").alias("_scored"))

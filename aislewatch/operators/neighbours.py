@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aislewatch.operators.hashing import nearest_hashes
-from aislewatch.operators.inverted import DECIMALS, InvertedFile
+from aislewatch.operators.inverted import DECIMALS, SCAN_SHARE, InvertedFile, cells_for, sample_of, share_left
 from aislewatch.session import cut_lineage, spread
 
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -126,7 +126,7 @@ def _by_index(q: DataFrame, i: DataFrame, k: int, search) -> DataFrame:
     q, i = cut_lineage(q), cut_lineage(i)
     distinct_q = cut_lineage(q.groupBy("_v").agg(F.min("_query").alias("_lead")))
     same = Window.partitionBy("_v").orderBy("_item")
-    few = i.withColumn("_r", F.row_number().over(same)).filter(F.col("_r") <= k).drop("_r")
+    few = cut_lineage(i.withColumn("_r", F.row_number().over(same)).filter(F.col("_r") <= k).drop("_r"))
     best = search(distinct_q.select(F.col("_lead").alias("_query"), "_v"), few)
     members = q.join(distinct_q, "_v").select("_query", "_lead")
     return members.join(best.withColumnRenamed("_query", "_lead"), "_lead").select("_query", "_item", "_score")
@@ -138,6 +138,12 @@ def cosine_frames(queries: pd.DataFrame, items: pd.DataFrame, k: int, threshold:
 
 
 def _by_cells(q: DataFrame, i: DataFrame, k: int, threshold: float | None, block_rows: int) -> DataFrame:
+    """Through the cells of an inverted file; in blocks where a sample shows that bounds would rule little out."""
+    count, first = i.count(), i.select(F.size("_v").alias("n")).first()
+    schema = f"_query {dict(q.dtypes)['_query']}, _item {dict(i.dtypes)['_item']}, _score double"
+    if first and share_left(q, sample_of(i, first["n"]), cells_for(count), k, threshold) > SCAN_SHARE:
+        found = _pairs_of_blocks(q, i, schema, k, "cosine", threshold, [], block_rows)
+        return found.select("_query", "_item", "_score")
     return InvertedFile(i, cosine_frames, block_rows=block_rows).search(q, k, threshold).drop("_scored")
 
 
@@ -146,7 +152,7 @@ def _by_hashes(q: DataFrame, i: DataFrame, k: int, block_rows: int, scan_share:
     schema = f"_query {kinds[0]}, _item {kinds[1]}, _score double"
 
     def scan(queries: DataFrame, items: DataFrame) -> DataFrame:
-        found = _by_blocks(queries, items, schema, k, "hamming", None, [], block_rows)
+        found = _pairs_of_blocks(queries, items, schema, k, "hamming", None, [], block_rows)
         return found.select("_query", "_item", (-F.col("_score")).cast("int").alias("_distance"))
 
     found = nearest_hashes(q, i, k, scan, scan_share)
@@ -182,6 +188,15 @@ def _by_blocks(q, i, schema, k, metric, threshold, scope, block_rows) -> DataFra
     leads = distinct_q.select(*scope, F.col("_lead").alias("_query"), "_v")
     same = Window.partitionBy(*scope, "_v").orderBy("_item")
     i = i.withColumn("_r", F.row_number().over(same)).filter(F.col("_r") <= k).drop("_r")
+    best = _pairs_of_blocks(leads, i, schema, k, metric, threshold, scope, block_rows)
+
+    # Hand the result of each distinct query vector to every query that has it.
+    members = q.join(distinct_q, [*scope, "_v"]).select(*scope, "_query", "_lead")
+    return members.join(best.withColumnRenamed("_query", "_lead"), [*scope, "_lead"]).select(*scope, "_query", "_item", "_score")
+
+
+def _pairs_of_blocks(leads, i, schema, k, metric, threshold, scope, block_rows) -> DataFrame:
+    """The ``k`` best items of distinct queries: chunks of queries meet blocks of items by key."""
 
     def pieces(rows: int) -> int:
         return max(1, math.ceil(rows / block_rows))
@@ -190,7 +205,7 @@ def _by_blocks(q, i, schema, k, metric, threshold, scope, block_rows) -> DataFra
     total = leads.count()
     if scope:
         blocks = i.groupBy(*scope).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("_blocks"))
-        chunks = distinct_q.groupBy(*scope).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("_chunks"))
+        chunks = leads.groupBy(*scope).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("_chunks"))
         per_scope = chunks.join(blocks, scope)
         i, leads = i.join(per_scope, scope), leads.join(per_scope, scope)
         bucket = F.pmod(F.xxhash64(*scope), F.lit(pieces(total)))
@@ -227,11 +242,7 @@ def _by_blocks(q, i, schema, k, metric, threshold, scope, block_rows) -> DataFra
 
     best = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(score, schema)
     top = Window.partitionBy(*scope, "_query").orderBy(F.col("_score").desc(), "_item")
-    best = best.withColumn("_r", F.row_number().over(top)).filter(F.col("_r") <= k).drop("_r")
-
-    # Hand the result of each distinct query vector to every query that has it.
-    members = q.join(distinct_q, [*scope, "_v"]).select(*scope, "_query", "_lead")
-    return members.join(best.withColumnRenamed("_query", "_lead"), [*scope, "_lead"]).select(*scope, "_query", "_item", "_score")
+    return best.withColumn("_r", F.row_number().over(top)).filter(F.col("_r") <= k).drop("_r")
 
 
 def ratio_test(

@@ -73,7 +73,7 @@ def test_multi_index_equals_a_scan(spark, near, scan):
 
     def by_blocks(some, all_items):
         scans.append(1)
-        return neighbours._by_blocks(
+        return neighbours._pairs_of_blocks(
             some, all_items, "_query bigint, _item bigint, _score double", 7, "hamming", None, [], 64
         ).select("_query", "_item", (-F.col("_score")).cast("int").alias("_distance"))
 
