@@ -128,7 +128,7 @@ def test_good_and_failed_rows_are_written_in_one_pass(spark, tmp_path):
     df = spark.createDataFrame(rows, "page_id long, url string, final_url string, http_status int, html string")
     sinks.write_checked(observe_products(df), f"{tmp_path}/out")
     back = spark.read.json(f"{tmp_path}/out")
-    assert [(r.page_id, r.failed) for r in back.orderBy("page_id").select("page_id", "failed").collect()] == [(1, False), (2, True)]
+    assert [(r.page_id, r.failed) for r in back.orderBy("page_id").select("page_id", "failed").collect()] == [(1, "false"), (2, "true")]
     assert spark.read.json(f"{tmp_path}/out/failed=true").first().url == "https://www.tesco.com/b"
 
 
