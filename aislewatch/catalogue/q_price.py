@@ -268,6 +268,18 @@ FROM ({PRODUCT})
 """
 
 
+def _priced(t, feed):
+    retailer = F.col("retailer")
+    pages = t.feed(feed).select("page_id", "retailer", "html").withColumn("scripts", prices.script_finds(F.col("html"), retailer))
+    placed = html.parse_pages(pages).withColumn(
+        "places", prices.place_texts(F.col("dom"), retailer, F.lit(None).cast("string"), F.col("scripts"))
+    )
+    priced = placed.drop("dom").withColumn("price", prices.price_at(F.col("places")))
+    return priced.select(
+        "page_id", F.col("price.value").cast("double").alias("amount"), F.col("price.source").alias("price_source")
+    )
+
+
 @register(
     "P11_price_by_retailer",
     with_feed(
@@ -277,14 +289,33 @@ FROM ({PRODUCT})
     ),
 )
 def p11_by_retailer(t):
-    retailer = F.col("retailer")
-    pages = t.feed(RETAILER_PAGE).select("page_id", "retailer", "html").withColumn(
-        "scripts", prices.script_finds(F.col("html"), retailer)
-    )
-    placed = html.parse_pages(pages).withColumn(
-        "places", prices.place_texts(F.col("dom"), retailer, F.lit(None).cast("string"), F.col("scripts"))
-    )
-    priced = placed.drop("dom").withColumn("price", prices.price_at(F.col("places")))
-    return priced.select(
-        "page_id", F.col("price.value").cast("double").alias("amount"), F.col("price.source").alias("price_source")
-    )
+    return _priced(t, RETAILER_PAGE)
+
+
+_SUM = "CAST(whole AS STRING) || '.' || frac"
+MORE_RETAILER_PAGE = f"""
+SELECT p_partkey AS page_id, p_partkey % 8 AS kind, cents,
+  CASE p_partkey % 8 WHEN 0 THEN 'tesco' WHEN 1 THEN 'hsn' WHEN 2 THEN 'studio' WHEN 3 THEN 'ao' WHEN 4 THEN 'freemans' WHEN 5 THEN 'currys' WHEN 6 THEN 'laredoute' ELSE 'tesco' END AS retailer,
+  '<html><body><i>7 left</i>' || CASE p_partkey % 8
+    WHEN 0 THEN '<script>{{"ProductType:1":{{"price":{{"unit":"9.00","actual":' || {_SUM} || '}}}}}}</script><p class="priceText__x">£1.00</p>'
+    WHEN 1 THEN '<div class="product-price"><span itemprop="price" content="' || {_SUM} || '">x</span></div>'
+    WHEN 2 THEN '<b>£1.00</b><span id="lblSellingPrice">£' || {_SUM} || '</span>'
+    WHEN 3 THEN '<div data-testid="standard-price-pod">Now £' || {_SUM} || '</div>'
+    WHEN 4 THEN '<p>Only £' || {_SUM} || ' today</p>'
+    WHEN 5 THEN '<div data-component="product-price"><h2>£' || {_SUM} || '</h2></div>'
+    WHEN 6 THEN '<span class="price__value">£' || {_SUM} || '</span>'
+    ELSE '<p class="a priceText">£' || {_SUM} || '</p>' END || '</body></html>' AS html
+FROM ({PRODUCT})
+"""
+
+
+@register(
+    "P11_price_of_more_retailers",
+    with_feed(
+        MORE_RETAILER_PAGE,
+        """SELECT page_id, CAST(cents AS DOUBLE) / 100 AS amount,
+             CASE kind WHEN 0 THEN 'apollo' WHEN 1 THEN 'itemprop' WHEN 4 THEN 'body' WHEN 7 THEN 'dom' ELSE 'onsite' END AS price_source FROM feed""",
+    ),
+)
+def p11_more(t):
+    return _priced(t, MORE_RETAILER_PAGE)

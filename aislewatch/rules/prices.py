@@ -118,6 +118,33 @@ PRICE_STRATEGIES: dict[str, tuple[Strategy, ...]] = {
         Strategy("meta", "meta[itemprop=price]", ("price",)),
         Strategy("script", "script JSON", r'"(?:price|salePrice)"\s*:\s*"?(\d+(?:\.\d{2})?)"?'),
     ),
+    "tesco": (
+        Strategy("script", "apollo", r'"price"\s*:\s*\{[^{}]*"actual"\s*:\s*([\d.]+)', "plain"),
+        Strategy("node", "dom", {"tag": "p", "contains": {"class": "priceText"}}, "pounds"),
+        Strategy("jsonld", "jsonld", parse="plain"),
+        Strategy("body", "body", parse="pounds"),
+    ),
+    "hsn": (*_microdata("any", "itemprop"), Strategy("body", "body", parse="any")),
+    "studio": (Strategy("node", "onsite", {"id": "lblSellingPrice"}, "pounds"),),
+    "ao": (
+        Strategy("node", "onsite", {"attrs": {"data-testid": "standard-price-pod"}}, "pounds"),
+        Strategy("body", "onsite", parse="pounds"),
+    ),
+    "freemans": (Strategy("body", "body", parse="pounds"), Strategy("jsonld", "jsonld", parse="plain")),
+    "currys": (
+        Strategy("jsonld", "jsonld", parse="plain"),
+        Strategy("node", "onsite", {"attrs": {"data-component": "product-price"}}, "pounds"),
+        Strategy("node", "onsite", {"attrs": {"data-test": "product-price-primary"}}, "pounds"),
+        Strategy("node", "onsite", {"cls": "pdp-price"}, "pounds"),
+    ),
+    "laredoute": (
+        Strategy("jsonld", "jsonld", parse="plain"),
+        Strategy("node", "onsite", {"cls": "price"}, "pounds"),
+        Strategy("node", "onsite", {"attrs": {"data-cerberus": "txt_pdp_discountedPrice1"}}, "pounds"),
+        Strategy("node", "onsite", {"tag": "span", "cls": "price__value"}, "pounds"),
+        Strategy("node", "onsite", {"contains": {"class": "showSalePriceAfter_"}}, "pounds"),
+        Strategy("node", "onsite", {"cls": "product-price"}, "pounds"),
+    ),
 }
 DEFAULT_STRATEGIES: tuple[Strategy, ...] = (
     Strategy("node", "dom", {"attrs": {"data-testid": "price"}}, "signed"),
