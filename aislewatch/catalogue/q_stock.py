@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from aislewatch.catalogue.registry import register, with_feed
 from aislewatch.functions import stock
-from aislewatch.operators.variants import roll_up_variants
+from aislewatch.operators.variants import available_names, roll_up_variants
 
 OFFER_FEED = """
 SELECT o_orderkey, CASE o_orderstatus WHEN 'O' THEN 'https://schema.org/InStock' WHEN 'F' THEN 'http://schema.org/' || CASE o_orderkey % 4 WHEN 0 THEN 'OutOfStock' WHEN 1 THEN 'SoldOut' WHEN 2 THEN 'Discontinued' ELSE 'oos' END ELSE 'PreOrder' END AS availability FROM orders
@@ -141,6 +141,14 @@ def k7(t):
     return roll_up_variants(t.feed(VARIANT_FEED))
 
 
+@register(
+    "K7_available_names",
+    with_feed(VARIANT_FEED, "SELECT product_id, name, min(pos) AS first_pos FROM feed WHERE available GROUP BY 1, 2"),
+)
+def k7_names(t):
+    return available_names(t.feed(VARIANT_FEED))
+
+
 CODE_FEED = "SELECT o_orderkey, CASE o_orderkey % 7 WHEN 0 THEN 'IN_STOCK' WHEN 1 THEN 'available' WHEN 2 THEN 'OUT_OF_STOCK' WHEN 3 THEN 'NOT_AVAILABLE' WHEN 4 THEN ' online ' WHEN 5 THEN 'OUT' ELSE o_orderstatus END AS code FROM orders"
 
 

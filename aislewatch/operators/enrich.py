@@ -19,20 +19,25 @@ def fill_missing(pages: DataFrame, extra: DataFrame, code: str, fields: Sequence
 def choose_variant(requests: DataFrame, variants: DataFrame, product: str, wanted: str, pos: str) -> DataFrame:
     """Variant of a product by name, case-insensitively, with a message when it fails.
 
-    Variants reduce to one row per (product, name) first; the list of names is made from those.
+    Variants reduce to one row per (product, name) first; a list of names is made only for products of which a request
+    names a variant that is not there.
     """
     by_name = variants.withColumn("_name_key", F.lower(F.trim("name"))).groupBy(product, "_name_key").agg(
         F.min_by(F.struct("name", "url", "available"), F.col(pos)).alias("_v"), F.min(pos).alias("_pos")
     )
-    names = by_name.groupBy(product).agg(
-        F.sort_array(F.collect_list(F.struct(F.col("_pos"), F.col("_v")["name"].alias("name")))).alias("_n")
-    )
     asked = requests.withColumn("_name_key", F.lower(F.trim(wanted)))
-    joined = asked.join(by_name.drop("_pos"), [product, "_name_key"], "left").join(names, product, "left")
     no_wish = F.coalesce(F.col("_name_key") == "", F.lit(True))
+    joined = asked.join(by_name.drop("_pos"), [product, "_name_key"], "left")
+    # Only requests that miss name the variants there are, so lists are made and joined for their products alone.
+    joined = joined.withColumn("_missed", F.when(~no_wish & F.col("_v").isNull(), F.col(product)))
+    missed = joined.filter(F.col("_missed").isNotNull()).select(F.col("_missed").alias(product)).distinct()
+    names = by_name.join(missed, product, "left_semi").groupBy(F.col(product).alias("_missed")).agg(
+        F.sort_array(F.collect_list(F.struct(F.col("_pos"), F.col("_v")["name"].alias("name")))).alias("_n")
+    )
+    joined = joined.join(names, "_missed", "left")
     message = (
         F.when(no_wish, F.lit(None).cast("string"))
-        .when(F.col("_n").isNull(), "No color variants found on this product page")
+        .when(F.col("_v").isNull() & F.col("_n").isNull(), "No color variants found on this product page")
         .when(F.col("_v").isNull(), F.concat(F.lit("Color '"), F.col(wanted), F.lit("' not found. Available colors: "), F.array_join(F.col("_n")["name"], ", ")))
         .when(~F.col("_v")["available"], F.concat(F.lit("Color '"), F.col(wanted), F.lit("' is out of stock")))
     )

@@ -6,6 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def available_names(variants: DataFrame, product: str = "product_id") -> DataFrame:
+    """The available names of each product as rows (product, name, first_pos), for products with any number of them."""
+    return variants.filter("available").groupBy(product, "name").agg(F.min("pos").alias("first_pos"))
+
+
 def roll_up_variants(variants: DataFrame, product: str = "product_id") -> DataFrame:
     """One row per product from (product, pos, name, selected, available).
 
