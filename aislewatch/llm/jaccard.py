@@ -161,26 +161,53 @@ def families(docs: DataFrame, near: Nearness) -> DataFrame:
     return components(shared.select(F.col("first").alias("a"), F.col("set").alias("b")), "jaccard-family")
 
 
-def family_sets(docs: DataFrame, measured: DataFrame, family: DataFrame, near: Nearness) -> DataFrame:
-    """Rows (region, node, n, shingles): every set of a family once, its hashes as bytes."""
-    holder = measured.groupBy(F.col("set").alias("node")).agg(F.min("doc_id").alias("_d"))
-    wanted = family.join(holder, "node").select("_d", "node", F.col("root").alias("region"))
-    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("_d")).select("region", "node", "text")
+def set_holders(measured: DataFrame) -> DataFrame:
+    """Rows (set, least, holders): each set's smallest doc_id, and its number of documents."""
+    null_ids = F.sum(F.col("doc_id").isNull().cast("bigint"))
+    held = measured.filter("set is not null").groupBy("set")
+    return held.agg(F.min("doc_id").alias("least"), (F.count_distinct("doc_id") + null_ids).alias("holders"))
+
+
+def family_sets(docs: DataFrame, holders: DataFrame, family: DataFrame, near: Nearness) -> DataFrame:
+    """Rows (region, node, n, shingles, holders, avoid): every set of a family once, its hashes as bytes."""
+    wanted = family.join(holders.withColumnRenamed("set", "node"), "node")
+    wanted = wanted.select(F.col("least").alias("_d"), "node", F.col("root").alias("region"), "holders")
+    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("_d")).select("region", "node", "holders", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             # Rows that share a doc_id may hold other sets: only the one asked for is taken.
             found = [
-                (r, s, len(h), h.tobytes()) for (r, s), h in _sets(iter([batch]), near, "region", "node") if len(h) and set_id(h) == s
+                (r, s, len(h), h.tobytes(), w, [])
+                for (r, s, w), h in _sets(iter([batch]), near, "region", "node", "holders")
+                if len(h) and set_id(h) == s
             ]
-            columns = list(zip(*found, strict=True)) if found else [(), (), (), ()]
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+            columns = list(zip(*found, strict=True)) if found else [()] * len(_SETS)
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], _SETS)
 
-    return texts.mapInArrow(run, "region bigint, node bigint, n bigint, shingles binary")
+    return texts.mapInArrow(run, _SETS_TYPE)
+
+
+#: ``avoid`` names the places where a set also is: two sets that avoid the same place are counted there, not here.
+_SETS = ["region", "node", "n", "shingles", "holders", "avoid"]
+_SETS_TYPE = "region bigint, node bigint, n bigint, shingles binary, holders bigint, avoid array<bigint>"
 
 
-_SETS = ["region", "node", "n", "shingles"]
+def nameless_sets(docs: DataFrame, holders: DataFrame, family: DataFrame, near: Nearness) -> DataFrame:
+    """The rows of ``family_sets`` for sets that only rows without a doc_id hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(set_id(h), len(h), h.tobytes()) for _, h in _sets(iter([batch]), near) if len(h)]
+            nodes, sizes, data = zip(*found, strict=True) if found else ((), (), ())
+            arrays = [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(data, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, ["node", "n", "shingles"])
+
+    own = docs.filter("doc_id is null").select("text").distinct().mapInArrow(run, "node bigint, n bigint, shingles binary")
+    wanted = family.join(holders.filter("least is null").withColumnRenamed("set", "node"), "node")
+    empty = F.array().cast("array<bigint>").alias("avoid")
+    return own.join(wanted, "node").select(F.col("root").alias("region"), "node", "n", "shingles", "holders", empty)
 
 
 class Region:
@@ -246,18 +273,28 @@ def region_links(nodes: list[int], shingles: list[np.ndarray], near: Nearness) -
     return links
 
 
-def region_pairs(nodes: list[int], shingles: list[np.ndarray], near: Nearness) -> list[tuple[int, int]]:
-    """All links (a, b) of the region, a < b, each once.
+def region_degrees(
+    nodes: list[int], shingles: list[np.ndarray], holders: list[int], avoid: list[list[int]], near: Nearness
+) -> tuple[list[tuple[int, int]], list[int]]:
+    """Links that connect what all links of the region connect, and for each set the holders of those it links with.
 
-    Sets are compared whose sizes allow a link and whose distances to the smallest set differ by no more than a link's reach.
+    Sets are compared whose sizes allow a link and whose distances to the smallest set differ by no more than a
+    link's reach. No list of pairs is made: a link adds to two sums, and is kept only where it connects.
     """
+    degree = np.zeros(len(nodes), np.int64)
     if len(nodes) < 2:
-        return []
+        return [], degree.tolist()
     region = Region(nodes, shingles)
     order, links = np.argsort(region.sizes, kind="stable"), []
-    sizes = region.sizes[order]
+    sizes, weight = region.sizes[order], np.array(holders, np.int64)[order]
+    column = {place: k for k, place in enumerate(sorted({x for places in avoid for x in places}))}
+    avoided = np.zeros((len(nodes), len(column)), bool)
+    for row, k in enumerate(order.tolist()):
+        avoided[row, [column[x] for x in avoid[k]]] = True
     held = region.shared(int(order[0]), order)
     distance = 1 - held / (sizes[0] + sizes - held)
+    group = np.arange(len(order))
+    sums = np.zeros(len(order), np.int64)
     for k in range(len(order) - 1):
         to = int(np.searchsorted(near.percent * sizes, 100 * sizes[k], "right"))
         later = np.arange(k + 1, max(to, k + 1))
@@ -266,44 +303,65 @@ def region_pairs(nodes: list[int], shingles: list[np.ndarray], near: Nearness) -
             continue
         held = region.shared(int(order[k]), order[later])
         found = later[100 * held >= near.percent * (sizes[k] + sizes[later] - held)]
-        x = nodes[order[k]]
-        links += [(min(x, nodes[y]), max(x, nodes[y])) for y in order[found].tolist()]
-    return links
+        if not len(found):
+            continue
+        groups, first = np.unique(group[found], return_index=True)
+        new = groups != group[k]
+        if new.any():
+            links += [(nodes[order[k]], nodes[order[y]]) for y in found[first[new]].tolist()]
+            group[np.isin(group, groups)] = group[k]
+        if column:
+            found = found[~(avoided[found] & avoided[k]).any(axis=1)]
+        sums[k] += weight[found].sum()
+        sums[found] += weight[k]
+    degree[order] = sums
+    return links, degree.tolist()
+
 
+def _links_batch(links: list[tuple[int, int | None, int | None]]) -> pa.RecordBatch:
+    columns = zip(*links, strict=True) if links else ((), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "linked"])
 
-def _links_batch(links: list[tuple[int, int]]) -> pa.RecordBatch:
-    a, b = zip(*links, strict=True) if links else ((), ())
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
+def join_regions(sets: DataFrame, near: Nearness, counted: bool = False) -> DataFrame:
+    """Spanning links (a, b) within each region of ``sets``; a task holds one region at a time.
 
-def join_regions(sets: DataFrame, near: Nearness, every: bool = False) -> DataFrame:
-    """Spanning links (a, b), or all, within each region of ``sets``; a task holds one region at a time."""
-    region_links_of = region_pairs if every else region_links
+    If ``counted``, also rows (a, linked): the holders of the sets that a set links with, as far as they count here.
+    """
+
+    def join(nodes: list, held: list, holders: list, avoid: list) -> list[tuple]:
+        if not counted:
+            return [(a, b, None) for a, b in region_links(nodes, held, near)]
+        links, degrees = region_degrees(nodes, held, holders, avoid, near)
+        return [(a, b, None) for a, b in links] + [(x, None, n) for x, n in zip(nodes, degrees, strict=True) if n]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        region, nodes, held, links = None, [], [], []
+        region, nodes, held, holders, avoid, links = None, [], [], [], [], []
         for row in rows_of(batches):
             if nodes and row["region"] != region:
-                links += region_links_of(nodes, held, near)
-                nodes, held = [], []
+                links += join(nodes, held, holders, avoid)
+                nodes, held, holders, avoid = [], [], [], []
                 if len(links) > 10_000:
                     yield _links_batch(links)
                     links = []
             region = row["region"]
             nodes.append(row["node"])
             held.append(np.frombuffer(row["shingles"], np.uint64))
-        yield _links_batch(links + region_links_of(nodes, held, near))
+            holders.append(row["holders"])
+            avoid.append(row["avoid"])
+        yield _links_batch(links + join(nodes, held, holders, avoid))
 
     dealt = sets.repartition("region").sortWithinPartitions("region", "node")
-    return dealt.select(*_SETS).mapInArrow(run, "a bigint, b bigint")
+    return dealt.select(*_SETS).mapInArrow(run, "a bigint, b bigint, linked bigint")
 
 
 def voronoi(sets: DataFrame, level: int, near: Nearness) -> DataFrame:
-    """Where pivots send every set of ``sets``: rows (parent, node, n, region, pivot).
+    """Where pivots send every set of ``sets``: rows (parent, node, n, region, pivot, also).
 
     A set goes to the region of its nearest pivot, and to that of every pivot no more than twice the
     reach farther: of two linked sets, the second then is in the region of the first. ``pivot`` is the
-    pivot's node where the set links with it. Sets are spread by a hash within their region, so a
+    pivot's node where the set links with it. ``also`` names the set's smaller regions: of the regions
+    where two sets meet, all but the smallest are in the ``also`` of both. Sets are spread by a hash within their region, so a
     large region is divided by many tasks; each gets the ``PIVOTS`` pivots.
     """
     order = F.xxhash64("node", F.lit(level))
@@ -320,38 +378,47 @@ def voronoi(sets: DataFrame, level: int, near: Nearness) -> DataFrame:
         names = chosen["pivot_node"].tolist()
         sets_of = [np.frombuffer(x, np.uint64) for x in chosen["pivot_shingles"]]
         out = []
-        for parent, node, n, data in zip(*(rows[c] for c in _SETS), strict=True):
+        for parent, node, n, data in zip(*(rows[c] for c in _SETS[:4]), strict=True):
             own = np.frombuffer(data, np.uint64)
             held = np.array([len(np.intersect1d(own, p, assume_unique=True)) for p in sets_of])
             union = np.array([n + len(p) for p in sets_of]) - held
             distance = 1 - held / union
+            sent = []
             for k in np.flatnonzero(distance <= distance.min() + 2 * near.reach).tolist():
                 linked = 100 * held[k] >= near.percent * union[k]
                 region = mix(np.array([parent, names[k], level], np.int64).view(np.uint64))
                 region = int(mix(region[:1] + region[1:2] * np.uint64(3) + region[2:])[0].view(np.int64))
-                out.append((parent, node, n, region, names[k] if linked else None))
-        found = pd.DataFrame(out, columns=["parent", "node", "n", "region", "pivot"])
+                sent.append((region, names[k] if linked else None))
+            for region, pivot in sent:
+                out.append((parent, node, n, region, pivot, sorted(other for other, _ in sent if other < region)))
+        found = pd.DataFrame(out, columns=["parent", "node", "n", "region", "pivot", "also"])
         return found.astype({"pivot": "Int64"})
 
     both = left.groupBy("region", "_salt").cogroup(right.groupBy("pivot_region", "pivot__salt"))
-    moved = both.applyInPandas(divide, "parent bigint, node bigint, n bigint, region bigint, pivot bigint")
+    moved = both.applyInPandas(divide, "parent bigint, node bigint, n bigint, region bigint, pivot bigint, also array<bigint>")
     return stored(moved, "jaccard-voronoi")
 
 
 def pair_blocks(sets: DataFrame) -> DataFrame:
-    """Regions that pivots cannot divide, as regions of two blocks each, so that any two sets meet."""
+    """Regions that pivots cannot divide, as regions of two blocks each, so that any two sets meet.
+
+    Sets of the same block avoid each other in all of them but the block's region with itself.
+    """
     total = sets.groupBy("region").agg(F.ceil(4 * F.sum("n") / REGION_SHINGLES).alias("_blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("_blocks"))
     dealt = sets.join(total, "region").withColumn("_own", own)
     dealt = dealt.withColumn("_other", F.explode(F.expr("sequence(0L, _blocks - 1)")))
     region = F.xxhash64("region", F.least("_own", "_other"), F.greatest("_own", "_other"))
-    return dealt.select(region.alias("region"), "node", "n", "shingles")
+    block = F.array(F.xxhash64("region", "_own", F.lit("block")))
+    avoid = F.when(F.col("_own") == F.col("_other"), F.col("avoid")).otherwise(F.concat("avoid", block))
+    return dealt.select(region.alias("region"), "node", "n", "shingles", "holders", avoid.alias("avoid"))
 
 
-def links_within(sets: DataFrame, near: Nearness, every: bool = False) -> DataFrame:
+def links_within(sets: DataFrame, near: Nearness, counted: bool = False) -> DataFrame:
     """Links (a, b) that connect what all links between sets of the same region connect, exactly.
 
-    With ``every`` these are all links, a < b and each once.
+    If ``counted``, also rows (a, linked) that sum to the holders of all sets that ``a`` links with. A link
+    counts once wherever its ends meet, so its number of regions does not matter, and no list of links is written.
 
     Regions above ``REGION_SHINGLES`` are divided by pivots again and again. Where windows would send
     more than twice a region's shingles on, or more than half of them to one place, pivots do not
@@ -361,12 +428,12 @@ def links_within(sets: DataFrame, near: Nearness, every: bool = False) -> DataFr
     for level in range(MOST_LEVELS + 1):
         size = sets.groupBy("region").agg(F.sum("n").alias("_t"), F.count("*").alias("_c"))
         large = stored(size.filter((F.col("_t") > REGION_SHINGLES) & (F.col("_c") > 2)), "jaccard-large")
-        links.append(join_regions(sets.join(large, "region", "left_anti"), near, every))
+        links.append(join_regions(sets.join(large, "region", "left_anti"), near, counted))
         if large.isEmpty():
             break
         big = sets.join(large.select("region"), "region", "left_semi")
         if level == MOST_LEVELS:
-            links.append(join_regions(pair_blocks(big), near, every))
+            links.append(join_regions(pair_blocks(big), near, counted))
             break
         moved = voronoi(big, level, near)
         part = moved.groupBy("parent", "region").agg(F.sum("n").alias("_p"))
@@ -375,29 +442,39 @@ def links_within(sets: DataFrame, near: Nearness, every: bool = False) -> DataFr
             "parent", ((F.col("_all") <= 2 * F.col("_t")) & (F.col("_most") <= F.col("_t") / 2)).alias("_pays")
         )
         pays = stored(pays, "jaccard-pays")
-        if not every:  # a set that links with a pivot is in the pivot's region too
-            links.append(moved.filter("pivot is not null").select(F.col("pivot").alias("a"), F.col("node").alias("b")))
+        if not counted:  # a set that links with a pivot is in the pivot's region too
+            to_pivot = moved.filter("pivot is not null")
+            links.append(to_pivot.select(F.col("pivot").alias("a"), F.col("node").alias("b"), F.lit(None).cast("bigint").alias("linked")))
         stays = pays.filter("not _pays").select(F.col("parent").alias("region"))
-        links.append(join_regions(pair_blocks(big.join(stays, "region", "left_semi")), near, every))
-        goes = moved.join(pays.filter("_pays"), "parent").select("parent", "node", F.col("region").alias("_new"))
-        old = big.select(F.col("region").alias("parent"), "node", "n", "shingles")
-        divided = old.join(goes, ["parent", "node"]).select(F.col("_new").alias("region"), "node", "n", "shingles")
+        links.append(join_regions(pair_blocks(big.join(stays, "region", "left_semi")), near, counted))
+        goes = moved.join(pays.filter("_pays"), "parent").select("parent", "node", F.col("region").alias("_new"), "also")
+        old = big.withColumnRenamed("region", "parent")
+        avoid = F.concat("avoid", "also").alias("avoid")
+        divided = old.join(goes, ["parent", "node"]).select(F.col("_new").alias("region"), "node", "n", "shingles", "holders", avoid)
         sets = stored(divided, "jaccard-sets")
-    found = reduce(DataFrame.union, links)
-    return found.distinct() if every else found
+    return reduce(DataFrame.union, links)
 
 
-def _linked(docs: DataFrame, near: Nearness, every: bool) -> tuple[DataFrame, DataFrame]:
-    """Rows (doc_id, n_shingles, set, component_id) of all documents, and links (a, b) of sets: spanning ones, or all."""
+def _linked(docs: DataFrame, near: Nearness, counted: bool) -> DataFrame:
+    """Rows (doc_id, n_shingles, set, component_id, holders, linked) of all documents; ``linked`` only if ``counted``."""
     measured = stored(measure_sets(docs, near), "jaccard-measured")
+    holders = stored(set_holders(measured), "jaccard-holders")
     family = families(docs, near)
-    sets = stored(family_sets(docs, measured, family, near), "jaccard-sets")
-    links = stored(links_within(sets, near, every), "jaccard-links")
-    found = components(links, "jaccard-component").select(F.col("node").alias("set"), "root")
-    group = measured.join(found, "set", "left").withColumn("_group", F.coalesce("root", "set"))
-    least = group.filter("_group is not null").groupBy("_group").agg(F.min("doc_id").alias("_least"))
+    found = family_sets(docs, holders, family, near).union(nameless_sets(docs, holders, family, near))
+    sets = stored(found, "jaccard-sets")
+    if not sets.groupBy("node").count().filter("count > 1").isEmpty():  # rows that share a doc_id, or have none
+        sets = stored(sets.dropDuplicates(["node"]), "jaccard-sets")
+    links = stored(links_within(sets, near, counted), "jaccard-links")
+    found = components(links.filter("b is not null").select("a", "b"), "jaccard-component")
+    found = found.select(F.col("node").alias("set"), "root")
+    # Components are settled among sets, so that a group of copies is one row.
+    group = holders.join(found, "set", "left").withColumn("_group", F.coalesce("root", "set"))
+    least = group.groupBy("_group").agg(F.min("least").alias("_least"))
+    degree = links.filter("linked is not null").groupBy(F.col("a").alias("set")).agg(F.sum("linked").alias("linked"))
+    each = group.join(least, "_group").join(degree, "set", "left").select("set", "holders", "linked", "_least")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("_least", "doc_id")).alias("component_id")
-    return group.join(least, "_group", "left").select("doc_id", "n_shingles", "set", component), links
+    whole = measured.join(each, "set", "left")
+    return whole.select("doc_id", "n_shingles", "set", component, "holders", "linked")
 
 
 def near_components(docs: DataFrame, near: Nearness = Nearness()) -> DataFrame:
@@ -411,17 +488,8 @@ def near_components(docs: DataFrame, near: Nearness = Nearness()) -> DataFrame:
     document; those with other sets count once per set. Other columns are ignored; an empty table gives an
     empty table. Sets are told apart by 64-bit hashes of words and shingles.
     """
-    whole, links = _linked(docs, near, every=True)
-    holders = whole.filter("set is not null").groupBy("set").agg(
-        (F.count_distinct("doc_id") + F.sum(F.col("doc_id").isNull().cast("bigint"))).alias("_holders")
-    )
-    holders = stored(holders, "jaccard-holders")
-    ends = links.select(F.col("a").alias("_end"), F.col("b").alias("set")).union(links.select(F.col("b"), F.col("a")))
-    degree = ends.join(holders, "set").groupBy(F.col("_end").alias("set")).agg(F.sum("_holders").alias("_linked"))
-    return whole.join(holders, "set", "left").join(degree, "set", "left").select(
-        "doc_id", "n_shingles", "component_id",
-        (F.coalesce("_linked", F.lit(0)) + F.coalesce(F.col("_holders") - 1, F.lit(0))).alias("n_links"),
-    )
+    links = F.coalesce("linked", F.lit(0)) + F.coalesce(F.col("holders") - 1, F.lit(0))
+    return _linked(docs, near, counted=True).select("doc_id", "n_shingles", "component_id", links.cast("bigint").alias("n_links"))
 
 
 def keep_one(docs: DataFrame, near: Nearness = Nearness()) -> DataFrame:
@@ -429,6 +497,6 @@ def keep_one(docs: DataFrame, near: Nearness = Nearness()) -> DataFrame:
 
     Rows that repeat a doc_id stay or go together; rows with a null doc_id stay.
     """
-    gone = _linked(docs, near, every=False)[0].filter("component_id != doc_id").select("doc_id").distinct()
+    gone = _linked(docs, near, counted=False).filter("component_id != doc_id").select("doc_id").distinct()
     left, right = docs.alias("l"), gone.alias("r")
     return left.join(right, F.col("l.doc_id") == F.col("r.doc_id"), "left_anti")

@@ -19,6 +19,54 @@ def test_number_of_links_by_brute_force(spark, monkeypatch, limit):
     assert found == {i: sum(linked(sets[i], sets[j]) for j in sets if j != i) for i in sets}
 
 
+def test_links_of_large_groups_are_counted_not_written(spark, monkeypatch):
+    """Near copies in a dense group, at sizes that go through pivots, windows and pairs of blocks."""
+    rng = np.random.default_rng(5)
+    base = [f"w{k}" for k in range(60)]
+    rows = []
+    for k in range(150):
+        words = list(base)
+        for place in rng.choice(60, k % 4, replace=False):
+            words[place] = f"x{rng.integers(9)}"
+        rows.append((k // 2 if k < 20 else k, " ".join(words)))
+    rows += [(None, " ".join([*base[:-1], "alone"])), (None, " ".join([*base[:-1], "alone"])), (3, rows[6][1]), (200, "other text")]
+    near = jaccard.Nearness(3, 80)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    seen = []
+    for limit in (1_000_000, 3000, 300):
+        monkeypatch.setattr(jaccard, "REGION_SHINGLES", limit)
+        seen.append(sorted(jaccard.near_components(docs, near).collect(), key=str))
+    assert seen[0] == seen[1] == seen[2]
+    sets = [(i, n, frozenset(shingle_hashes(word_hashes(t), 3).tolist())) for n, (i, t) in enumerate(rows)]
+    holders = {}
+    for i, n, s in sets:
+        holders.setdefault(s, set()).add(("null", n) if i is None else i)
+    linked = lambda a, b: 100 * len(a & b) >= 80 * len(a | b)
+    expected = sorted((str(i), sum(len(h) for o, h in holders.items() if linked(s, o)) - 1) for i, _, s in sets)
+    assert sorted((str(r.doc_id), r.n_links) for r in seen[0]) == expected
+    written = jaccard.links_within
+    rows_of_links = []
+
+    def count(*args):
+        found = written(*args)
+        rows_of_links.append(found.count())
+        return found
+
+    monkeypatch.setattr(jaccard, "links_within", count)
+    jaccard.near_components(docs, near).collect()
+    monkeypatch.setattr(jaccard, "REGION_SHINGLES", 1_000_000)
+    jaccard.near_components(docs, near).collect()
+    assert rows_of_links[1] <= 2 * len(holders)
+
+
+def test_a_set_without_ids_connects(spark):
+    words = [f"w{k}" for k in range(30)]
+    texts = [" ".join(words), " ".join([*words, "a", "b", "c"]), " ".join([*words, *"abcdef"])]
+    docs = spark.createDataFrame([(1, texts[0]), (None, texts[1]), (2, texts[2])], "doc_id bigint, text string")
+    found = {r.doc_id: (r.component_id, r.n_links) for r in jaccard.near_components(docs, jaccard.Nearness(3, 90)).collect()}
+    assert found == {1: (1, 1), None: (None, 2), 2: (1, 1)}
+
+
 def test_keys_in_every_lower_band():
     shingles = np.unique(np.random.default_rng(1).integers(0, 2**64, 100, dtype=np.uint64))
     near = jaccard.Nearness(5, 30)
