@@ -15,9 +15,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 END_ID = 2
-#: Words, and pieces made of words, whose ids a Python worker remembers before it starts afresh.
-REMEMBERED_WORDS = 500_000
-REMEMBERED_PIECES = 400_000
+#: Pieces whose ids a Python worker gathers before those gathered earlier, and not met since, are forgotten.
+REMEMBERED_PIECES = 600_000
 #: Rows between two entries of a row index; stripes are closed at about this many bytes.
 INDEX_STRIDE = 1000
 STRIPE_BYTES = 16 * 1024 * 1024
@@ -25,6 +24,7 @@ STRIPE_BYTES = 16 * 1024 * 1024
 #: Letters up to here have been letters in every version of Unicode that a tokenizer may know.
 _LAST_LETTER = "\u024f"
 _BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
+_LINE_END = re.compile(r"(?<=\S)\n(?=\S)")
 _SPACE_RUN = re.compile(r"\s ")
 _ASCII_SPACE_RUNS = tuple(c + " " for c in " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f")
 
@@ -48,7 +48,6 @@ class PieceEncoder(dict):
 
     def __init__(self, file: str, specials_are_text: bool = False):
         super().__init__()
-        self.newer: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.no_truncation()
@@ -63,38 +62,27 @@ class PieceEncoder(dict):
         self.byte_letters = {ord(c): kind.pre_tokenize_str(c)[0][0] for c in spelt} if self.by_piece else {}
 
     def __missing__(self, piece: str) -> bytes:
+        value = self.older.get(piece)
+        if value is None:
+            value = self.composed(piece)
         if len(self) >= REMEMBERED_PIECES:
+            self.older = dict(self)
             self.clear()
-        value = self[piece] = self.composed(piece)
+        self[piece] = value
         return value
 
     def composed(self, piece: str) -> bytes:
-        head, line_end, tail = piece.partition("\n")
-        if line_end and head and tail and not head[-1].isspace() and not tail[0].isspace():
-            return self.composed(head) + self.word(line_end) + self.composed(tail)
+        """A plain word goes to the model at once; others are put together from plain words where that is safe."""
+        letters = piece[1:] if piece[:1] == " " else piece
+        if letters.isalpha() and (letters.isascii() or max(letters) <= _LAST_LETTER):
+            ids = [token.id for token in self.tokenizer.model.tokenize(piece.translate(self.byte_letters))]
+            return struct.pack(f"<{len(ids)}I", *ids)
+        lines = _LINE_END.split(piece)
+        if len(lines) > 1:
+            return self["\n"].join(map(self.__getitem__, lines))
         if piece[-1:] in ".,;:!?" and piece[-2:-1].isalpha():
-            return self.word(piece[:-1]) + self.word(piece[-1])
-        return self.word(piece)
-
-    def word(self, word: str) -> bytes:
-        """From the words met lately, or those met before them; a full memory keeps its newer half."""
-        value = self.newer.get(word)
-        if value is None:
-            value = self.older.get(word)
-            if value is None:
-                value = self.whole(word)
-            if len(self.newer) >= REMEMBERED_WORDS:
-                self.newer, self.older = {}, self.newer
-            self.newer[word] = value
-        return value
-
-    def whole(self, text: str) -> bytes:
-        """A word of common letters goes to the tokenizer's model at once, as the one part that it is."""
-        letters = text[1:] if text[:1] == " " else text
-        if letters.isalpha() and max(letters) <= _LAST_LETTER:
-            ids = [token.id for token in self.tokenizer.model.tokenize(text.translate(self.byte_letters))]
-        else:
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            return self[piece[:-1]] + self[piece[-1]]
+        ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def ids(self, text: str) -> bytes:
@@ -114,7 +102,8 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int = END_ID, specials_are_t
 
     ``ids`` are those of the whole text and ``end_id``; null and empty texts give ``end_id`` alone.
     ``part_start`` counts the ids before the document in its partition. Null doc_ids come first;
-    rows that share a doc_id stay apart, ordered by text. Only doc_id and text are read.
+    rows that share a doc_id stay apart, ordered by a hash of their text, and may lie in several partitions;
+    an empty table gives an empty table. Only doc_id and text are read.
     """
     end = np.array([end_id], "<u4").tobytes()
 
@@ -135,7 +124,11 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int = END_ID, specials_are_t
                 )
                 start += int(ends[-1])
 
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Rows that share a doc_id are parted by a hash of their text, and equal ones by their place, so that no range
+    # must hold them all.
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("_text"), F.monotonically_increasing_id().alias("_row"))
+    order = ["doc_id", "_text", "_row"]
+    ordered = hashed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return ordered.mapInArrow(run, f"doc_id {id_type}, part_start bigint, ids array<int>")
 
@@ -144,7 +137,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, **options) ->
     """Encode ``docs`` and write ORC files under ``path``, one or more per range of doc_ids.
 
     Integers are run-length encoded by the format; each stripe carries a row index and a Bloom filter
-    on doc_id, so a reader skips stripes by metadata, and tasks read stripes side by side.
+    on doc_id, so a reader skips stripes by metadata, and tasks read stripes side by side. Nulls, empty
+    texts, repeated rows and an empty table are as in ``encode``; other columns are not written.
     """
     writer = encode(docs, tokenizer, **options).write
     settings = {

@@ -45,6 +45,28 @@ def test_piece_encoder_matches_the_tokenizer():
         assert pieces.ids(text) == np.array(known.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
 
 
+def test_piece_encoder_forgets_and_takes_many_lines(monkeypatch):
+    monkeypatch.setattr(token_files, "REMEMBERED_PIECES", 5)
+    known = Tokenizer.from_file(TOKENIZER)
+    pieces = token_files.PieceEncoder(TOKENIZER)
+    for text in ("\n".join(f"line{k}." for k in range(5000)), "a\n\nb\nc, d\n", " ".join(f"w{k % 9}, x.\ny" for k in range(200))):
+        assert pieces.ids(text) == np.array(known.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert len(pieces) <= 5
+
+
+def test_token_files_of_a_repeated_id(spark, tmp_path):
+    rows = [(7 if k % 3 else None, f"text {k}") for k in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
+    token_files.write_token_files(docs, f"file://{tmp_path}/ids", TOKENIZER)
+    read = token_files.read_token_files(spark, f"file://{tmp_path}/ids")
+    texts = sorted((r.doc_id or -1, r.text) for r in token_files.texts_back(read, TOKENIZER).collect())
+    assert texts == sorted((i or -1, t) for i, t in rows)
+    starts = [(r.start, len(r.ids)) for r in read.orderBy("start").collect()]
+    assert all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:], strict=False))
+    ids = [r.doc_id for r in read.orderBy("start").collect()]
+    assert ids == sorted(ids, key=lambda i: -1 if i is None else i)
+
+
 def test_token_files_read_back(spark, awkward, empty, tmp_path):
     path = f"file://{tmp_path}/ids"
     token_files.write_token_files(awkward, path, TOKENIZER)
