@@ -310,13 +310,62 @@ def test_dedup_lines_edge_cases(spark, awkward, empty):
     assert lines.dedup_lines(empty).count() == 0
 
 
+MIT = next(t.text for t in licences.TEMPLATES if t.label == "mit")
+
+
+def labels_of(text, idf=None):
+    return {m[0] for m in licences.PositionalIndex(idf or {}).find(licences.licence_words(text))}
+
+
 def test_index_finds_altered_templates():
+    altered = MIT.replace("any person", "every human person").replace("merge, publish,", "publish,")
+    for text in (MIT, "Foo bar. " + altered.upper() + " more text", "x " * 50 + MIT):
+        assert labels_of(text) == {"mit"}
+    assert labels_of("This code is released under the MIT-License! Enjoy.") == {"mit"}
+    assert labels_of("Text licensed under CC-BY-NC 4.0") == {"cc-by", "cc-by-nc"}
+    assert not labels_of("by the public general license rights all")
     index = licences.PositionalIndex({})
-    found = index.find(licences.licence_words("Foo. Permission is hereby granted, free of charge, to anyone. MIT-License! CC-BY-NC"))
-    assert {m[0] for m in found} >= {"mit", "cc-by", "cc-by-nc"}
-    assert not index.find(licences.licence_words("by the public general license rights all"))
-    words = licences.licence_words("cc by cc by")
-    assert [m[2] for m in index.find(words) if m[1]] == [0, 2]
+    assert [m[2] for m in index.find(licences.licence_words("cc by cc by")) if m[1]] == [0, 2]
+
+
+def test_a_mention_is_not_a_licence():
+    for text in (
+        "Our photos come from creative commons sources", "he hated the MIT license", "the mozilla public license is a public license",
+        "a boost software license and an apache license version 2 0", "copies or substantial portions of the software were lost",
+        "gnu affero general public license",
+    ):
+        assert not labels_of(text) - {"gpl"}
+    for t in licences.PositionalIndex({}).templates:
+        assert t.base or (len(t.pairs) >= 2 and t.coverage(t.key, -t.key_at) < licences.LEAST_COVERAGE)
+
+
+def test_matches_by_brute_force():
+    """Every template at every place of its key phrase, without an index."""
+    rng = random.Random(8)
+    texts = [t.text for t in licences.TEMPLATES]
+    common = [w for t in texts for w in t.split()]
+    for k in range(150):
+        parts = []
+        for _ in range(rng.randint(1, 5)):
+            words = rng.choice(texts).split()
+            for _ in range(rng.randint(0, len(words) // 2)):
+                place = rng.randrange(len(words))
+                words[place : place + rng.randint(0, 1)] = rng.sample(common, rng.randint(0, 2))
+                words = words or ["x"]
+            parts += words + rng.choices(common, k=rng.randint(0, 9))
+        words = licences.licence_words(" ".join(parts))
+        idf = {w: rng.random() for w in {x for t in texts for x in licences.licence_words(t)}} if k % 2 else {}
+        index = licences.PositionalIndex(idf)
+        expected = set()
+        for t in index.templates:
+            for at in range(len(words) - len(t.key) + 1):
+                start = at - t.key_at
+                near = sum(any(words[i] == t.words[p] for i in range(start + p - t.drift, start + p + t.drift + 1) if 0 <= i < len(words)) for p in t.places)
+                if words[at : at + len(t.key)] == t.key and near >= t.need:
+                    share = t.coverage(words, start)
+                    if share >= licences.LEAST_COVERAGE:
+                        expected.add((t.label, t.base, at, len(t.key), share))
+        assert set(index.find(words)) == expected
 
 
 def test_licences_edge_cases(awkward, empty):
