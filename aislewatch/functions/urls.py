@@ -346,15 +346,22 @@ ONE_LETTER = {
 SEVERAL_LETTERS = {
     "ä": "ae", "ö": "oe", "ü": "ue", "ß": "ss", "Ä": "Ae", "Ö": "Oe", "Ü": "Ue", "æ": "ae", "œ": "oe",
 }
+# The same for shops whose names write German and Romance letters only; other letters go.
+WESTERN_ONE_LETTER = {
+    "a": "àáâã", "e": "èéêë", "i": "ìíîï", "o": "òóôõ", "u": "ùúû", "c": "ç", "n": "ñ", "_": "/\\:*?\"<>|",
+}
+WESTERN_SEVERAL_LETTERS = {k: SEVERAL_LETTERS[k] for k in "äöüßÄÖÜ"}
 
 
-def safe_name(name: Column | str, max_length: int = 120, default: str = "product") -> Column:
-    """File-safe ASCII name of at most ``max_length`` characters."""
+def safe_name(name: Column | str, max_length: int = 120, default: str = "product", western: bool = False) -> Column:
+    """File-safe ASCII name of at most ``max_length`` characters, with all letters of the shops or the ``western`` ones."""
+    several = WESTERN_SEVERAL_LETTERS if western else SEVERAL_LETTERS
+    one_letter = WESTERN_ONE_LETTER if western else ONE_LETTER
     out = F.trim(F.regexp_replace(F.coalesce(_col(name), F.lit("")), r"[\s ]+", " "))
-    for letter, ascii_text in SEVERAL_LETTERS.items():
+    for letter, ascii_text in several.items():
         out = F.replace(out, F.lit(letter), F.lit(ascii_text))
-    source = "".join(ONE_LETTER.values())
-    target = "".join(k * len(v) for k, v in ONE_LETTER.items())
+    source = "".join(one_letter.values())
+    target = "".join(k * len(v) for k, v in one_letter.items())
     out = F.translate(out, source, target)
     out = F.regexp_replace(out, r"[^\x00-\x7F]", "")
     out = F.regexp_replace(out, r"[^\w.\-]+", "_")
