@@ -12,6 +12,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,8 +24,10 @@ from aislewatch.session import cut_lineage
 LEAST_WIDTH, MOST_WIDTH = 8, 16
 #: Items that the first look at the nearest buckets should meet, in multiples of k.
 FIRST_ITEMS = 8
-
-_COUNTS = np.array([bin(n).count("1") for n in range(1 << 16)], np.uint8)
+#: Rows of a piece of either side that meet in one task: at most, and at least unless there is but one piece.
+PIECE_ROWS, LEAST_ROWS, MOST_SMALL = 65_536, 2_048, 8
+#: Rows by which ``share_met`` judges whether buckets rule anything out.
+SAMPLE_ROWS, SAMPLE_QUERIES = 20_000, 64
 
 
 def _words(column: pa.Array, words: int) -> np.ndarray:
@@ -51,16 +54,31 @@ class Buckets:
         self.value = np.array([r[1] for r in rows], np.int32)
         self.items = np.array([r[2] for r in rows], np.int64)
         self.parts = parts
+        ends = np.searchsorted(self.part, np.arange(parts + 1))
+        self.runs = [slice(int(start), int(end)) for start, end in zip(ends[:-1], ends[1:], strict=True)]
 
     def distances(self, own: np.ndarray) -> np.ndarray:
         """Differing bits of a query's substrings and each bucket's value."""
-        return _COUNTS[own[self.part] ^ self.value]
+        return np.concatenate([np.bitwise_count(self.value[run] ^ own[n]) for n, run in enumerate(self.runs)])
 
     def nearest(self, own: np.ndarray, wanted: int) -> np.ndarray:
         """Numbers of the nearest buckets that together hold ``wanted`` items."""
-        order = np.argsort(self.distances(own), kind="stable")
-        enough = int(np.searchsorted(np.cumsum(self.items[order]), wanted)) + 1
-        return order[:enough]
+        far, chosen, held = self.distances(own), [], 0
+        for distance in range(int(far.max(initial=0)) + 1):
+            level = np.flatnonzero(far == distance)
+            sums = held + np.cumsum(self.items[level])
+            chosen.append(level[: int(np.searchsorted(sums, wanted)) + 1])
+            held = int(sums[-1]) if len(sums) else held
+            if held >= wanted:
+                break
+        return np.concatenate(chosen)
+
+    def met(self, own: np.ndarray, distance: int) -> int:
+        """Items in the buckets of ``within``, those that stand in several counted as often."""
+        a, b = divmod(distance, self.parts)
+        limits = [a if n <= b else a - 1 for n in range(self.parts)]
+        near = [np.bitwise_count(self.value[run] ^ own[n]) <= limits[n] for n, run in enumerate(self.runs)]
+        return int(sum(np.dot(self.items[run], hit) for run, hit in zip(self.runs, near, strict=True)))
 
     def within(self, own: np.ndarray, distance: int) -> np.ndarray:
         """Numbers of the buckets of which one holds any item within ``distance``.
@@ -93,6 +111,72 @@ def _distance(a: Column, b: Column, words: int) -> Column:
     return total
 
 
+def _width(count: int) -> int:
+    return max(LEAST_WIDTH, min(MOST_WIDTH, math.ceil(math.log2(max(2, count)))))
+
+
+class Block:
+    """Some items with their own buckets: the columns of their words, and per substring its values and their items."""
+
+    def __init__(self, words: np.ndarray, width: int):
+        self.columns = np.ascontiguousarray(words.view(np.uint64).T)
+        self.width, self.buckets = width, []
+        for own in substrings(words, width).T:
+            order = np.argsort(own, kind="stable")
+            values, starts = np.unique(own[order], return_index=True)
+            self.buckets.append((values, order, np.diff(starts, append=len(own))))
+
+    def distances(self, own: np.ndarray, rows: np.ndarray | None) -> np.ndarray:
+        """Differing bits of a hash (its words) and all items, or those of the given numbers."""
+        total = np.zeros(self.columns.shape[1] if rows is None else len(rows), np.uint16)
+        for column, word in zip(self.columns, own.view(np.uint64), strict=True):
+            total += np.bitwise_count((column if rows is None else column[rows]) ^ word)
+        return total
+
+    def within(self, parts: np.ndarray, distance: int) -> np.ndarray:
+        """Numbers of the items in the buckets of which one holds any item within ``distance``; see ``Buckets.within``."""
+        a, b = divmod(distance, len(self.buckets))
+        marked = np.zeros(self.columns.shape[1], bool)
+        for n, (values, order, sizes) in enumerate(self.buckets):
+            hit = np.bitwise_count(values ^ parts[n]) <= (a if n <= b else a - 1)
+            marked[order[np.repeat(hit, sizes)]] = True
+        return np.flatnonzero(marked)
+
+    def nearest(self, own: np.ndarray, parts: np.ndarray | None, distance: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers and distances of the k nearest items within ``distance``, ties by number; with ``parts``, a query's
+        substrings, through the buckets."""
+        rows = None if parts is None else self.within(parts, distance)
+        total = self.distances(own, rows)
+        near = np.flatnonzero(total <= distance)
+        if len(near) > k:
+            near = near[total[near] <= np.partition(total[near], k - 1)[k - 1]]
+            near = near[np.argsort(total[near], kind="stable")[:k]]
+        return (near if rows is None else rows[near]), total[near]
+
+
+def share_met(queries: DataFrame, items: DataFrame, k: int) -> float:
+    """Items that a query's buckets would meet, repeats counted, over all items: on average over a few queries by hash
+    and a bounded sample of the items."""
+    count, first = items.count(), items.select(F.size("_v").alias("n")).first()
+    if not first:
+        return 0.0
+    take = lambda df, name, rows: _words(
+        df.orderBy(F.xxhash64(name), name).limit(rows).select(F.col("_v").cast("array<bigint>").alias("_v")).toArrow()["_v"], first["n"]
+    )
+    sample, asked = take(items, "_item", SAMPLE_ROWS), take(queries, "_query", SAMPLE_QUERIES)
+    if not len(asked):
+        return 0.0
+    width = _width(count)
+    block, own = Block(sample, width), substrings(sample, width)
+    met = 0
+    for words, parts in zip(asked, substrings(asked, width), strict=True):
+        total = block.distances(words, None)
+        far = int(np.partition(total, k - 1)[k - 1]) if len(total) >= k else 64 * first["n"]
+        a, b = divmod(far, own.shape[1])
+        met += int((np.bitwise_count(own ^ parts) <= np.where(np.arange(own.shape[1]) <= b, a, a - 1)).sum())
+    return met / (len(asked) * len(sample))
+
+
 def _top(found: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("_query").orderBy("_distance", "_item")
     return found.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= k).drop("_r")
@@ -103,7 +187,12 @@ def nearest_hashes(queries: DataFrame, items: DataFrame, k: int, scan=None, scan
 
     Both sides hold distinct rows (_query or _item, _v), hashes being arrays of as many 64-bit words. Where a query's
     buckets would meet more than ``scan_share`` of all items, ``scan(queries, items)`` compares it with all of them
-    in blocks, which is cheaper; with None every query goes through its buckets.
+    in blocks, which is cheaper; with None every query goes through its buckets, but for those whose buckets hold more
+    rows than the table.
+
+    The first look joins a query with few buckets. The second brings chunks of queries and blocks of items together by
+    key; a block has its buckets in the task that it comes to, so no list of buckets is written, and at most k rows of a
+    query leave a block.
     """
     items, queries = cut_lineage(items), cut_lineage(queries)
     count, first = items.count(), items.select(F.size("_v").alias("n")).first()
@@ -111,7 +200,7 @@ def nearest_hashes(queries: DataFrame, items: DataFrame, k: int, scan=None, scan
     if not first:
         return queries.sparkSession.createDataFrame([], f"_query {kinds[0]}, _item {kinds[1]}, _distance int")
     words = first["n"]
-    width = max(LEAST_WIDTH, min(MOST_WIDTH, math.ceil(math.log2(max(2, count)))))
+    width = _width(count)
     parts = math.ceil(64 * words / width)
     keyed = cut_lineage(_explode(items, words, width, "_parts").select("_item", "_v", F.posexplode("_parts").alias("_part", "_value")))
     # At most parts * 2**width rows, whatever the number of items.
@@ -119,44 +208,66 @@ def nearest_hashes(queries: DataFrame, items: DataFrame, k: int, scan=None, scan
     table = queries.sparkSession.sparkContext.broadcast(Buckets([tuple(r) for r in rows], parts))
     limit = None if scan is None or scan_share is None else scan_share * count
 
-    def look_up(asked: DataFrame, distance: str | None) -> DataFrame:
-        """Add the buckets to visit (_keys), and whether they hold too many items (_scan)."""
-
-        def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            buckets = table.value
-            for batch in batches:
-                own = substrings(_words(batch["_v"], words), width) if batch.num_rows else []
-                far = batch[distance].to_pylist() if distance else [None] * batch.num_rows
-                keys, scans = [], []
-                for mine, most in zip(own, far, strict=True):
-                    hit = buckets.nearest(mine, FIRST_ITEMS * k) if most is None else buckets.within(mine, most)
-                    much = limit is not None and most is not None and int(buckets.items[hit].sum()) > limit
-                    scans.append(much)
-                    keys.append([] if much else [{"_part": int(buckets.part[n]), "_value": int(buckets.value[n])} for n in hit])
-                kind = pa.list_(pa.struct([("_part", pa.int32()), ("_value", pa.int32())]))
-                yield pa.RecordBatch.from_arrays(
-                    [batch["_query"], batch["_v"], *([batch[distance]] if distance else []), pa.array(keys, kind), pa.array(scans, pa.bool_())],
-                    names=["_query", "_v", *([distance] if distance else []), "_keys", "_scan"],
-                )
-
-        extra = f", {distance} int" if distance else ""
-        return asked.mapInArrow(choose, f"_query {kinds[0]}, _v array<bigint>{extra}, _keys array<struct<_part:int,_value:int>>, _scan boolean")
-
-    def meet(asked: DataFrame, most: Column | None) -> DataFrame:
-        left = asked.select("_query", F.col("_v").alias("_q"), *([most.alias("_most")] if most is not None else []), F.inline("_keys"))
-        pairs = left.join(keyed, ["_part", "_value"]).withColumn("_distance", _distance(F.col("_q"), F.col("_v"), words))
-        near = pairs if most is None else pairs.filter(F.col("_distance") <= F.col("_most"))
-        # An item may stand in several of a query's buckets.
-        return near.select("_query", "_item", "_distance").distinct()
+    def first_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        buckets = table.value
+        for batch in batches:
+            own = substrings(_words(batch["_v"], words), width) if batch.num_rows else []
+            hits = [buckets.nearest(mine, FIRST_ITEMS * k) for mine in own]
+            hit = np.concatenate(hits) if hits else np.zeros(0, np.int64)
+            lists = pa.ListArray.from_arrays(
+                pa.array(np.cumsum([0, *map(len, hits)]).astype(np.int32)),
+                pa.StructArray.from_arrays([pa.array(buckets.part[hit]), pa.array(buckets.value[hit])], names=["_part", "_value"]),
+            )
+            yield pa.RecordBatch.from_arrays([batch["_query"], batch["_v"], lists], names=["_query", "_v", "_keys"])
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Add the number of items in the buckets to visit, those that stand in several counted as often."""
+        buckets = table.value
+        for batch in batches:
+            own = substrings(_words(batch["_v"], words), width) if batch.num_rows else []
+            far = batch["_far"].to_pylist()
+            met = [buckets.met(m, f) for m, f in zip(own, far, strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(met, pa.int64())], names=[*batch.schema.names, "_met"])
+
+    def near(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        b = b.sort_values("_item", kind="stable", ignore_index=True)
+        block = Block(np.stack(b["_v"].to_list()).astype(np.int64), width) if len(a) and len(b) else None
+        out = [pd.DataFrame(columns=["_query", "_item", "_distance"])]
+        if block is not None:
+            own = np.stack(a["_v"].to_list()).astype(np.int64)
+            parts = substrings(own, width)
+            few = (a["_met"] <= count).to_numpy()
+            hits = [block.nearest(own[n], parts[n] if few[n] else None, int(m), k) for n, m in enumerate(a["_far"])]
+            at = np.repeat(np.arange(len(a)), [len(h[0]) for h in hits])
+            rows, far = (np.concatenate([h[n] for h in hits]) for n in (0, 1))
+            out = [pd.DataFrame({"_query": a["_query"].to_numpy()[at], "_item": b["_item"].to_numpy()[rows], "_distance": far.astype(np.int32)})]
+        return out[0]
+
+    def meet_blocks(asked: DataFrame) -> DataFrame:
+        pieces = lambda rows: max(1, min(MOST_SMALL, math.ceil(rows / LEAST_ROWS)), math.ceil(rows / PIECE_ROWS))
+        chunks, blocks = pieces(asked.count()), pieces(count)
+        part = lambda name, number: F.pmod(F.xxhash64(name), F.lit(number)).cast("int")
+        every = lambda number: F.explode(F.sequence(F.lit(0), F.lit(number - 1)))
+        left = asked.select("_query", "_v", "_far", "_met", part("_query", chunks).alias("_chunk"), every(blocks).alias("_block"))
+        right = items.select("_item", F.col("_v").cast("array<bigint>").alias("_v"), part("_item", blocks).alias("_block"), every(chunks).alias("_chunk"))
+        key = ["_chunk", "_block"]
+        schema = f"_query {kinds[0]}, _item {kinds[1]}, _distance int"
+        return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(near, schema)
 
     queries = queries.select("_query", F.col("_v").cast("array<bigint>").alias("_v"))
-    begun = _top(meet(look_up(queries, None), None), k)
+    keys = queries.mapInArrow(first_buckets, f"_query {kinds[0]}, _v array<bigint>, _keys array<struct<_part:int,_value:int>>")
+    left = keys.select("_query", F.col("_v").alias("_q"), F.inline("_keys"))
+    pairs = left.join(keyed, ["_part", "_value"]).select("_query", "_item", _distance(F.col("_q"), F.col("_v"), words).alias("_distance"))
+    # An item may stand in several of a query's buckets.
+    begun = _top(pairs.distinct(), k)
     known = begun.groupBy("_query").agg(F.max("_distance").alias("_far"), F.count("*").alias("_n"))
     far = F.when(F.col("_n") >= k, F.col("_far")).otherwise(F.lit(64 * words))
     asked = queries.join(known.select("_query", far.alias("_far")), "_query", "left")
     asked = asked.withColumn("_far", F.coalesce("_far", F.lit(64 * words)).cast("int"))
-    chosen = cut_lineage(look_up(asked, "_far"))
-    found = meet(chosen, F.col("_far"))
-    if limit is not None:
-        found = found.unionByName(scan(chosen.filter("_scan").select("_query", "_v"), items))
+    chosen = cut_lineage(asked.mapInArrow(measure, f"_query {kinds[0]}, _v array<bigint>, _far int, _met bigint"))
+    if limit is None:
+        found = meet_blocks(chosen)
+    else:
+        much = F.col("_met") > limit
+        found = meet_blocks(chosen.filter(~much)).unionByName(scan(chosen.filter(much).select("_query", "_v"), items))
     return _top(found, k)

@@ -21,12 +21,17 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aislewatch.operators.hashing import nearest_hashes
+from aislewatch.operators.hashing import nearest_hashes, share_met
 from aislewatch.operators.inverted import DECIMALS, SCAN_SHARE, InvertedFile, cells_for, sample_of, share_left
 from aislewatch.session import cut_lineage, spread
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 BLOCK_ROWS = 4096
+#: Pieces of a side grow to so many rows, or bytes of matrix, before there are more than MOST_SMALL of them: a row is sent
+#: once per piece of the other side.
+PIECE_ROWS, PIECE_BYTES, MOST_SMALL = 65_536, 64 * 1024 * 1024, 8
+# Items that are scored at once.
+_TILE = 4096
 
 
 def _matrix(vectors: pd.Series, metric: str) -> np.ndarray:
@@ -38,44 +43,83 @@ def _matrix(vectors: pd.Series, metric: str) -> np.ndarray:
     return stacked.astype(np.float64)
 
 
-def _scores(x: np.ndarray, y: np.ndarray, metric: str) -> np.ndarray:
+def _raw(x: np.ndarray, y: np.ndarray, metric: str) -> np.ndarray:
+    """What grows with nearness and is cheap to form for all pairs; ``_exact`` turns chosen ones into scores."""
+    product = x @ y.T
+    if metric != "l2":
+        return product
+    return -((x * x).sum(1)[:, None] + (y * y).sum(1)[None, :] - 2 * product)
+
+
+def _exact(raw: np.ndarray, width: int, metric: str) -> np.ndarray:
     """Scores where larger is nearer."""
     if metric == "cosine":
-        return np.round(x @ y.T, DECIMALS)
+        return np.round(raw, DECIMALS)
     if metric == "hamming":
-        return -np.rint((x.shape[1] - x @ y.T) / 2).astype(np.float64)
-    squares = (x * x).sum(1)[:, None] + (y * y).sum(1)[None, :] - 2 * (x @ y.T)
-    return -np.round(np.sqrt(np.maximum(squares, 0)), DECIMALS)
-
-
-def _best(scores: np.ndarray, k: int, threshold: float | None) -> tuple[np.ndarray, np.ndarray]:
-    """Row and column numbers of the k best of each row; the earlier column wins a tie."""
-    width = scores.shape[1]
-    keep = np.ones(scores.shape, dtype=bool) if threshold is None else scores >= threshold
-    if width > k:
-        kth = np.partition(scores, width - k, axis=1)[:, width - k]
-        keep &= scores >= kth[:, None]
-    rows, cols = np.nonzero(keep)
-    order = np.lexsort((cols, -scores[rows, cols], rows))
-    rows, cols = rows[order], cols[order]
-    starts = np.searchsorted(rows, rows, side="left")
-    chosen = np.arange(len(rows)) - starts < k
-    return rows[chosen], cols[chosen]
+        return -np.rint((width - raw) / 2).astype(np.float64)
+    return -np.round(np.sqrt(np.maximum(-raw, 0)), DECIMALS)
+
+
+def _least_raw(scores: np.ndarray, width: int, metric: str) -> np.ndarray:
+    """A bound that the raw values of all pairs with at least these scores reach, rounding included."""
+    if metric == "hamming":
+        return width + 2 * scores - 0.5
+    if metric == "cosine":
+        return scores - 10.0**-DECIMALS
+    far = -scores + 10.0**-DECIMALS
+    return np.where(np.isinf(scores), -np.inf, -far * far - 1e-9)
+
+
+def _few(rows: np.ndarray, cols: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best of each row, in order; the earlier column wins a tie."""
+    order = np.lexsort((cols, -scores, rows))
+    rows, cols, scores = rows[order], cols[order], scores[order]
+    chosen = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left") < k
+    return rows[chosen], cols[chosen], scores[chosen]
+
+
+def _best(x: np.ndarray, y: np.ndarray, k: int, metric: str, threshold: float | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row and column numbers and scores of the k best columns of each row.
+
+    Columns are met in tiles; the k-th best so far is the bound that a later pair must reach to be looked at.
+    """
+    width = x.shape[1]
+    none = np.zeros(0, np.int64)
+    found = (none, none, np.zeros(0))
+    least = np.full(len(x), -np.inf if threshold is None else threshold)
+    for at in range(0, len(y), _TILE):
+        raw = _raw(x, y[at : at + _TILE], metric)
+        keep = raw >= _least_raw(least, width, metric).astype(raw.dtype)[:, None]
+        if at == 0 and raw.shape[1] > k:
+            kth = np.partition(raw, raw.shape[1] - k, axis=1)[:, raw.shape[1] - k]
+            kth = _least_raw(_exact(kth, width, metric), width, metric)
+            keep &= raw >= kth.astype(raw.dtype)[:, None]
+        rows, cols = np.nonzero(keep)
+        if not len(rows):
+            continue
+        scores = _exact(raw[rows, cols], width, metric)
+        fits = scores >= least[rows]
+        rows, cols, scores = rows[fits], cols[fits] + at, scores[fits]
+        found = _few(*(np.concatenate(both) for both in zip(found, (rows, cols, scores), strict=True)), k)
+        counts = np.bincount(found[0], minlength=len(x))
+        ends = np.cumsum(counts) - 1
+        full = counts >= k
+        least[full] = found[2][ends[full]]
+    return found
 
 
 def _score_frames(
     queries: pd.DataFrame, items: pd.DataFrame, y: np.ndarray, k: int, metric: str, threshold: float | None
 ) -> Iterator[pd.DataFrame]:
-    """Score queries against one item matrix, in slices that bound the score matrix to 32 MB."""
-    step = max(1, (4 * 1024 * 1024) // max(1, len(items)))
+    """Score queries against one item matrix, in tiles that bound the score matrix to 32 MB."""
+    step = max(1, (4 * 1024 * 1024) // max(1, min(len(items), _TILE)))
     ids = items["_item"].to_numpy()
     for at in range(0, len(queries), step):
         part = queries.iloc[at : at + step]
-        scores = _scores(_matrix(part["_v"], metric), y, metric)
-        rows, cols = _best(scores, k, threshold)
+        rows, cols, scores = _best(_matrix(part["_v"], metric), y, k, metric, threshold)
         out = part.iloc[rows].drop(columns=["_v"]).reset_index(drop=True)
         out["_item"] = ids[cols]
-        out["_score"] = scores[rows, cols]
+        out["_score"] = scores
         yield out
 
 
@@ -155,7 +199,10 @@ def _by_hashes(q: DataFrame, i: DataFrame, k: int, block_rows: int, scan_share:
         found = _pairs_of_blocks(queries, items, schema, k, "hamming", None, [], block_rows)
         return found.select("_query", "_item", (-F.col("_score")).cast("int").alias("_distance"))
 
-    found = nearest_hashes(q, i, k, scan, scan_share)
+    if scan_share is not None and share_met(q, i, k) > scan_share:
+        found = scan(q, i)
+    else:
+        found = nearest_hashes(q, i, k, scan, scan_share)
     return found.select("_query", "_item", (-F.col("_distance")).cast("double").alias("_score"))
 
 
@@ -198,19 +245,24 @@ def _by_blocks(q, i, schema, k, metric, threshold, scope, block_rows) -> DataFra
 def _pairs_of_blocks(leads, i, schema, k, metric, threshold, scope, block_rows) -> DataFrame:
     """The ``k`` best items of distinct queries: chunks of queries meet blocks of items by key."""
 
-    def pieces(rows: int) -> int:
-        return max(1, math.ceil(rows / block_rows))
+    first = i.select(F.size("_v").alias("n")).first()
+    width = (first["n"] if first else 1) * (64 * 4 if metric == "hamming" else 8)
+    most_rows = max(block_rows, min(PIECE_ROWS, PIECE_BYTES // width))
+
+    def pieces(rows: Column) -> Column:
+        small = F.least(F.ceil(rows / block_rows), F.lit(MOST_SMALL))
+        return F.greatest(small, F.ceil(rows / most_rows), F.lit(1)).cast("int")
 
     # Both sides are cut into pieces per scope: queries into chunks, items into blocks.
     total = leads.count()
     if scope:
-        blocks = i.groupBy(*scope).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("_blocks"))
-        chunks = leads.groupBy(*scope).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("_chunks"))
+        blocks = i.groupBy(*scope).agg(pieces(F.count("*")).alias("_blocks"))
+        chunks = leads.groupBy(*scope).agg(pieces(F.count("*")).alias("_chunks"))
         per_scope = chunks.join(blocks, scope)
         i, leads = i.join(per_scope, scope), leads.join(per_scope, scope)
-        bucket = F.pmod(F.xxhash64(*scope), F.lit(pieces(total)))
+        bucket = F.pmod(F.xxhash64(*scope), F.lit(max(1, math.ceil(total / block_rows))))
     else:
-        whole = {"_chunks": F.lit(pieces(total)), "_blocks": F.lit(pieces(i.count()))}
+        whole = {"_chunks": pieces(F.lit(total)), "_blocks": pieces(F.lit(i.count()))}
         i, leads = i.withColumns(whole), leads.withColumns(whole)
         bucket = F.lit(0).cast("bigint")
 
