@@ -49,7 +49,7 @@ def i3(t):
     with_feed(IMAGE_LIST, "SELECT page_id, lower(regexp_extract(url, '([^/]*)\\?', 1)) AS key, min(pos) AS pos, min_by(url, pos) AS url FROM feed GROUP BY 1, 2"),
 )
 def i4(t):
-    keyed = t.feed(IMAGE_LIST).withColumn("key", images.image_key("url", "filename"))
+    keyed = t.feed(IMAGE_LIST).select("page_id", "pos", "url", images.image_key("url", "filename").alias("key"))
     return images.distinct_first(keyed, "page_id", "key", "pos").select("page_id", "key", "pos", "url")
 
 

@@ -114,7 +114,12 @@ def first_tier(images: DataFrame, page: str | Sequence[str], tier: str) -> DataF
 
 
 def distinct_first(images: DataFrame, page: str | Sequence[str], key: str, pos: str | Sequence[str]) -> DataFrame:
-    """I4: the first row of each key within its page, by position."""
+    """I4: the first row of each key within its page, by position.
+
+    Rows with texts are aggregated by sorting, so they are parted by key first: a task then sorts a part of bounded size
+    and not all that its reader has unfolded.
+    """
+    images = images.repartition(*_keys(page), key)
     rest = [c for c in images.columns if c not in (*_keys(page), key)]
     order = F.struct(*_keys(pos))
     firsts = images.groupBy(*_keys(page), key).agg(F.min_by(F.struct(*rest), order).alias("_row"))
