@@ -30,8 +30,10 @@ BLOCK_ROWS = 4096
 #: Pieces of a side grow to so many rows, or bytes of matrix, before there are more than MOST_SMALL of them: a row is sent
 #: once per piece of the other side.
 PIECE_ROWS, PIECE_BYTES, MOST_SMALL = 65_536, 64 * 1024 * 1024, 8
-# Items that are scored at once.
-_TILE = 4096
+#: Partitions for each meeting of a chunk and a block, so that few meetings share one.
+MEETING_SPREAD = 4
+# Items that are scored at once, and in the first tile: the tiles grow as the bound gets sharper.
+_TILE, _FIRST_TILE = 4096, 512
 
 
 def _matrix(vectors: pd.Series, metric: str) -> np.ndarray:
@@ -78,33 +80,67 @@ def _few(rows: np.ndarray, cols: np.ndarray, scores: np.ndarray, k: int) -> tupl
     return rows[chosen], cols[chosen], scores[chosen]
 
 
+def _places(keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``np.nonzero`` of a matrix with few true cells, eight cells at a look."""
+    flat = keep.reshape(-1)
+    if len(flat) % 8:
+        return np.nonzero(keep)
+    eights = np.flatnonzero(flat.view(np.uint64))
+    found, at = np.nonzero(flat.reshape(-1, 8)[eights])
+    return np.divmod(eights[found] * 8 + at, keep.shape[1])
+
+
+def _single_slack(x: np.ndarray, y: np.ndarray) -> np.ndarray | None:
+    """What a product in single precision may lack of the exact one, per row of ``x``; None where that is no use."""
+    norms = [np.sqrt(np.einsum("ij,ij->i", m, m)) for m in (x, y)]
+    if not all(n.max(initial=0) < 1e9 for n in norms):  # NaN too
+        return None
+    # Twice the bound on the error of a sum of so many products of rounded factors.
+    return (x.shape[1] + 4) * 2.0**-22 * norms[0] * norms[1].max(initial=0) + 1e-30
+
+
 def _best(x: np.ndarray, y: np.ndarray, k: int, metric: str, threshold: float | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row and column numbers and scores of the k best columns of each row.
 
     Columns are met in tiles; the k-th best so far is the bound that a later pair must reach to be looked at.
+    Cosine products are formed in single precision first; those that may reach the bound, exactly.
     """
     width = x.shape[1]
     none = np.zeros(0, np.int64)
     found = (none, none, np.zeros(0))
     least = np.full(len(x), -np.inf if threshold is None else threshold)
-    for at in range(0, len(y), _TILE):
-        raw = _raw(x, y[at : at + _TILE], metric)
-        keep = raw >= _least_raw(least, width, metric).astype(raw.dtype)[:, None]
+    slack = _single_slack(x, y) if metric == "cosine" else None
+    left = x if slack is None else x.astype(np.float32)
+    slack = np.zeros(len(x)) if slack is None else slack
+    # Room for a tile's products and marks, used again for each tile.
+    room = np.empty(len(x) * min(_TILE, len(y)), np.result_type(left, np.float32))
+    marks = np.empty(len(room), bool)
+    at, size = 0, min(_TILE, _FIRST_TILE)
+    while at < len(y):
+        tile = y[at : at + size]
+        shape = (len(x), len(tile))
+        if metric == "l2":
+            raw = _raw(x, tile, metric)
+        else:
+            raw = np.matmul(left, tile.astype(left.dtype, copy=False).T, out=room[: shape[0] * shape[1]].reshape(shape))
+        bound = _least_raw(least, width, metric)
         if at == 0 and raw.shape[1] > k:
-            kth = np.partition(raw, raw.shape[1] - k, axis=1)[:, raw.shape[1] - k]
-            kth = _least_raw(_exact(kth, width, metric), width, metric)
-            keep &= raw >= kth.astype(raw.dtype)[:, None]
-        rows, cols = np.nonzero(keep)
-        if not len(rows):
-            continue
-        scores = _exact(raw[rows, cols], width, metric)
-        fits = scores >= least[rows]
-        rows, cols, scores = rows[fits], cols[fits] + at, scores[fits]
-        found = _few(*(np.concatenate(both) for both in zip(found, (rows, cols, scores), strict=True)), k)
-        counts = np.bincount(found[0], minlength=len(x))
-        ends = np.cumsum(counts) - 1
-        full = counts >= k
-        least[full] = found[2][ends[full]]
+            kth = np.partition(raw, raw.shape[1] - k, axis=1)[:, raw.shape[1] - k] - slack
+            bound = np.maximum(bound, _least_raw(_exact(kth, width, metric), width, metric))
+        # Rounded down, so that single precision keeps what may reach the bound.
+        bound = np.nextafter((bound - slack).astype(raw.dtype), raw.dtype.type(-np.inf))
+        rows, cols = _places(np.greater_equal(raw, bound[:, None], out=marks[: raw.size].reshape(shape)))
+        if len(rows):
+            exact = raw[rows, cols] if left is x else np.einsum("ij,ij->i", x[rows], tile[cols])
+            scores = _exact(exact, width, metric)
+            fits = scores >= least[rows]
+            rows, cols, scores = rows[fits], cols[fits] + at, scores[fits]
+            found = _few(*(np.concatenate(both) for both in zip(found, (rows, cols, scores), strict=True)), k)
+            counts = np.bincount(found[0], minlength=len(x))
+            ends = np.cumsum(counts) - 1
+            full = counts >= k
+            least[full] = found[2][ends[full]]
+        at, size = at + len(tile), min(_TILE, at + len(tile))
     return found
 
 
@@ -255,6 +291,7 @@ def _pairs_of_blocks(leads, i, schema, k, metric, threshold, scope, block_rows)
 
     # Both sides are cut into pieces per scope: queries into chunks, items into blocks.
     total = leads.count()
+    meetings = None
     if scope:
         blocks = i.groupBy(*scope).agg(pieces(F.count("*")).alias("_blocks"))
         chunks = leads.groupBy(*scope).agg(pieces(F.count("*")).alias("_chunks"))
@@ -263,6 +300,7 @@ def _pairs_of_blocks(leads, i, schema, k, metric, threshold, scope, block_rows)
         bucket = F.pmod(F.xxhash64(*scope), F.lit(max(1, math.ceil(total / block_rows))))
     else:
         whole = {"_chunks": pieces(F.lit(total)), "_blocks": pieces(F.lit(i.count()))}
+        meetings = i.sparkSession.range(1).select((whole["_chunks"] * whole["_blocks"]).alias("n")).first()["n"]
         i, leads = i.withColumns(whole), leads.withColumns(whole)
         bucket = F.lit(0).cast("bigint")
 
@@ -278,6 +316,11 @@ def _pairs_of_blocks(leads, i, schema, k, metric, threshold, scope, block_rows)
         F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)).alias("_chunk"),
     )
 
+    if meetings is not None:
+        # Blocks are small as sent and long to compare: each meeting is a task of its own, or nearly, and none waits in a
+        # task that was put together by size.
+        left, right = (side.repartition(MEETING_SPREAD * meetings, *key) for side in (left, right))
+
     def score(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         a, b = a.drop(columns=key), b.drop(columns=key)
         out = [pd.DataFrame(columns=[*scope, "_query", "_item", "_score"])]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from aislewatch.functions import vectors
 from aislewatch.operators import assignment, neighbours
+from aislewatch.session import cut_lineage
 
 
 def candidates(
@@ -57,6 +58,8 @@ def hash_shortlist(db: DataFrame, site: DataFrame, top_k: int = 12, scope: Seque
     order, and site images without a hash follow all others. Both only matter below ``top_k``
     readable items, and are filled in from bounded lists.
     """
+    # Both sides are read several times below, and their hashes may be costly to form.
+    db, site = (cut_lineage(side.select(*scope, name, "phash")) for side, name in ((db, "db_id"), (site, "site_id")))
     near = neighbours.nearest(db, site, "db_id", "site_id", "phash", top_k, "hamming", None, scope, **blocking)
     near = near.select(*scope, "db_id", "site_id", F.col("score").cast("int").alias("distance"))
     unread = F.lit(vectors.UNREADABLE_DISTANCE)
