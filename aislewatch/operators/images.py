@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aislewatch.functions import urls
-from aislewatch.session import cut_lineage
+from aislewatch.session import cut_lineage, parted
 
 
 def _keys(keys: str | Sequence[str]) -> list[str]:
@@ -203,10 +203,12 @@ def _longest_run(planes: Sequence[Column]) -> Column:
 def dominant_family(images: DataFrame, page: str, url: str, pos: str) -> DataFrame:
     """Keep each page's best family by (size, longest run of numbers, earliest position).
 
-    A family's set of numbers is sixteen longs of bits, combined before the shuffle too, so a page with very many
-    images sends as little as any other.
+    A family's set of numbers is sixteen longs of bits. Rows are parted by page and family first, as the join needs them: a
+    task then holds the sets of a bounded number of rows, and not of all families that its reader meets. Building the
+    plan counts the rows.
     """
     named = images.withColumns({"_family": family_key(url), "_number": family_number(url)})
+    named = parted(named, images.count(), page, "_family")
     planes = _planes(F.col("_number"))
     families = named.groupBy(page, "_family").agg(
         F.count("*").alias("n"), F.min(pos).alias("first_pos"), *[value.alias(name) for name, value in planes.items()]
