@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aislewatch.session import parted
+
 
 def fill_missing(pages: DataFrame, extra: DataFrame, code: str, fields: Sequence[str], valid: str) -> DataFrame:
     """Fill missing fields of valid rows from a second source with one row per code."""
@@ -19,10 +21,12 @@ def fill_missing(pages: DataFrame, extra: DataFrame, code: str, fields: Sequence
 def choose_variant(requests: DataFrame, variants: DataFrame, product: str, wanted: str, pos: str) -> DataFrame:
     """Variant of a product by name, case-insensitively, with a message when it fails.
 
-    Variants reduce to one row per (product, name) first; a list of names is made only for products of which a request
-    names a variant that is not there.
+    Variants reduce to one row per (product, name) first, and are parted by them before, since texts are aggregated by
+    sorting; a list of names is made only for products of which a request names a variant that is not there. Building the
+    plan counts the variants.
     """
-    by_name = variants.withColumn("_name_key", F.lower(F.trim("name"))).groupBy(product, "_name_key").agg(
+    keyed = parted(variants.withColumn("_name_key", F.lower(F.trim("name"))), variants.count(), product, "_name_key")
+    by_name = keyed.groupBy(product, "_name_key").agg(
         F.min_by(F.struct("name", "url", "available"), F.col(pos)).alias("_v"), F.min(pos).alias("_pos")
     )
     asked = requests.withColumn("_name_key", F.lower(F.trim(wanted)))
