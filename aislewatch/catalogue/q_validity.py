@@ -24,8 +24,9 @@ def nodes():
 )
 def v1(t):
     body = text.body_text("html")
-    pages = validity.with_error_phrase(t.feed(CAPTURE), body, F.lit("very"), "guarded", guarded=True)
-    return validity.with_error_phrase(pages, body, F.lit("very"), "plain").select("page_id", "guarded", "plain")
+    pages = t.feed(CAPTURE).select("page_id", "html")
+    judged = validity.with_error_phrases(pages, body, F.lit("very"), {"guarded": True, "plain": False})
+    return judged.select("page_id", "guarded", "plain")
 
 
 def _quoted(text):

@@ -68,16 +68,25 @@ def error_phrase(body: Column | str, phrases: Sequence[str], guarded: bool = Fal
 def with_error_phrase(
     pages: DataFrame, body: Column, retailer: Column | str, out: str = "error", guarded: bool = False
 ) -> DataFrame:
-    """V1 under each retailer's own list; NULL for a retailer without one.
+    """V1 under each retailer's own list; NULL for a retailer without one."""
+    return with_error_phrases(pages, body, retailer, {out: guarded})
 
-    The body text is staged once and read once for the lists of all retailers.
+
+def with_error_phrases(pages: DataFrame, body: Column, retailer: Column | str, outs: Mapping[str, bool]) -> DataFrame:
+    """V1 by several rules: columns by name, each guarded or not.
+
+    The body text is staged once and read once for the lists of all retailers and all columns. A small input, which its
+    reader may give to one task, is spread first.
     """
-    staged = with_phrase_hits(pages.withColumn("_body", F.lower(body)), {"_hits": "_body"})
+    staged = with_phrase_hits(spread(pages).withColumn("_body", F.lower(body)), {"_hits": "_body"})
     book, retailer = PhraseBook(rules.ERROR_PHRASES), _col(retailer)
-    away = away_from(F.col("_body"), rules.PRODUCT_TERMS, rules.WINDOW) if guarded else None
-    phrase = book.first_phrase(F.col("_hits"), retailer, keep=away)
+    away = away_from(F.col("_body"), rules.PRODUCT_TERMS, rules.WINDOW)
     cut = _by_retailer(retailer, rules.LABEL_CUTS, 30)
-    return staged.withColumn(out, _label(phrase, cut)).drop("_body", "_hits")
+    labels = {
+        out: _label(book.first_phrase(F.col("_hits"), retailer, keep=away if guarded else None), cut)
+        for out, guarded in outs.items()
+    }
+    return staged.withColumns(labels).drop("_body", "_hits")
 
 
 def error_element(nodes: Column) -> Column:
