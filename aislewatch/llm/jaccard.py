@@ -455,6 +455,45 @@ def links_within(sets: DataFrame, near: Nearness, counted: bool = False) -> Data
     return reduce(DataFrame.union, links)
 
 
+def parted_by_rarest(sets: DataFrame, near: Nearness) -> DataFrame:
+    """``sets`` with regions above ``REGION_SHINGLES`` divided, exactly, by the rarest shingles of their sets.
+
+    A region may be held together by phrases that many texts have in common. Two linked sets share ``percent`` of the
+    larger one at least; so if the shingles of a region stand in one order, the sets share one of the first that they
+    need not have in common. The order is by the number of sets that hold a shingle, rare ones first, so that common
+    phrases come last. Sets that share such a shingle, directly or over others, are a region; a set that shares none
+    has no link and goes. Each shingle of a large region is shuffled a bounded number of times.
+    """
+    size = sets.groupBy("region").agg(F.sum("n").alias("_t"), F.count("*").alias("_c"))
+    large = stored(size.filter((F.col("_t") > REGION_SHINGLES) & (F.col("_c") > 2)).select("region"), "jaccard-large")
+    if large.isEmpty():
+        return sets
+
+    def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                held = [np.frombuffer(x, np.int64) for x in part.column("shingles").to_pylist()]
+                rows = pa.array(np.repeat(np.arange(part.num_rows), [len(x) for x in held]))
+                own = [part.column(c).take(rows) for c in ("region", "node", "n")]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(np.concatenate(held))], ["region", "node", "n", "shingle"])
+
+    big = sets.join(large, "region", "left_semi")
+    each = big.select("region", "node", "n", "shingles").mapInArrow(occurrences, "region bigint, node bigint, n bigint, shingle bigint")
+    holders = Window.partitionBy("region", "shingle")
+    # Shingles of one set only would come first in its order, and meet nothing.
+    met = each.withColumn("_held", F.count("*").over(holders)).filter("_held > 1")
+    own = Window.partitionBy("region", "node")
+    ranked = met.withColumn("_met", F.count("*").over(own)).withColumn("_r", F.row_number().over(own.orderBy("_held", "shingle")))
+    shared = F.ceil(F.col("n") * near.percent / 100 - 1e-9)
+    first = ranked.filter(F.col("_r") <= F.col("_met") - shared + 1).select("region", "shingle", "node")
+    pairs = first.withColumn("_first", F.min("node").over(holders)).filter("node != _first")
+    pairs = pairs.select(F.col("_first").alias("a"), F.col("node").alias("b")).distinct()
+    group = components(pairs, "jaccard-rarest").select("node", F.col("root").alias("_root"))
+    divided = big.join(group, "node").select(F.col("_root").alias("region"), *_SETS[1:])
+    return sets.join(large, "region", "left_anti").select(*_SETS).union(stored(divided, "jaccard-sets"))
+
+
 def _linked(docs: DataFrame, near: Nearness, counted: bool) -> DataFrame:
     """Rows (doc_id, n_shingles, set, component_id, holders, linked) of all documents; ``linked`` only if ``counted``."""
     measured = stored(measure_sets(docs, near), "jaccard-measured")
@@ -464,6 +503,7 @@ def _linked(docs: DataFrame, near: Nearness, counted: bool) -> DataFrame:
     sets = stored(found, "jaccard-sets")
     if not sets.groupBy("node").count().filter("count > 1").isEmpty():  # rows that share a doc_id, or have none
         sets = stored(sets.dropDuplicates(["node"]), "jaccard-sets")
+    sets = parted_by_rarest(sets, near)
     links = stored(links_within(sets, near, counted), "jaccard-links")
     found = components(links.filter("b is not null").select("a", "b"), "jaccard-component")
     found = found.select(F.col("node").alias("set"), "root")

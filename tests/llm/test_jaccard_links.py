@@ -71,3 +71,27 @@ def test_keys_in_every_lower_band():
     shingles = np.unique(np.random.default_rng(1).integers(0, 2**64, 100, dtype=np.uint64))
     near = jaccard.Nearness(5, 30)
     assert np.intersect1d(jaccard.part_keys(shingles, near), jaccard.part_keys(shingles[:31], near)).size
+
+
+def test_a_common_phrase_makes_no_pairs_of_blocks(spark, monkeypatch):
+    """Texts that share no more than a phrase are a family; pairs that link within it are found without blocks in pairs."""
+    rng = np.random.default_rng(3)
+    phrase = [f"p{k}" for k in range(40)]
+    rows = []
+    for k in range(80):
+        own = [f"w{rng.integers(10**6)}" for _ in range(25)]
+        rows.append((2 * k, " ".join([*own, *phrase])))
+        if k % 8 == 0:
+            own[int(rng.integers(25))] = "changed"
+            rows.append((2 * k + 1, " ".join([*own, *phrase])))
+    near = jaccard.Nearness(5, 80)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    monkeypatch.setattr(jaccard, "REGION_SHINGLES", 600)
+    in_blocks, blocks = [], jaccard.pair_blocks
+    monkeypatch.setattr(jaccard, "pair_blocks", lambda sets: in_blocks.append(sets.count()) or blocks(sets))
+    found = {r.doc_id: r.component_id for r in jaccard.near_components(docs, near).collect()}
+    assert sum(in_blocks) == 0
+    sets = {i: set(shingle_hashes(word_hashes(t), 5).tolist()) for i, t in rows}
+    linked = lambda a, b: 100 * len(a & b) >= 80 * len(a | b)
+    assert found == {i: min(j for j in sets if linked(sets[i], sets[j])) for i in sets}
+    assert len(set(found.values())) == 80
