@@ -456,6 +456,28 @@ def test_suffix_model_distributions_sum_to_one(spark, awkward, empty, monkeypatc
     assert suffix_model.train(empty).train_tokens == 0
 
 
+def test_texts_are_scored_together_as_each_alone(spark, monkeypatch):
+    monkeypatch.setattr(suffix_model, "LEAST_CONTEXT", 0.01)
+    rng = random.Random(17)
+    texts = [" ".join(rng.choice(("a b c", "a d", "e b f", f"x{rng.randrange(30)}")) for _ in range(rng.randrange(40))) for _ in range(60)]
+    texts += ["", " \n", "a", "a b", "b c"]
+    model = suffix_model.train(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"))
+    tree = model.tree
+    scans, scan = [], suffix_model.WORDS.scan
+    monkeypatch.setattr(suffix_model.WORDS, "scan", lambda data: scans.append(1) or scan(data))
+    found = suffix_model._judged(tree, texts).to_pylist()
+    assert len(scans) == 1
+    for text, row in zip(texts, found, strict=True):
+        hashes = np.append(word_hashes(text), suffix_model.END)
+        numbers = tree.numbers(hashes)
+        scores, open_ = tree.log_scores(numbers)
+        words, counts = np.unique(hashes[open_].view(np.int64), return_counts=True)
+        assert (row["n_tokens"], row["n_known"]) == (len(hashes), (numbers >= 0).sum())
+        assert (row["open_words"], row["open_counts"]) == (words.tolist(), counts.tolist())
+        assert row["score"] == pytest.approx(scores.sum(), rel=1e-12, abs=1e-12)
+        assert row["base_score"] == pytest.approx(tree.word_log[numbers[numbers >= 0]].sum(), rel=1e-12, abs=1e-12)
+
+
 def test_quality_rejects_noise_and_repetition(awkward, empty):
     rng = random.Random(14)
     compressor = zstandard.ZstdCompressor(level=quality.LEVEL)
