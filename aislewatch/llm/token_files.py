@@ -25,15 +25,30 @@ STRIPE_BYTES = 16 * 1024 * 1024
 _LAST_LETTER = "\u024f"
 _BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
 _LINE_END = re.compile(r"(?<=\S)\n(?=\S)")
-_SPACE_RUN = re.compile(r"\s ")
-_ASCII_SPACE_RUNS = tuple(c + " " for c in " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f")
 
 
-def pieces(text: str) -> list[str]:
-    """Cut before each blank that follows a character that is not white space."""
-    if "\0" in text or any(s in text for s in _ASCII_SPACE_RUNS) or (not text.isascii() and _SPACE_RUN.search(text)):
-        return _BEFORE_SPACE.split(text)
-    return text.replace(" ", "\0 ").split("\0")
+class SpaceRun(Exception):
+    """A blank follows white space."""
+
+
+class AfterBlank(dict):
+    """Ids of a blank and the piece up to the next blank, by that piece; ``SpaceRun`` where white space ends it."""
+
+    def __init__(self, whole: PieceEncoder):
+        super().__init__()
+        self.whole, self.older = whole, {}
+
+    def __missing__(self, rest: str) -> bytes:
+        if not rest or rest[-1].isspace():
+            raise SpaceRun
+        value = self.older.get(rest)
+        if value is None:
+            value = self.whole.composed(" " + rest)
+        if len(self) >= REMEMBERED_PIECES:
+            self.older = dict(self)
+            self.clear()
+        self[rest] = value
+        return value
 
 
 class PieceEncoder(dict):
@@ -49,6 +64,7 @@ class PieceEncoder(dict):
     def __init__(self, file: str, specials_are_text: bool = False):
         super().__init__()
         self.older: dict[str, bytes] = {}
+        self.after_blank = AfterBlank(self)
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -75,20 +91,32 @@ class PieceEncoder(dict):
         """A plain word goes to the model at once; others are put together from plain words where that is safe."""
         letters = piece[1:] if piece[:1] == " " else piece
         if letters.isalpha() and (letters.isascii() or max(letters) <= _LAST_LETTER):
-            ids = [token.id for token in self.tokenizer.model.tokenize(piece.translate(self.byte_letters))]
+            spelt = self.byte_letters[0x20] + letters if letters is not piece and letters.isascii() else piece.translate(self.byte_letters)
+            ids = [token.id for token in self.tokenizer.model.tokenize(spelt)]
             return struct.pack(f"<{len(ids)}I", *ids)
-        lines = _LINE_END.split(piece)
+        lines = _LINE_END.split(piece) if "\n" in piece else [piece]
         if len(lines) > 1:
             return self["\n"].join(map(self.__getitem__, lines))
         if piece[-1:] in ".,;:!?" and piece[-2:-1].isalpha():
-            return self[piece[:-1]] + self[piece[-1]]
+            word = self.after_blank[piece[1:-1]] if piece[0] == " " else self[piece[:-1]]
+            return word + self[piece[-1]]
         ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def ids(self, text: str) -> bytes:
         if not self.by_piece:
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join(map(self.__getitem__, pieces(text)))
+        first, *rest = text.split(" ")
+        if not rest:
+            return self[first]
+        last = rest.pop()
+        try:
+            if first[-1:].isspace():
+                raise SpaceRun
+            between = b"".join(map(self.after_blank.__getitem__, rest))
+        except SpaceRun:
+            return b"".join(map(self.__getitem__, _BEFORE_SPACE.split(text)))
+        return (self[first] if first else b"") + between + self[" " + last]
 
 
 @lru_cache(maxsize=2)
@@ -98,9 +126,9 @@ def encoder(file: str, specials_are_text: bool) -> PieceEncoder:
 
 
 def encode(docs: DataFrame, tokenizer: str, end_id: int = END_ID, specials_are_text: bool = False) -> DataFrame:
-    """Rows (doc_id, part_start, ids) in ascending doc_id order over ascending partitions.
+    """Rows (doc_id, part_start, n, ids) in ascending doc_id order over ascending partitions.
 
-    ``ids`` are those of the whole text and ``end_id``; null and empty texts give ``end_id`` alone.
+    ``ids`` are those of the whole text and ``end_id``, ``n`` in number; null and empty texts give ``end_id`` alone.
     ``part_start`` counts the ids before the document in its partition. Null doc_ids come first;
     rows that share a doc_id stay apart, ordered by a hash of their text, and may lie in several partitions;
     an empty table gives an empty table. Only doc_id and text are read.
@@ -114,13 +142,14 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int = END_ID, specials_are_t
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 ids = [known.ids(text or "") + end for text in part.column("text").to_pylist()]
-                ends = np.cumsum([len(x) // 4 for x in ids])
+                counts = np.array([len(x) // 4 for x in ids], np.int32)
+                ends = np.cumsum(counts, dtype=np.int64)
                 begins = np.concatenate(([0], ends))
                 values = pa.array(np.frombuffer(b"".join(ids), "<u4").view(np.int32))
                 lists = pa.ListArray.from_arrays(pa.array(begins, pa.int32()), values)
                 starts = pa.array(start + begins[:-1], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), starts, lists], ["doc_id", "part_start", "ids"]
+                    [part.column("doc_id"), starts, pa.array(counts), lists], ["doc_id", "part_start", "n", "ids"]
                 )
                 start += int(ends[-1])
 
@@ -130,7 +159,7 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int = END_ID, specials_are_t
     order = ["doc_id", "_text", "_row"]
     ordered = hashed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return ordered.mapInArrow(run, f"doc_id {id_type}, part_start bigint, ids array<int>")
+    return ordered.mapInArrow(run, f"doc_id {id_type}, part_start bigint, n int, ids array<int>")
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, **options) -> None:
@@ -156,7 +185,7 @@ def read_token_files(spark: SparkSession, path: str, doc_ids: Iterable[int] | No
     """
     rows = spark.read.orc(path)
     part = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).cast("bigint").alias("_part")
-    total = rows.select(part, (F.col("part_start") + F.size("ids")).alias("n")).groupBy("_part").agg(F.max("n").alias("n"))
+    total = rows.select(part, (F.col("part_start") + F.col("n")).alias("n")).groupBy("_part").agg(F.max("n").alias("n"))
     before = F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
     bases = total.select("_part", F.coalesce(before, F.lit(0)).alias("_base"))
     if doc_ids is not None:

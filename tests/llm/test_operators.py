@@ -54,6 +54,24 @@ def test_piece_encoder_forgets_and_takes_many_lines(monkeypatch):
     assert len(pieces) <= 5
 
 
+def test_blanks_after_any_white_space():
+    known = Tokenizer.from_file(TOKENIZER)
+    pieces = token_files.PieceEncoder(TOKENIZER)
+    spaces = [chr(c) for c in range(0x110000) if chr(c).isspace()]
+    for space in spaces:
+        texts = (f"é{space} b", f"{space} ", f" {space}a, b. é", f"a{space}b é.\nc d", f"a b{space}", f"{space} a b", f"a b{space} c", f"a {space}")
+        for text in (*texts, *texts, "", " ", "  ", " a", "a ", "a b\nc d, e"):
+            assert pieces.ids(text) == np.array(known.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
+
+
+def test_totals_are_read_without_the_ids(spark, tmp_path):
+    docs = spark.createDataFrame([(k, f"text {k} " * (k % 5)) for k in range(50)], "doc_id bigint, text string")
+    path = f"file://{tmp_path}/ids"
+    token_files.write_token_files(docs, path, TOKENIZER)
+    plan = token_files.read_token_files(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert sum("ids#" in line for line in plan.splitlines() if "FileScan orc" in line) == 1
+
+
 def test_token_files_of_a_repeated_id(spark, tmp_path):
     rows = [(7 if k % 3 else None, f"text {k}") for k in range(3000)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
