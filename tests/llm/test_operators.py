@@ -496,6 +496,57 @@ def test_texts_are_scored_together_as_each_alone(spark, monkeypatch):
         assert row["base_score"] == pytest.approx(tree.word_log[numbers[numbers >= 0]].sum(), rel=1e-12, abs=1e-12)
 
 
+def suffix_scores(texts, scored):
+    """Scores of texts by the model of ``texts``, from counts in dictionaries."""
+    tokens = lambda t: [*word_hashes(t).tolist(), int(suffix_model.END)]
+    n = Counter()
+    for ws in map(tokens, texts):
+        n.update(tuple(ws[i : i + k]) for k in range(1, suffix_model.DEPTH + 2) for i in range(len(ws) - k + 1))
+    total, distinct = sum(c for g, c in n.items() if len(g) == 1), sum(len(g) == 1 for g in n)
+    base = lambda w: (n[w,] + 0.5) / (total + 0.5 * (distinct + 1))
+    after = {}
+    for g, m in n.items():
+        if len(g) > 1 and m >= suffix_model.LEAST_COUNT:
+            after.setdefault(g[:-1], {})[g[-1]] = m
+    events, backoff = {}, {}
+
+    def probability(context, word):
+        if not context:
+            return base(word)
+        if word in events.get(context, ()):
+            return events[context][word]
+        return backoff.get(context, 1.0) * probability(context[1:], word)
+
+    for context in sorted(after, key=len):
+        suffix = {w: probability(context[1:], w) for w in after[context]}
+        own = {w: (m + suffix_model.PRIOR * suffix[w]) / (n[context] + suffix_model.PRIOR) for w, m in after[context].items()}
+        rest, weight = 1 - sum(own.values()), (1 - sum(own.values())) / (1 - sum(suffix.values()))
+        if sum(p * np.log(p / suffix[w]) for w, p in own.items()) + rest * np.log(weight) >= suffix_model.LEAST_DIVERGENCE:
+            events[context], backoff[context] = own, weight
+    assert any(len(c) == suffix_model.DEPTH for c in events)
+    return [sum(np.log10(probability(tuple(ws[max(0, i - suffix_model.DEPTH) : i]), w)) for i, w in enumerate(ws)) for ws in map(tokens, scored)]
+
+
+@pytest.mark.parametrize("context, event", [(1e-5, 2e-6), (2.0, 2.0), (0.02, 0.004)])
+def test_suffix_model_learns_all_contexts_that_occur_twice(spark, monkeypatch, context, event):
+    """Whether they make up a share of the corpus or not: what is not in the tree is looked up."""
+    monkeypatch.setattr(suffix_model, "LEAST_CONTEXT", context)
+    monkeypatch.setattr(suffix_model, "LEAST_EVENT", event)
+    rng = random.Random(23)
+    text = lambda: " ".join(x for _ in range(rng.randrange(40)) for x in rng.choice((("a", "b", "c"), ("a", "d"), ("e", "b", "f"), (f"x{rng.randrange(60)}",))))
+    rare = " ".join(f"rare{k}" for k in range(25))
+    texts = [text() for _ in range(80)] + [rare, rare, None, "", "a", "once " + rare[:30]]
+    scored = [*texts, *(text() for _ in range(20)), "rare3 rare4 rare5 rare6", "never seen words"]
+    model = suffix_model.train(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"))
+    found = suffix_model.score(spark.createDataFrame(list(enumerate(scored)), "doc_id bigint, text string"), model, ["doc_id"])
+    found = {r.doc_id: r for r in found.collect()}
+    wanted = suffix_scores([t or "" for t in texts], [t or "" for t in scored])
+    assert len(found) == len(scored)
+    for k, score in enumerate(wanted):
+        assert found[k].score == pytest.approx(score, rel=1e-9), (k, scored[k])
+    assert found[80].score > 0.6 * found[80].base_score
+
+
 def test_quality_rejects_noise_and_repetition(awkward, empty):
     rng = random.Random(14)
     compressor = zstandard.ZstdCompressor(level=quality.LEVEL)
