@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -22,8 +23,13 @@ from aislewatch.session import cut_lineage
 #: Bits of a substring: about the logarithm of the number of items, and not more than keeps the table of
 #: buckets (substrings times 2**width entries at most) small enough to be sent to every task.
 LEAST_WIDTH, MOST_WIDTH = 8, 16
-#: Items that the first look at the nearest buckets should meet, in multiples of k.
+#: Items that the first look at the nearest buckets should meet, and of one bucket at most, in multiples of k.
 FIRST_ITEMS = 8
+#: Differing bits up to which the values about a query's own are looked up one by one.
+_LOOKED_UP = 3
+#: A query's buckets are gone through if they hold this share of all items at most: to mark an item of a bucket takes longer than to
+#: compare an item where all are compared.
+MET_SHARE = 0.1
 #: Rows of a piece of either side that meet in one task: at most, and at least unless there is but one piece.
 PIECE_ROWS, LEAST_ROWS, MOST_SMALL = 65_536, 2_048, 8
 #: Rows by which ``share_met`` judges whether buckets rule anything out.
@@ -54,6 +60,7 @@ class Buckets:
         self.value = np.array([r[1] for r in rows], np.int32)
         self.items = np.array([r[2] for r in rows], np.int64)
         self.parts = parts
+        self._near: list[np.ndarray] | None = None
         ends = np.searchsorted(self.part, np.arange(parts + 1))
         self.runs = [slice(int(start), int(end)) for start, end in zip(ends[:-1], ends[1:], strict=True)]
 
@@ -61,17 +68,73 @@ class Buckets:
         """Differing bits of a query's substrings and each bucket's value."""
         return np.concatenate([np.bitwise_count(self.value[run] ^ own[n]) for n, run in enumerate(self.runs)])
 
+    @cached_property
+    def _width(self) -> int:
+        return max(1, int(self.value.max(initial=0)).bit_length())
+
+    @cached_property
+    def _numbers(self) -> np.ndarray:
+        """The number of each substring's bucket of each value, -1 where there is none."""
+        out = np.full((self.parts, 1 << self._width), -1, np.int32)
+        out[self.part, self.value] = np.arange(len(self.part))
+        return out
+
+    @cached_property
+    def _masks(self) -> list[np.ndarray]:
+        """What makes of a value all values that differ from it in 0, 1, 2 ... bits."""
+        masks = np.arange(1 << self._width, dtype=np.int32)
+        ones = np.bitwise_count(masks)
+        return [masks[ones == k] for k in range(self._width + 1)]
+
+    def held(self, own: np.ndarray, distances: np.ndarray) -> np.ndarray:
+        """``met`` of many queries, their substrings in rows."""
+        if self._near is None:
+            # Of each substring, the items in buckets that differ from a value in so many bits at most: bit by bit.
+            self._near = []
+            for run in self.runs:
+                near = np.zeros((self._width + 1, 1 << self._width), np.int64)
+                near[0, self.value[run]] = self.items[run]
+                for bit in range(self._width):
+                    pairs = near.reshape(len(near), -1, 2, 1 << bit)
+                    near = near.copy()
+                    near[1:] += pairs[:-1, :, ::-1].reshape(len(near) - 1, -1)
+                self._near.append(np.cumsum(near, axis=0).astype(np.int64 if self.items.sum() >> 31 else np.int32))
+        a, b = np.divmod(np.asarray(distances, np.int64), self.parts)
+        total = np.zeros(len(own), np.int64)
+        for n, near in enumerate(self._near):
+            limit = np.where(n <= b, a, a - 1)
+            outside = own[:, n] >> self._width
+            # Bits that no bucket has are differences to all of them.
+            limit, inside = limit - np.bitwise_count(outside), own[:, n] & ((1 << self._width) - 1)
+            total += np.where(limit >= 0, near[np.clip(limit, 0, self._width), inside], 0)
+        return total
+
     def nearest(self, own: np.ndarray, wanted: int) -> np.ndarray:
         """Numbers of the nearest buckets that together hold ``wanted`` items."""
-        far, chosen, held = self.distances(own), [], 0
-        for distance in range(int(far.max(initial=0)) + 1):
+        chosen, held, every = [], 0, np.arange(self.parts)[:, None]
+        if (own >> self._width).any():  # bits that no bucket has
+            return self._nearest_of_all(own, wanted, 0, chosen, held)
+        # Where buckets lie close, few values about the query's own are enough; else all buckets are looked at.
+        for distance, masks in enumerate(self._masks[: _LOOKED_UP + 1]):
+            level = self._numbers[every, own[:, None] ^ masks]
+            level = np.sort(level[level >= 0])
+            sums = held + np.cumsum(self.items[level])
+            chosen.append(level[: int(np.searchsorted(sums, wanted)) + 1])
+            held = int(sums[-1]) if len(sums) else held
+            if held >= wanted:
+                return np.concatenate(chosen)
+        return self._nearest_of_all(own, wanted, distance + 1, chosen, held)
+
+    def _nearest_of_all(self, own: np.ndarray, wanted: int, least: int, chosen: list[np.ndarray], held: int) -> np.ndarray:
+        far = self.distances(own)
+        for distance in range(least, int(far.max(initial=0)) + 1):
             level = np.flatnonzero(far == distance)
             sums = held + np.cumsum(self.items[level])
             chosen.append(level[: int(np.searchsorted(sums, wanted)) + 1])
             held = int(sums[-1]) if len(sums) else held
             if held >= wanted:
                 break
-        return np.concatenate(chosen)
+        return np.concatenate(chosen) if chosen else np.empty(0, np.int64)
 
     def met(self, own: np.ndarray, distance: int) -> int:
         """Items in the buckets of ``within``, those that stand in several counted as often."""
@@ -120,7 +183,7 @@ class Block:
 
     def __init__(self, words: np.ndarray, width: int):
         self.columns = np.ascontiguousarray(words.view(np.uint64).T)
-        self.width, self.buckets = width, []
+        self.width, self.buckets, self.room = width, [], None
         for own in substrings(words, width).T:
             order = np.argsort(own, kind="stable")
             values, starts = np.unique(own[order], return_index=True)
@@ -128,9 +191,26 @@ class Block:
 
     def distances(self, own: np.ndarray, rows: np.ndarray | None) -> np.ndarray:
         """Differing bits of a hash (its words) and all items, or those of the given numbers."""
-        total = np.zeros(self.columns.shape[1] if rows is None else len(rows), np.uint16)
-        for column, word in zip(self.columns, own.view(np.uint64), strict=True):
-            total += np.bitwise_count((column if rows is None else column[rows]) ^ word)
+        if rows is not None:
+            total = np.zeros(len(rows), np.uint16)
+            for column, word in zip(self.columns, own.view(np.uint64), strict=True):
+                total += np.bitwise_count(column[rows] ^ word)
+            return total
+        # Room that is used again for each query, and counts of single bytes as long as they hold the sum.
+        if self.room is None:
+            count = self.columns.shape[1]
+            self.room = np.empty(count, np.uint64), np.empty(count, np.uint8), np.empty(count, np.uint8), np.empty(count, np.uint16)
+        differs, ones, small, total = self.room
+        total[:] = 0
+        for n, (column, word) in enumerate(zip(self.columns, own.view(np.uint64), strict=True)):
+            np.bitwise_xor(column, word, out=differs)
+            if n % 3 == 0:
+                np.bitwise_count(differs, out=small)
+            else:
+                np.bitwise_count(differs, out=ones)
+                small += ones
+            if n % 3 == 2 or n == len(self.columns) - 1:
+                total += small
         return total
 
     def within(self, parts: np.ndarray, distance: int) -> np.ndarray:
@@ -188,7 +268,7 @@ def nearest_hashes(queries: DataFrame, items: DataFrame, k: int, scan=None, scan
     Both sides hold distinct rows (_query or _item, _v), hashes being arrays of as many 64-bit words. Where a query's
     buckets would meet more than ``scan_share`` of all items, ``scan(queries, items)`` compares it with all of them
     in blocks, which is cheaper; with None every query goes through its buckets, but for those whose buckets hold more
-    rows than the table.
+    than ``MET_SHARE`` of the items, which are compared with all of them block by block.
 
     The first look joins a query with few buckets. The second brings chunks of queries and blocks of items together by
     key; a block has its buckets in the task that it comes to, so no list of buckets is written, and at most k rows of a
@@ -225,8 +305,9 @@ def nearest_hashes(queries: DataFrame, items: DataFrame, k: int, scan=None, scan
         buckets = table.value
         for batch in batches:
             own = substrings(_words(batch["_v"], words), width) if batch.num_rows else []
-            far = batch["_far"].to_pylist()
-            met = [buckets.met(m, f) for m, f in zip(own, far, strict=True)]
+            far = batch["_far"].to_numpy()
+            # The table that answers many queries at once takes as long as some hundred of them alone.
+            met = buckets.held(own, far) if batch.num_rows >= 256 else [buckets.met(m, int(f)) for m, f in zip(own, far, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(met, pa.int64())], names=[*batch.schema.names, "_met"])
 
     def near(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
@@ -236,7 +317,7 @@ def nearest_hashes(queries: DataFrame, items: DataFrame, k: int, scan=None, scan
         if block is not None:
             own = np.stack(a["_v"].to_list()).astype(np.int64)
             parts = substrings(own, width)
-            few = (a["_met"] <= count).to_numpy()
+            few = (a["_met"] <= MET_SHARE * count).to_numpy()
             hits = [block.nearest(own[n], parts[n] if few[n] else None, int(m), k) for n, m in enumerate(a["_far"])]
             at = np.repeat(np.arange(len(a)), [len(h[0]) for h in hits])
             rows, far = (np.concatenate([h[n] for h in hits]) for n in (0, 1))
@@ -257,7 +338,10 @@ def nearest_hashes(queries: DataFrame, items: DataFrame, k: int, scan=None, scan
     queries = queries.select("_query", F.col("_v").cast("array<bigint>").alias("_v"))
     keys = queries.mapInArrow(first_buckets, f"_query {kinds[0]}, _v array<bigint>, _keys array<struct<_part:int,_value:int>>")
     left = keys.select("_query", F.col("_v").alias("_q"), F.inline("_keys"))
-    pairs = left.join(keyed, ["_part", "_value"]).select("_query", "_item", _distance(F.col("_q"), F.col("_v"), words).alias("_distance"))
+    # They give a first distance only, for which so many items of a bucket are enough however many it holds.
+    some = Window.partitionBy("_part", "_value").orderBy(F.xxhash64("_item"), "_item")
+    few = keyed.withColumn("_r", F.row_number().over(some)).filter(F.col("_r") <= FIRST_ITEMS * k).drop("_r")
+    pairs = left.join(few, ["_part", "_value"]).select("_query", "_item", _distance(F.col("_q"), F.col("_v"), words).alias("_distance"))
     # An item may stand in several of a query's buckets.
     begun = _top(pairs.distinct(), k)
     known = begun.groupBy("_query").agg(F.max("_distance").alias("_far"), F.count("*").alias("_n"))

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from aislewatch.operators import assignment, html, images, neighbours, structure
+from aislewatch.operators import assignment, hashing, html, images, neighbours, structure
 from aislewatch.operators.hashing import Buckets, nearest_hashes, substrings
 from aislewatch.operators.inverted import InvertedFile
 from aislewatch.operators.selectors import Elements
@@ -103,6 +103,39 @@ def test_buckets_within_a_distance_hold_every_near_item(width):
         assert buckets.items[enough].sum() >= 30
 
 
+@pytest.mark.parametrize("width", [9, 16])
+def test_buckets_are_found_without_a_look_at_all_of_them(width, monkeypatch):
+    """Once for each query, that look took the time of the multi-index on large tables."""
+    rng = np.random.default_rng(width)
+    items, _ = words_of(rng, 3000, 0.2)
+    parts = substrings(items, width)
+    counts = {}
+    for own in parts:
+        for part, value in enumerate(own.tolist()):
+            counts[part, value] = counts.get((part, value), 0) + 1
+    buckets = Buckets([(*key, n) for key, n in counts.items()], parts.shape[1])
+    queries, far = np.concatenate((parts[:30], parts[:30] ^ 5)), np.arange(60) * 4
+    assert buckets.held(queries, far).tolist() == [buckets.met(own, int(f)) for own, f in zip(queries, far, strict=True)]
+    chosen = [buckets._nearest_of_all(own, 50, 0, [], 0) for own in queries]
+    monkeypatch.setattr(Buckets, "distances", lambda *_: pytest.fail("all buckets were looked at"))
+    assert all(np.array_equal(buckets.nearest(own, 50), c) for own, c in zip(queries, chosen, strict=True))
+
+
+def test_a_crowded_bucket_gives_the_first_look_few_items(spark, monkeypatch):
+    """All items share half of their substrings; a query meets few of them for its first distance, and the result is exact."""
+    rng = np.random.default_rng(29)
+    items, queries = (rng.integers(-(2**62), 2**62, (n, 2)) for n in (1500, 20))
+    items[:, 0] = queries[:, 0] = 77
+    i = spark.createDataFrame([(n, v.tolist()) for n, v in enumerate(items)], "_item long, _v array<bigint>")
+    q = spark.createDataFrame([(n, v.tolist()) for n, v in enumerate(queries)], "_query long, _v array<bigint>")
+    met, top = [], hashing._top
+    monkeypatch.setattr(hashing, "_top", lambda found, k: met.append(found.count()) or top(found, k))
+    got = {(r["_query"], r["_item"], r["_distance"]) for r in nearest_hashes(q, i, 3).collect()}
+    far = np.bitwise_count((items[None] ^ queries[:, None]).view(np.uint64)).sum(axis=2)
+    assert got == {(n, i, d) for n in range(20) for d, i in sorted((int(d), i) for i, d in enumerate(far[n]))[:3]}
+    assert met[0] <= 20 * 2 * hashing.FIRST_ITEMS * 3
+
+
 def serial(edges):
     used, out = set(), {}
     for d in sorted({e[0] for e in edges}):
