@@ -338,9 +338,12 @@ def nearest_hashes(queries: DataFrame, items: DataFrame, k: int, scan=None, scan
     queries = queries.select("_query", F.col("_v").cast("array<bigint>").alias("_v"))
     keys = queries.mapInArrow(first_buckets, f"_query {kinds[0]}, _v array<bigint>, _keys array<struct<_part:int,_value:int>>")
     left = keys.select("_query", F.col("_v").alias("_q"), F.inline("_keys"))
-    # They give a first distance only, for which so many items of a bucket are enough however many it holds.
-    some = Window.partitionBy("_part", "_value").orderBy(F.xxhash64("_item"), "_item")
-    few = keyed.withColumn("_r", F.row_number().over(some)).filter(F.col("_r") <= FIRST_ITEMS * k).drop("_r")
+    # They give a first distance only, for which so many items of a bucket are enough however many it holds. Items with a
+    # word that is null have no distance and come first among those met; with any of them, all items are met.
+    few = keyed
+    if items.filter(F.exists("_v", lambda word: word.isNull())).isEmpty():
+        some = Window.partitionBy("_part", "_value").orderBy(F.xxhash64("_item"), "_item")
+        few = keyed.withColumn("_r", F.row_number().over(some)).filter(F.col("_r") <= FIRST_ITEMS * k).drop("_r")
     pairs = left.join(few, ["_part", "_value"]).select("_query", "_item", _distance(F.col("_q"), F.col("_v"), words).alias("_distance"))
     # An item may stand in several of a query's buckets.
     begun = _top(pairs.distinct(), k)
